@@ -24,10 +24,14 @@ def _literal_map(mapping: dict) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
 
 
+# characters stripped from both ends of text fields: space, tab, LF, CR, FF, VT
+WHITESPACE = " \t\n\r\f\u000b"
+
+
 def clean_text(c) -> Column:
     """Strip surrounding whitespace (tabs and newlines too); empty becomes NULL."""
-    stripped = F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
-    return F.when(stripped == "", F.lit(None).cast("string")).otherwise(stripped)
+    stripped = F.trim(_col(c).cast("string"), F.lit(WHITESPACE))
+    return F.when(stripped != "", stripped)
 
 
 def blank_to_null(c) -> Column:
@@ -41,14 +45,14 @@ def first_present(*cols) -> Column:
     return F.coalesce(*[blank_to_null(_col(c)) for c in cols])
 
 
-def upper_or_default(c, default: str) -> Column:
-    return F.upper(F.coalesce(clean_text(c), F.lit(default)))
+def upper_or_default(text, default: str) -> Column:
+    return F.upper(F.coalesce(_col(text), F.lit(default)))
 
 
-def normalize_status(c) -> Column:
-    """Map status synonyms to the canonical set; unknown text is upper-cased."""
-    key = F.lower(clean_text(c))
-    return F.coalesce(_literal_map(STATUS_MAP)[key], F.upper(clean_text(c)))
+def normalize_status(text) -> Column:
+    """Map status synonyms (cleaned text) to the canonical set; unknown text is upper-cased."""
+    t = _col(text)
+    return F.coalesce(_literal_map(STATUS_MAP)[F.lower(t)], F.upper(t))
 
 
 def normalize_payment_method(c) -> Column:
@@ -56,31 +60,35 @@ def normalize_payment_method(c) -> Column:
     return F.coalesce(_literal_map(PAYMENT_METHOD_MAP)[F.lower(_col(c))], F.lit("unknown"))
 
 
-def parse_decimal(c, dtype=MONEY) -> Column:
-    return (clean_text(c)).try_cast(dtype.simpleString())
+# The parse_* helpers take text that is already cleaned (see ``clean_text``):
+# cleaning once and parsing the cleaned column keeps expression trees small
+# when Catalyst inlines projections into pushed-down filters.
+
+def parse_decimal(text, dtype=MONEY) -> Column:
+    return _col(text).try_cast(dtype.simpleString())
 
 
-def parse_int(c) -> Column:
-    return (clean_text(c)).try_cast("int")
+def parse_int(text) -> Column:
+    return _col(text).try_cast("int")
 
 
-def parse_date(c) -> Column:
+def parse_date(text) -> Column:
     """Strict ISO date: ``YYYY-MM-DD`` or the basic form ``YYYYMMDD``."""
-    text = clean_text(c)
+    text = _col(text)
     return F.coalesce(
         F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd")),
         F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd")),
     )
 
 
-def parse_timestamp(c) -> Column:
+def parse_timestamp(text) -> Column:
     """ISO date-time (``T`` or space separated) as a zone-less timestamp."""
-    return (clean_text(c)).try_cast("timestamp_ntz")
+    return _col(text).try_cast("timestamp_ntz")
 
 
-def parse_bool(c) -> Column:
+def parse_bool(text) -> Column:
     """Real boolean parse of text: true/false/1/0/yes/no, else NULL."""
-    text = F.lower(clean_text(c))
+    text = F.lower(_col(text))
     return (
         F.when(text.isin("true", "t", "1", "yes", "y"), F.lit(True))
         .when(text.isin("false", "f", "0", "no", "n"), F.lit(False))

@@ -196,8 +196,8 @@ def normalize_payments(df: DataFrame, processor: str, payload: str = "payload")
     if name == "stripe":
         obj = p["data"]["object"]
         meta = obj["metadata"]
-        cents_text = blank_to_null(obj["amount_received"])
-        created_text = blank_to_null(obj["created"])
+        cents_text = clean_text(obj["amount_received"])
+        created_text = clean_text(obj["created"])
         created = (created_text).try_cast("bigint")
         cols = _payment_out(
             blank_to_null(obj["id"]),
@@ -219,8 +219,8 @@ def normalize_payments(df: DataFrame, processor: str, payload: str = "payload")
     else:
         amount_field = "amount" if name == "plaid" else "amount_usd"
         default_method = "ach" if name == "plaid" else "unknown"
-        date_text = blank_to_null(p["payment_date"])
-        amount_text = blank_to_null(p[amount_field])
+        date_text = clean_text(p["payment_date"])
+        amount_text = clean_text(p[amount_field])
         cols = _payment_out(
             blank_to_null(p["payment_id"]),
             blank_to_null(p["invoice_id"]),
@@ -232,7 +232,7 @@ def normalize_payments(df: DataFrame, processor: str, payload: str = "payload")
             F.upper(F.coalesce(blank_to_null(p["currency"]), F.lit("USD"))),
             normalize_payment_method(F.coalesce(p["payment_method"], F.lit(default_method))),
             F.lit(name),
-            F.coalesce(parse_bool(p["is_partial"]), F.lit(False)),
+            F.coalesce(parse_bool(clean_text(p["is_partial"])), F.lit(False)),
             blank_to_null(p["reference_number"]),
             blank_to_null(p["notes"]) if name != "plaid" else F.lit(None).cast("string"),
             F.coalesce(p["event_id"], F.lit("")),

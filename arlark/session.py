@@ -27,6 +27,9 @@ def build_session(master: str | None = None, app_name: str = "arlark",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # see prepare()
+        "spark.sql.constraintPropagation.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -42,6 +45,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings every job relies on (safe to call on any session)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    # The normalizers alias one cleaned text column into many checks; constraint
+    # propagation enumerates alias substitutions and spends seconds (growing
+    # exponentially with the number of checks) in the optimizer.  Null-key
+    # filters for joins are still added by the join planning itself.
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     return spark
 
 
