@@ -14,7 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arlark.operators import reports
 from arlark.operators.dedupe import dedupe_invoices, dedupe_payments
+from arlark.operators.features import customer_features, strict_features
+from arlark.operators.metrics import collection_rate_30d, metric_query
 from arlark.operators.ledger import build_ledger, invoice_aging
 from arlark.operators.marts import collections_health, dim_customers
 from arlark.operators.matching import payment_matching, touches_per_invoice, unapplied_cash
@@ -139,6 +142,114 @@ def mrt_collections_health_local(spark, sf_dir):
     return r6(mart, "avg_days_outstanding", "lifetime_collection_rate", "paid_within_30d_rate")
 
 
+# --------------------------------------------------------------------------- metric layer
+
+def ledger_to_date(spark, sf_dir) -> DataFrame:
+    """Metrics and features use every invoice dated up to AS_OF."""
+    return ledger_dbt(spark, sf_dir).where(F.col("invoice_date") <= F.lit(AS_OF))
+
+
+@query
+def metric_dso_by_bucket(spark, sf_dir):
+    return r6(metric_query(ledger_to_date(spark, sf_dir), ["days_sales_outstanding"], ["aging_bucket"]),
+              "days_sales_outstanding")
+
+
+@query
+def metric_collection_rate_by_source(spark, sf_dir):
+    m = metric_query(ledger_to_date(spark, sf_dir),
+                     ["collection_rate", "total_paid_usd", "total_invoiced_usd"], ["source_system"])
+    return r6(m, "collection_rate")
+
+
+@query
+def metric_ar_outstanding_by_status(spark, sf_dir):
+    return metric_query(ledger_to_date(spark, sf_dir), ["ar_outstanding", "overdue_invoice_count"], ["status"])
+
+
+@query
+def metric_overdue_by_month(spark, sf_dir):
+    return metric_query(ledger_to_date(spark, sf_dir), ["overdue_invoice_count", "ar_outstanding"],
+                        time_grain="month")
+
+
+@query
+def metric_collection_rate_30d(spark, sf_dir):
+    inv, pay, _ = staged(spark, sf_dir)
+    return r6(collection_rate_30d(inv, pay, AS_OF), "collection_rate_30d")
+
+
+# --------------------------------------------------------------------------- dashboard reports
+
+def local_mart(spark, sf_dir) -> DataFrame:
+    return collections_health(recent(ledger_local(spark, sf_dir)), form="local")
+
+
+@query
+def kpi_tiles(spark, sf_dir):
+    return r6(reports.kpi_tiles(local_mart(spark, sf_dir)), "pct_overdue", "avg_invoice_age_days", "collection_rate")
+
+
+@query
+def aging_summary(spark, sf_dir):
+    return reports.aging_summary(local_mart(spark, sf_dir))
+
+
+@query
+def risk_mix(spark, sf_dir):
+    return reports.risk_mix(local_mart(spark, sf_dir))
+
+
+@query
+def health_table(spark, sf_dir):
+    t = reports.health_table(local_mart(spark, sf_dir))
+    return r6(t, "avg_days_outstanding", "lifetime_collection_rate", "paid_within_30d_rate")
+
+
+@query
+def funnel(spark, sf_dir):
+    return reports.funnel(local_mart(spark, sf_dir)).withColumn("amount", F.round("amount", 2))
+
+
+@query
+def priority_top10(spark, sf_dir):
+    return r6(reports.priority_top(local_mart(spark, sf_dir), 10), "paid_within_30d_rate")
+
+
+@query
+def status_flow(spark, sf_dir):
+    return reports.status_flow(ledger_to_date(spark, sf_dir))
+
+
+@query
+def risk_band_list(spark, sf_dir):
+    return reports.risk_band_list(local_mart(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- features
+
+FEATURE_DOUBLES = ["avg_days_to_pay_90d", "payment_velocity_delta", "dispute_rate_12m",
+                   "pct_current", "pct_31_60", "pct_61_90", "pct_90_plus"]
+
+
+def _features_out(df: DataFrame) -> DataFrame:
+    # cents / 100000 has exactly 7 decimals, a rounding tie at 6 places that the
+    # two engines break differently; 9 places is exact for it
+    return r6(df, *FEATURE_DOUBLES).withColumn(
+        "outstanding_pct_of_credit", F.round("outstanding_pct_of_credit", 9))
+
+
+@query
+def features_faithful(spark, sf_dir):
+    return _features_out(customer_features(ledger_dbt(spark, sf_dir), AS_OF))
+
+
+@query
+def features_strict(spark, sf_dir):
+    inv, pay, ev = staged(spark, sf_dir)
+    return _features_out(strict_features(inv, pay, ev, AS_OF))
+
+
 def registered() -> dict[str, Query]:
     """Public names (the ``_q`` suffix only avoids clashing with operator names)."""
     return {name[:-2] if name.endswith("_q") else name: fn for name, fn in QUERIES.items()}
