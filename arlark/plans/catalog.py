@@ -250,6 +250,110 @@ def features_strict(spark, sf_dir):
     return _features_out(strict_features(inv, pay, ev, AS_OF))
 
 
+# --------------------------------------------------------------------------- source normalizers
+
+from arlark.operators.normalize import (  # noqa: E402
+    normalize_erp, normalize_payments, normalize_product_events, parse_json_payloads)
+from arlark.schemas import (  # noqa: E402
+    EVENT_PAYLOAD_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, STRIPE_PAYLOAD_SCHEMA, VALID_SOURCES)
+
+NON_LOAD_INVOICE = ["invoice_id", "customer_id", "customer_name", "invoice_date", "due_date", "amount_usd",
+                    "currency", "status", "source_system", "po_number", "line_items", "_source_file"]
+NON_LOAD_PAYMENT = ["payment_id", "invoice_id", "customer_id", "payment_date", "amount_usd", "currency",
+                    "payment_method", "processor", "is_partial", "reference_number", "notes", "_source_event"]
+NON_LOAD_EVENT = ["event_id", "invoice_id", "customer_id", "event_type", "occurred_at", "actor", "outcome",
+                  "_source_event"]
+
+
+def erp_normalized(spark, sf_dir, source: str) -> DataFrame:
+    return normalize_erp(src.erp_export(spark, sf_dir, source), source, source_file=f"{source}.csv")
+
+
+def _erp_valid(spark, sf_dir, source):
+    # load time is the wall clock of the run; everything else is deterministic
+    return split_quarantine(erp_normalized(spark, sf_dir, source))[0].select(*NON_LOAD_INVOICE)
+
+
+@query
+def erp_normalize_netsuite(spark, sf_dir):
+    return _erp_valid(spark, sf_dir, "netsuite")
+
+
+@query
+def erp_normalize_quickbooks(spark, sf_dir):
+    return _erp_valid(spark, sf_dir, "quickbooks")
+
+
+@query
+def erp_normalize_sap(spark, sf_dir):
+    return _erp_valid(spark, sf_dir, "sap")
+
+
+@query
+def erp_union(spark, sf_dir):
+    parts = [_erp_valid(spark, sf_dir, s) for s in VALID_SOURCES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query
+def erp_quarantine(spark, sf_dir):
+    parts = [split_quarantine(erp_normalized(spark, sf_dir, s))[1] for s in VALID_SOURCES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("invoice_id", "source_system", F.array_join("_errors", "; ").alias("errors"))
+
+
+def payments_normalized(spark, sf_dir, processor: str) -> DataFrame:
+    schema = STRIPE_PAYLOAD_SCHEMA if processor == "stripe" else FLAT_PAYMENT_PAYLOAD_SCHEMA
+    parsed = parse_json_payloads(src.payment_payloads(spark, sf_dir, processor), schema)
+    return normalize_payments(parsed, processor)
+
+
+def _pay_valid(spark, sf_dir, processor):
+    return split_quarantine(payments_normalized(spark, sf_dir, processor))[0].select(*NON_LOAD_PAYMENT)
+
+
+@query
+def payment_normalize_stripe(spark, sf_dir):
+    return _pay_valid(spark, sf_dir, "stripe")
+
+
+@query
+def payment_normalize_plaid(spark, sf_dir):
+    return _pay_valid(spark, sf_dir, "plaid")
+
+
+@query
+def payment_normalize_manual(spark, sf_dir):
+    return _pay_valid(spark, sf_dir, "manual")
+
+
+@query
+def payment_quarantine(spark, sf_dir):
+    parts = [split_quarantine(payments_normalized(spark, sf_dir, p))[1] for p in ("stripe", "plaid", "manual")]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select("payment_id", "processor", F.array_join("_errors", "; ").alias("errors"))
+
+
+def events_normalized(spark, sf_dir) -> DataFrame:
+    return normalize_product_events(parse_json_payloads(src.event_payloads(spark, sf_dir), EVENT_PAYLOAD_SCHEMA))
+
+
+@query
+def event_normalize_fallback(spark, sf_dir):
+    return split_quarantine(events_normalized(spark, sf_dir))[0].select(*NON_LOAD_EVENT)
+
+
+@query
+def event_quarantine(spark, sf_dir):
+    q = split_quarantine(events_normalized(spark, sf_dir))[1]
+    return q.select("event_id", F.array_join("_errors", "; ").alias("errors"))
+
+
 def registered() -> dict[str, Query]:
     """Public names (the ``_q`` suffix only avoids clashing with operator names)."""
     return {name[:-2] if name.endswith("_q") else name: fn for name, fn in QUERIES.items()}

@@ -120,3 +120,135 @@ def raw_product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return raw_invoices(spark, sf_dir), raw_payments(spark, sf_dir), raw_product_events(spark, sf_dir)
+
+
+# --------------------------------------------------------------------------- source-shaped renderings
+#
+# The normalizers take source-shaped input: ERP exports as all-text rows with
+# each ERP's column names, and processor webhooks / product events as JSON
+# text.  These renderings produce such input from the whole driver tables,
+# with deterministic messiness (padding, synonyms, alternate date forms,
+# missing and invalid values) so that cleaning and quarantine are exercised.
+
+ERP_PREFIX = {"netsuite": "NS-", "quickbooks": "QB-", "sap": "SAP-"}
+
+
+def erp_export(spark: SparkSession, sf_dir: str, source_system: str) -> DataFrame:
+    """Every order as a text row of one ERP's export."""
+    from arlark.schemas import SOURCE_COLUMN_MAPS
+
+    cmap = SOURCE_COLUMN_MAPS[source_system]
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    j = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+    k, st, pr = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    inv_date = F.to_date("o_orderdate")
+    date_fmt = "yyyyMMdd" if source_system == "quickbooks" else "yyyy-MM-dd"
+    due = F.when(pr == "5-LOW", F.date_sub(inv_date, 1)).otherwise(F.date_add(inv_date, 30))
+    text = {
+        "invoice_id": F.concat(F.lit(ERP_PREFIX[source_system]), _str("o_orderkey")),
+        "customer_id": F.when(k % 5 == 0, F.concat(F.lit("  CUST-"), _str("o_custkey"), F.lit("\t")))
+        .otherwise(F.concat(F.lit("CUST-"), _str("o_custkey"))),
+        "customer_name": F.when(k % 7 == 0, F.lit("")).otherwise(F.col("c_name")),
+        "invoice_date": F.date_format(inv_date, date_fmt),
+        "due_date": F.date_format(due, date_fmt),
+        "amount_usd": F.when((pr == "1-URGENT") & (st == "F"), F.lit("n/a"))
+        .otherwise(F.col("o_totalprice").cast(MONEY).cast("string")),
+        "currency": F.when(k % 3 == 0, F.lit("usd")).when(k % 3 == 1, F.lit(" USD ")).otherwise(F.lit("")),
+        "status": F.when((pr == "2-HIGH") & (st == "F"), F.lit("void"))
+        .when(st == "O", F.lit(" Open ")).when(st == "P", F.lit("Partially Paid")).otherwise(F.lit("closed")),
+        "po_number": F.when(k % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("PO-"), _str("o_orderkey"))),
+        "line_items": F.when(k % 11 == 0, F.lit(""))
+        .when((pr == "3-MEDIUM") & (st == "P"), F.lit("-1")).otherwise((k % 9).cast("string")),
+    }
+    return j.select([text[canonical].alias(src) for canonical, src in cmap.items()])
+
+
+def _epoch_noon(date_col) -> F.Column:
+    """Epoch seconds at 12:00 UTC of a date (so the UTC calendar date is exact)."""
+    return F.unix_date(date_col).cast("bigint") * 86400 + 43200
+
+
+def payment_payloads(spark: SparkSession, sf_dir: str, processor: str) -> DataFrame:
+    """Every line item as one JSON webhook payload of ``processor`` in column ``value``."""
+    lineitem = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    j = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "inner")
+    n = F.col("l_linenumber")
+    suffix = F.concat(_str("l_orderkey"), F.lit("_"), _str("l_linenumber"))
+    invoice = F.when(F.col("l_returnflag") == "R", F.lit(None).cast("string")) \
+        .otherwise(F.concat(F.lit("INV-"), _str("l_orderkey")))
+    customer = F.concat(F.lit("CUST-"), _str("o_custkey"))
+    method = F.when(n == 1, "card").when(n == 2, "bank_transfer").when(n == 3, "wire") \
+        .when(n == 4, "check").otherwise("cash")
+    ship = F.to_date("l_shipdate")
+    if processor == "stripe":
+        payload = F.struct(
+            F.concat(F.lit("evt_"), suffix).alias("id"),
+            F.struct(F.struct(
+                F.concat(F.lit("pi_"), suffix).alias("id"),
+                F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("amount_received"),
+                _epoch_noon(ship).alias("created"),
+                F.lit("usd").alias("currency"),
+                method.alias("payment_method_type"),
+                F.concat(F.lit("txn_"), suffix).alias("balance_transaction"),
+                F.create_map(F.lit("invoice_id"), invoice, F.lit("customer_id"), customer,
+                             F.lit("is_partial"), F.when(n > 1, "true").otherwise("false")).alias("metadata"),
+            ).alias("object")).alias("data"),
+        )
+    else:
+        amount = F.col("l_extendedprice").cast(MONEY)
+        fields = [
+            F.concat(F.lit(f"{processor}-"), suffix).alias("event_id"),
+            F.concat(F.lit("PAY-"), suffix).alias("payment_id"),
+            invoice.alias("invoice_id"),
+            customer.alias("customer_id"),
+            F.date_format(ship, "yyyy-MM-dd").alias("payment_date"),
+            (amount.alias("amount") if processor == "plaid" else amount.cast("string").alias("amount_usd")),
+            F.lit("USD").alias("currency"),
+            method.alias("payment_method"),
+            F.concat(F.lit("REF-"), suffix).alias("reference_number"),
+            (n > 1).alias("is_partial"),
+        ]
+        if processor != "plaid":
+            fields.append(F.when(n == 7, F.lit("")).otherwise(F.concat(F.lit("line "), _str("l_linenumber")))
+                          .alias("notes"))
+        payload = F.struct(*fields)
+    return j.select(F.to_json(payload).alias("value"))
+
+
+def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every click-stream row as a product-event JSON payload, in four field layouts."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    k = F.regexp_extract("props", "[0-9]+", 0).cast("bigint")
+    et = F.col("event_type")
+    etype = F.when(et == "click", "Email_Sent").when(et == "view", "reminder_triggered") \
+        .when(et == "signup", "call_logged").when(et == "purchase", "dispute_opened").otherwise("sms_sent")
+    occurred = F.date_format(F.col("ts").cast(TS) - F.expr(f"INTERVAL {EVENT_SHIFT_DAYS} DAYS"),
+                             "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    invoice = F.concat(F.lit("INV-"), (F.col("user_id") * 10 + k % 10).cast("string"))
+    customer = F.concat(F.lit("CUST-"), _str("user_id"))
+    outcome = F.when(F.col("value") < 5, "Delivered").when(F.col("value") < 10, "").otherwise("opened")
+    layout = F.col("event_id") % 4
+    none = F.lit(None).cast("string")
+    payload = F.struct(
+        F.concat(F.lit("EVT-"), _str("event_id")).alias("event_id"),
+        F.when(layout == 2, none).otherwise(invoice).alias("invoice_id"),
+        F.when(layout == 2, none).otherwise(customer).alias("customer_id"),
+        F.when(layout == 0, etype).otherwise(none).alias("event_type"),
+        F.when(layout.isin(1, 2), etype).otherwise(none).alias("type"),
+        F.when(layout == 0, occurred).otherwise(none).alias("occurred_at"),
+        F.when(layout.isin(1, 2), occurred).otherwise(none).alias("timestamp"),
+        F.when(layout == 2, none).when(layout == 1, F.lit(""))
+        .otherwise(F.concat(F.lit("agent_"), (F.col("user_id") % 20).cast("string"))).alias("actor"),
+        F.when(layout == 3, F.lit("")).otherwise(outcome).alias("outcome"),
+        F.concat(F.lit("src-"), _str("event_id")).alias("source_event"),
+        F.create_map(
+            F.lit("invoice_id"), invoice, F.lit("customer_id"), customer,
+            F.lit("event_type"), etype, F.lit("occurred_at"), occurred,
+            F.lit("outcome"), outcome,
+        ).alias("properties"),
+    )
+    return ev.select(F.to_json(payload, {"ignoreNullFields": "true"}).alias("value"))
