@@ -354,6 +354,103 @@ def event_quarantine(spark, sf_dir):
     return q.select("event_id", F.array_join("_errors", "; ").alias("errors"))
 
 
+# --------------------------------------------------------------------------- dedupe (ingestion rules)
+
+from arlark.operators.dedupe import with_idempotency_key  # noqa: E402
+
+
+def canonical_valid(spark, sf_dir) -> DataFrame:
+    return split_quarantine(canonicalize_invoices(src.raw_invoices(spark, sf_dir)))[0]
+
+
+@query
+def invoice_idempotency_key(spark, sf_dir):
+    return with_idempotency_key(canonical_valid(spark, sf_dir)).select(
+        "invoice_id", "source_system", "customer_id", "invoice_date", "idempotency_key")
+
+
+@query
+def invoice_first_wins(spark, sf_dir):
+    return dedupe_invoices(canonical_valid(spark, sf_dir))
+
+
+@query
+def payment_first_wins(spark, sf_dir):
+    return dedupe_payments(src.raw_payments(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- data quality
+
+from arlark.operators import quality  # noqa: E402
+from arlark.operators.ledger import negative_outstanding as negative_outstanding_rows  # noqa: E402
+
+FRESHNESS_NOW = "2024-01-31 01:00:00"
+
+
+@query
+def quality_invoices(spark, sf_dir):
+    return r6(quality.validate_invoices(src.raw_invoices(spark, sf_dir)), "observed")
+
+
+@query
+def quality_payments(spark, sf_dir):
+    return r6(quality.validate_payments(src.raw_payments(spark, sf_dir)), "observed")
+
+
+@query
+def quality_suite_json(spark, sf_dir):
+    inv, pay, _ = staged(spark, sf_dir)
+    out = quality.run_expectation_suite(inv, "erp_invoices_suite").unionByName(
+        quality.run_expectation_suite(pay, "payments_suite"))
+    return r6(out, "unexpected_percent")
+
+
+def warehouse_models(spark, sf_dir) -> dict[str, DataFrame]:
+    inv, pay, ev = staged(spark, sf_dir)
+    ledger = build_ledger(inv, pay, ev, AS_OF, form="dbt")
+    return {
+        "stg_erp_invoices": inv, "stg_payments": pay, "stg_product_events": ev, "fct_ar_ledger": ledger,
+        "dim_customers": dim_customers(ledger), "mrt_collections_health": collections_health(ledger, "dbt"),
+    }
+
+
+@query
+def dbt_tests_report(spark, sf_dir):
+    models = warehouse_models(spark, sf_dir)
+    return quality.run_warehouse_tests(
+        models, singular={"assert_no_negative_outstanding": negative_outstanding_rows(models["fct_ar_ledger"])})
+
+
+@query
+def orphan_events(spark, sf_dir):
+    inv, _, ev = staged(spark, sf_dir)
+    return quality.orphans(ev, inv, "invoice_id").select("event_id", "invoice_id")
+
+
+@query
+def negative_outstanding(spark, sf_dir):
+    return negative_outstanding_rows(ledger_dbt(spark, sf_dir))
+
+
+@query
+def source_freshness(spark, sf_dir):
+    inv, pay, ev = src.raw_tables(spark, sf_dir)
+    out = quality.source_freshness({"erp_invoices": inv, "payment_events": pay, "product_events": ev},
+                                   FRESHNESS_NOW)
+    return r6(out, "age_hours")
+
+
+@query
+def volume_anomaly(spark, sf_dir):
+    return r6(quality.volume_anomalies(staged(spark, sf_dir)[0]), "rolling_mean", "rolling_stddev")
+
+
+@query
+def currency_codes(spark, sf_dir):
+    inv, pay, _ = src.raw_tables(spark, sf_dir)
+    return quality.currency_report({"erp_invoices": inv, "payment_events": pay})
+
+
 def registered() -> dict[str, Query]:
     """Public names (the ``_q`` suffix only avoids clashing with operator names)."""
     return {name[:-2] if name.endswith("_q") else name: fn for name, fn in QUERIES.items()}
