@@ -9,6 +9,8 @@ quarantine is not empty.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,8 +64,20 @@ def _bad_parse(text: Column, parsed: Column) -> Column:
     return text.isNotNull() & parsed.isNull()
 
 
+def evaluate_once(df: DataFrame) -> DataFrame:
+    """Pass rows through a one-element ``inline`` (a Generate node).
+
+    Predicate pushdown does not cross a generator, so a filter placed on top
+    (such as the valid / quarantine split on ``_errors``) reads the computed
+    columns instead of having every cleaning and parsing expression inlined
+    into it -- and evaluated a second time -- below the projection.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def split_quarantine(df: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """(valid rows without ``_errors``, quarantined rows with them)."""
+    df = evaluate_once(df)
     bad = F.size(F.col(ERRORS)) > 0
     valid = df.where(~bad).drop(ERRORS)
     quarantine = df.where(bad)
@@ -78,13 +92,14 @@ def split_quarantine(df: DataFrame, strict: bool = False) -> tuple[DataFrame, Da
 # --------------------------------------------------------------------------- ERP invoices
 
 def normalize_erp(df: DataFrame, source_system: str | None, source_file: str | Column | None = None,
-                  column_map: dict | None = None) -> DataFrame:
+                  column_map: dict | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """ERP export (all text) -> canonical invoices plus ``_errors``.
 
     ``source_system`` selects the rename map (case-insensitive; an unknown
     name is a programming error and raises).  ``None`` means the frame already
     uses canonical names and carries a per-row ``source_system`` column.
-    Absent source columns become NULL.
+    Absent source columns become NULL.  ``keep`` columns are carried through
+    unchanged (e.g. an input-order column for first-wins dedupe).
     """
     if source_system is not None:
         source = source_system.lower()
@@ -124,6 +139,7 @@ def normalize_erp(df: DataFrame, source_system: str | None, source_file: str | C
         text("line_items").alias("_t_line_items"),
         loaded.alias("_loaded_at"),
         file_col.cast("string").alias("_source_file"),
+        *keep,
     )
     typed = staged.select(
         "*",
@@ -152,7 +168,7 @@ def normalize_erp(df: DataFrame, source_system: str | None, source_file: str | C
         (c("due_date") < c("invoice_date"), "due_date before invoice_date"),
         (c("line_items") < 0, "negative line_items"),
     ))
-    return checked.select(*[f.name for f in INVOICE_SCHEMA.fields], ERRORS)
+    return checked.select(*[f.name for f in INVOICE_SCHEMA.fields], *keep, ERRORS)
 
 
 def canonicalize_invoices(raw: DataFrame) -> DataFrame:
@@ -182,7 +198,8 @@ def _payment_out(payment_id, invoice_id, customer_id, date_text, date_value, amo
     ]
 
 
-def normalize_payments(df: DataFrame, processor: str, payload: str = "payload") -> DataFrame:
+def normalize_payments(df: DataFrame, processor: str, payload: str = "payload",
+                       keep: Sequence[str] = ()) -> DataFrame:
     """Parsed webhook payloads -> canonical payments plus ``_errors``.
 
     ``df[payload]`` is a struct (``STRIPE_PAYLOAD_SCHEMA`` for stripe,
@@ -238,7 +255,7 @@ def normalize_payments(df: DataFrame, processor: str, payload: str = "payload")
             F.coalesce(p["event_id"], F.lit("")),
         )
     loaded = F.col("_loaded_at").cast(TS) if "_loaded_at" in df.columns else utc_now()
-    flat = df.select(*cols, loaded.alias("_loaded_at"))
+    flat = df.select(*cols, loaded.alias("_loaded_at"), *keep)
     c = F.col
     checked = flat.withColumn(ERRORS, _errors(
         (_missing(c("payment_id")), "missing payment_id"),
@@ -251,12 +268,12 @@ def normalize_payments(df: DataFrame, processor: str, payload: str = "payload")
         (~c("payment_method").isin(VALID_PAYMENT_METHODS), "invalid payment_method"),
         (c("amount_usd") <= 0, "non-positive amount"),
     ))
-    return checked.select(*[f.name for f in PAYMENT_SCHEMA.fields], ERRORS)
+    return checked.select(*[f.name for f in PAYMENT_SCHEMA.fields], *keep, ERRORS)
 
 
 # --------------------------------------------------------------------------- product events
 
-def normalize_product_events(df: DataFrame, payload: str = "payload") -> DataFrame:
+def normalize_product_events(df: DataFrame, payload: str = "payload", keep: Sequence[str] = ()) -> DataFrame:
     """Event payloads with fallback chains -> canonical events plus ``_errors``.
 
     Each field is read from the top level, then an alternate name
@@ -278,6 +295,7 @@ def normalize_product_events(df: DataFrame, payload: str = "payload") -> DataFra
         F.lower(first_present(p["outcome"], props["outcome"])).alias("outcome"),
         loaded.alias("_loaded_at"),
         F.coalesce(p["source_event"], F.lit("")).alias("_source_event"),
+        *keep,
     )
     c = F.col
     checked = flat.withColumn(ERRORS, _errors(
@@ -290,7 +308,7 @@ def normalize_product_events(df: DataFrame, payload: str = "payload") -> DataFra
         (c("event_type").isNotNull() & ~c("event_type").isin(VALID_PRODUCT_EVENT_TYPES), "invalid event_type"),
         (c("outcome").isNotNull() & ~c("outcome").isin(VALID_PRODUCT_OUTCOMES), "invalid outcome"),
     ))
-    return checked.select(*[f.name for f in EVENT_SCHEMA.fields], ERRORS)
+    return checked.select(*[f.name for f in EVENT_SCHEMA.fields], *keep, ERRORS)
 
 
 def parse_json_payloads(df: DataFrame, schema, value: str = "value", payload: str = "payload") -> DataFrame:
