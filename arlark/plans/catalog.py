@@ -451,6 +451,87 @@ def currency_codes(spark, sf_dir):
     return quality.currency_report({"erp_invoices": inv, "payment_events": pay})
 
 
+# --------------------------------------------------------------------------- sinks
+
+import os  # noqa: E402
+
+from arlark.operators.dedupe import keep_latest  # noqa: E402
+from arlark.plans import jobs, sinks  # noqa: E402
+from arlark.session import unique_dir  # noqa: E402
+
+
+@query
+def feature_snapshot_roundtrip(spark, sf_dir):
+    """Features written as an ``as_of_date`` partition and read back with partition pruning."""
+    path = unique_dir(spark, "feature-snapshots")
+    sinks.write_feature_snapshot(customer_features(ledger_dbt(spark, sf_dir), AS_OF), path)
+    return _features_out(sinks.read_feature_snapshot(spark, path, AS_OF))
+
+
+UPSERT_TARGET_BEFORE = dt.date(1998, 1, 1)
+UPSERT_SOURCE_FROM = dt.date(1997, 7, 1)
+
+
+@query
+def invoice_upsert(spark, sf_dir):
+    """First loads dated before 1998 as the target; latest rows dated from 1997-07 merged into it."""
+    canon = canonical_valid(spark, sf_dir)
+    target = canon.where((F.col("_loaded_at") == F.lit(src.FIRST_LOAD_AT).cast("timestamp_ntz"))
+                         & (F.col("invoice_date") < F.lit(UPSERT_TARGET_BEFORE)))
+    source = keep_latest(canon.where(F.col("invoice_date") >= F.lit(UPSERT_SOURCE_FROM)),
+                         ["invoice_id", "source_system"], tiebreak=["_source_file", "amount_usd", "status"])
+    return sinks.upsert_invoices(target, source)
+
+
+@query
+def pipeline_lineage(spark, sf_dir):
+    """Run the raw load and mart build on driver data; the run's lineage rows (stable columns)."""
+    out = unique_dir(spark, "pipeline")
+    inv, pay, ev = local_inputs(spark, sf_dir)
+    run_id = jobs.load_raw_records(spark, inv, pay, ev, out)
+    jobs.build_dashboard_marts(spark, out, AS_OF, run_id)
+    return sinks.read_lineage(spark, jobs.lineage_path(out), run_id).select(
+        "source_name", "target_table", "row_count", "transformation")
+
+
+# --------------------------------------------------------------------------- streaming
+
+from arlark.streaming import streams  # noqa: E402
+
+
+def _stream_of(spark, sf_dir, name):
+    """A driver table as a file stream (the source watches the folder, filtered to the table's file)."""
+    schema = src.table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+@query
+def stream_payment_dedupe(spark, sf_dir):
+    """Line items streamed, joined to static orders, payment ids deduplicated within the watermark.
+
+    Which duplicate survives depends on arrival order, so the result keeps the
+    columns every copy shares: exactly one row per payment id, with its customer.
+    """
+    out = unique_dir(spark, "stream-payments")
+    pays = src.payments_from(_stream_of(spark, sf_dir, "lineitem"), src.table(spark, sf_dir, "orders"))
+    deduped = streams.dedupe_payment_stream(pays, delay="3650 days")
+    streams.run_available_now(deduped.select("payment_id", "customer_id"),
+                              os.path.join(out, "_checkpoint"), path=os.path.join(out, "data"))
+    return spark.read.parquet(os.path.join(out, "data"))
+
+
+@query
+def stream_touch_counts(spark, sf_dir):
+    """Running touch counts per invoice, update mode merged into a versioned table."""
+    out = unique_dir(spark, "stream-touches")
+    events = src.product_events_from(_stream_of(spark, sf_dir, "events"))
+    counts = streams.touch_count_stream(events)
+    table_dir = os.path.join(out, "table")
+    streams.run_available_now(counts, os.path.join(out, "_checkpoint"), output_mode="update",
+                              foreach_batch=streams.merge_updates_by_key(table_dir, ["invoice_id"]))
+    return spark.read.parquet(streams.latest_version(spark, table_dir))
+
+
 def registered() -> dict[str, Query]:
     """Public names (the ``_q`` suffix only avoids clashing with operator names)."""
     return {name[:-2] if name.endswith("_q") else name: fn for name, fn in QUERIES.items()}

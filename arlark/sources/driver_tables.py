@@ -76,10 +76,15 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per line item; returned lines carry no invoice (unapplied cash)."""
-    lineitem = table(spark, sf_dir, "lineitem").select(
+    return payments_from(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
+
+
+def payments_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """The payment mapping over given frames (batch or a streaming ``lineitem``)."""
+    lineitem = lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    orders = orders.select("o_orderkey", "o_custkey")
     j = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "inner")
     n = F.col("l_linenumber")
     out = j.select(
@@ -101,7 +106,12 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Click stream as collection touches; ``page_viewed`` is noise outside the accepted set."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    return product_events_from(table(spark, sf_dir, "events"))
+
+
+def product_events_from(events: DataFrame) -> DataFrame:
+    """The event mapping over a given frame (batch or streaming)."""
+    ev = events.select("event_id", "ts", "user_id", "event_type", "props")
     k = F.regexp_extract("props", "[0-9]+", 0).cast("bigint")
     et = F.col("event_type")
     out = ev.select(
