@@ -10,27 +10,29 @@ from pyspark.sql import functions as F
 from arlark.schemas import COLLECTION_EVENT_TYPES, MONEY
 
 
-def matched_payments(payments: DataFrame, loaded_at: str = "loaded_at") -> DataFrame:
-    """Per (invoice, customer): count, first/last date, amount, last load, ordered id list.
+def _payment_groups(payments: DataFrame, loaded_at: str) -> DataFrame:
+    """One aggregate per (invoice, customer); the NULL-invoice group is the customer's unapplied cash.
 
     Grouping is a hash aggregate with a map-side partial step, so a hot invoice
-    or customer is combined before the shuffle.
+    or customer is combined before the shuffle.  Matched and unapplied views
+    both read this one aggregate (one scan, one shuffle of the payments).
     """
-    return (
-        payments.where(F.col("invoice_id").isNotNull())
-        .groupBy("invoice_id", "customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("payment_count"),
-            F.min("payment_date").alias("first_payment_date"),
-            F.max("payment_date").alias("last_payment_date"),
-            F.sum("amount_usd").cast(MONEY).alias("amount_paid_usd"),
-            F.max(loaded_at).alias("last_payment_loaded_at"),
-            F.expr("listagg(payment_id, ',') WITHIN GROUP "
-                   "(ORDER BY payment_date ASC NULLS LAST, payment_id ASC NULLS LAST)").alias("payment_ids"),
-        )
+    return payments.groupBy("invoice_id", "customer_id").agg(
+        F.count(F.lit(1)).alias("payment_count"),
+        F.min("payment_date").alias("first_payment_date"),
+        F.max("payment_date").alias("last_payment_date"),
+        F.sum("amount_usd").cast(MONEY).alias("amount_paid_usd"),
+        F.max(loaded_at).alias("last_payment_loaded_at"),
+        F.expr("listagg(payment_id, ',') WITHIN GROUP "
+               "(ORDER BY payment_date ASC NULLS LAST, payment_id ASC NULLS LAST)").alias("payment_ids"),
     )
 
 
+def matched_payments(payments: DataFrame, loaded_at: str = "loaded_at") -> DataFrame:
+    """Per (invoice, customer): count, first/last date, amount, last load, ordered id list."""
+    return _payment_groups(payments.where(F.col("invoice_id").isNotNull()), loaded_at)
+
+
 def unapplied_cash(payments: DataFrame) -> DataFrame:
     """Cash received without an invoice, per customer."""
     return (
@@ -47,8 +49,10 @@ def payment_matching(payments: DataFrame, loaded_at: str = "loaded_at") -> DataF
     unapplied does not appear, and the unapplied amount repeats on every
     matched invoice of the customer (never sum it over invoices).
     """
-    matched = matched_payments(payments, loaded_at)
-    unapplied = unapplied_cash(payments)
+    groups = _payment_groups(payments, loaded_at)
+    matched = groups.where(F.col("invoice_id").isNotNull())
+    unapplied = groups.where(F.col("invoice_id").isNull()).select(
+        "customer_id", F.col("amount_paid_usd").alias("unapplied_cash_usd"))
     return (
         matched.join(unapplied, "customer_id", "left")
         .select(
