@@ -176,6 +176,21 @@ def canonicalize_invoices(raw: DataFrame) -> DataFrame:
     return normalize_erp(raw, None)
 
 
+def with_invoice_derivations(invoices: DataFrame, as_of=None) -> DataFrame:
+    """The raw invoice record's derived fields as of a date: days outstanding, overdue, bucket.
+
+    Overdue here is the record rule: ``as_of > due_date`` and status is not PAID.
+    """
+    from arlark.functions.aging import aging_bucket, as_of_literal, days_outstanding
+
+    days = days_outstanding("invoice_date", as_of)
+    return invoices.withColumns({
+        "days_outstanding": days,
+        "is_overdue": (as_of_literal(as_of) > F.col("due_date")) & (F.col("status") != "PAID"),
+        "aging_bucket": aging_bucket(days),
+    })
+
+
 # --------------------------------------------------------------------------- payments
 
 def _payment_out(payment_id, invoice_id, customer_id, date_text, date_value, amount_text, amount_value,

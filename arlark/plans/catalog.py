@@ -532,6 +532,18 @@ def stream_touch_counts(spark, sf_dir):
     return spark.read.parquet(streams.latest_version(spark, table_dir))
 
 
+@query
+def stream_event_normalize(spark, sf_dir):
+    """Event JSON lines (rendered from the click stream) normalized as a stream; valid rows."""
+    out = unique_dir(spark, "stream-events")
+    inbox = os.path.join(out, "inbox")
+    src.event_payloads(spark, sf_dir).write.mode("overwrite").text(inbox)
+    norm = streams.normalized_event_stream(streams.json_message_stream(spark, inbox))
+    valid = norm.where(F.size("_errors") == 0).select(*NON_LOAD_EVENT)
+    streams.run_available_now(valid, os.path.join(out, "_checkpoint"), path=os.path.join(out, "data"))
+    return spark.read.parquet(os.path.join(out, "data"))
+
+
 def registered() -> dict[str, Query]:
     """Public names (the ``_q`` suffix only avoids clashing with operator names)."""
     return {name[:-2] if name.endswith("_q") else name: fn for name, fn in QUERIES.items()}

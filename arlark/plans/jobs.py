@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from arlark.operators.dedupe import dedupe_invoices, keep_first
 from arlark.operators.ledger import build_ledger, negative_outstanding
 from arlark.operators.marts import collections_health, dim_customers
-from arlark.operators.normalize import normalize_erp, normalize_payments, normalize_product_events, split_quarantine
+from arlark.operators.normalize import (
+    normalize_erp, normalize_payments, normalize_product_events, split_quarantine, with_invoice_derivations,
+)
 from arlark.operators.quality import run_warehouse_tests, source_freshness, validate_invoices, validate_payments
 from arlark.operators.staging import stg_erp_invoices, stg_payments, stg_product_events
 from arlark.plans.sinks import append_lineage, write_table
@@ -47,13 +49,21 @@ def lineage_path(out_dir: str) -> str:
 
 
 def load_raw_records(spark: SparkSession, invoices: DataFrame, payments: DataFrame, events: DataFrame,
-                     out_dir: str, run_id: str | None = None, source_name: str = "local_sample_data") -> str:
-    """Full-replace load of the three raw tables under one run id, one lineage row each."""
+                     out_dir: str, run_id: str | None = None, source_name: str = "local_sample_data",
+                     as_of=None) -> str:
+    """Full-replace load of the three raw tables under one run id, one lineage row each.
+
+    Invoices carry the record's derived fields (days outstanding, overdue,
+    bucket) as of ``as_of`` next to the canonical columns.
+    """
     run_id = run_id or str(uuid.uuid4())
     entries = []
-    for name, df, schema in [(RAW_TABLES[0], invoices, INVOICE_SCHEMA), (RAW_TABLES[1], payments, PAYMENT_SCHEMA),
-                             (RAW_TABLES[2], events, EVENT_SCHEMA)]:
-        n = write_table(df.select(*[f.name for f in schema.fields]), table_path(out_dir, name))
+    inv_cols = [f.name for f in INVOICE_SCHEMA.fields] + ["days_outstanding", "is_overdue", "aging_bucket"]
+    inv = with_invoice_derivations(invoices.select(*[f.name for f in INVOICE_SCHEMA.fields]), as_of)
+    for name, df, cols in [(RAW_TABLES[0], inv, inv_cols),
+                           (RAW_TABLES[1], payments, [f.name for f in PAYMENT_SCHEMA.fields]),
+                           (RAW_TABLES[2], events, [f.name for f in EVENT_SCHEMA.fields])]:
+        n = write_table(df.select(*cols), table_path(out_dir, name))
         entries.append((source_name, name, n, "normalize_source_payloads"))
     append_lineage(spark, lineage_path(out_dir), run_id, entries)
     return run_id
@@ -110,6 +120,7 @@ def run_local_pipeline(spark: SparkSession, sample_dir: str, out_dir: str, as_of
         keep_first(pay_valid, ["payment_id"], ["_source_file", "_input_seq"]),
         ev_valid,                      # product events are loaded as received, not deduplicated
         out_dir,
+        as_of=as_of,
     )
     build_dashboard_marts(spark, out_dir, as_of, run_id)
     return run_id
@@ -156,3 +167,26 @@ def run_warehouse_build(spark: SparkSession, raw_dir: str, out_dir: str, as_of=N
                        ("mrt_collections_health", mart_path)]:
         write_table(spark.read.parquet(path), os.path.join(published, name))
     return {"published": True, "stage": "publish"}
+
+
+def run_local_checkpoint(spark: SparkSession, erp_csv: str | None = None,
+                         payments_csv: str | None = None) -> DataFrame | None:
+    """Quality suites over exported CSV files (canonical column names, header row).
+
+    Amount columns are read as decimals (a malformed number is NULL, so it is
+    neither negative nor positive); everything else as text.
+    """
+    prepare(spark)
+    parts = []
+    if erp_csv:
+        inv = spark.read.option("header", True).option("inferSchema", False).csv(erp_csv)
+        parts.append(validate_invoices(inv.withColumn("amount_usd", F.col("amount_usd").try_cast("decimal(18,2)"))))
+    if payments_csv:
+        pay = spark.read.option("header", True).option("inferSchema", False).csv(payments_csv)
+        parts.append(validate_payments(pay.withColumn("amount_usd", F.col("amount_usd").try_cast("decimal(18,2)"))))
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -129,3 +129,32 @@ def test_reports_and_features(spark, run):
     assert round(f["CUST-001"].outstanding_pct_of_credit, 6) == 0.66
     assert round(f["CUST-001"].pct_31_60, 6) == 0.363636 and f["CUST-002"].days_since_last_payment is None
     assert f["CUST-004"].collection_attempts_30d == 1 and f["CUST-002"].pct_61_90 == 1.0
+
+
+def test_raw_invoices_carry_record_derivations(spark, run):
+    out, _ = run
+    r = spark.read.parquet(table_path(out, RAW_TABLES[0])).where(F.col("invoice_id") == "NS-1003").first()
+    assert (r.days_outstanding, r.aging_bucket, r.is_overdue) == (45, "31-60", True)
+
+
+def test_publish_gate(spark, run, tmp_path):
+    from arlark.plans.jobs import run_warehouse_build
+
+    out, _ = run
+    fresh = run_warehouse_build(spark, out, str(tmp_path / "ok"), as_of=AS_OF,
+                                now=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    assert fresh["published"] is True
+    assert spark.read.parquet(str(tmp_path / "ok" / "published" / "mrt_collections_health")).count() == 4
+    stale = run_warehouse_build(spark, out, str(tmp_path / "stale"), as_of=AS_OF, now=dt.datetime(2099, 1, 1))
+    assert stale == {**stale, "published": False, "stage": "freshness"}
+    assert not (tmp_path / "stale" / "published").exists()
+
+
+def test_local_checkpoint_on_csv(spark, tmp_path):
+    from arlark.plans.jobs import run_local_checkpoint
+
+    p = tmp_path / "inv.csv"
+    p.write_text("invoice_id,customer_id,amount_usd,status,currency\nA,C,10,OPEN,USD\nB,C,-1,void,usd\n")
+    res = {r.check: r.passed for r in run_local_checkpoint(spark, erp_csv=str(p)).collect()}
+    assert res == {"invoice_id_not_null": True, "customer_id_null_rate": True, "amount_non_negative": False,
+                   "status_in_set": False, "currency_iso_like": False}
