@@ -221,14 +221,41 @@ def failing_rows(models: dict[str, DataFrame], t: ColumnTest) -> DataFrame:
     raise ValueError(f"unknown test {t.test}")
 
 
+def _row_condition(t: ColumnTest) -> Column:
+    c = F.col(t.column)
+    if t.test == "not_null":
+        return c.isNull()
+    if t.test == "accepted_values":
+        return ~c.isin(list(t.values))       # NULL is neither accepted nor rejected: it passes
+    raise ValueError(t.test)
+
+
 def run_warehouse_tests(models: dict[str, DataFrame], tests: Sequence[ColumnTest] = WAREHOUSE_TESTS,
                         singular: dict[str, DataFrame] | None = None) -> DataFrame:
-    """(model, column, test, failures, status) for every declared test plus singular tests."""
+    """(model, column, test, failures, status) for every declared test plus singular tests.
+
+    Row-level tests (not_null, accepted_values) of one model are conditional
+    counts of a single aggregation pass over it; ``unique`` needs a grouping
+    per column and ``relationships`` an anti join, so those run separately.
+    """
     parts = []
+    by_model: dict[str, list[ColumnTest]] = {}
     for t in tests:
-        parts.append(failing_rows(models, t).agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(t.model).alias("model"), F.lit(t.column).alias("column"), F.lit(t.test).alias("test"),
-            "failures"))
+        by_model.setdefault(t.model, []).append(t)
+    for model, ts in by_model.items():
+        row_tests = [t for t in ts if t.test in ("not_null", "accepted_values")]
+        if row_tests:
+            counts = models[model].agg(*[F.count_if(_row_condition(t)).alias(f"t{i}")
+                                         for i, t in enumerate(row_tests)])
+            parts.append(counts.select(F.inline(F.array(*[
+                F.struct(F.lit(t.model).alias("model"), F.lit(t.column).alias("column"),
+                         F.lit(t.test).alias("test"), F.col(f"t{i}").alias("failures"))
+                for i, t in enumerate(row_tests)]))))
+        for t in ts:
+            if t.test in ("unique", "relationships"):
+                parts.append(failing_rows(models, t).agg(F.count(F.lit(1)).alias("failures")).select(
+                    F.lit(t.model).alias("model"), F.lit(t.column).alias("column"), F.lit(t.test).alias("test"),
+                    "failures"))
     for name, rows in (singular or {}).items():
         parts.append(rows.agg(F.count(F.lit(1)).alias("failures")).select(
             F.lit(name).alias("model"), F.lit(None).cast("string").alias("column"), F.lit("singular").alias("test"),

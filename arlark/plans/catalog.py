@@ -50,9 +50,29 @@ def r6(df: DataFrame, *cols: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- building blocks
 
-def staged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    inv, pay, ev = src.raw_tables(spark, sf_dir)
-    return stg_erp_invoices(inv, AS_OF), stg_payments(pay), stg_product_events(ev)
+class staged:
+    """Staging tables, each built only when a query asks for it (also unpacks as a 3-tuple)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @property
+    def invoices(self) -> DataFrame:
+        return stg_erp_invoices(src.raw_invoices(self.spark, self.sf_dir), AS_OF)
+
+    @property
+    def payments(self) -> DataFrame:
+        return stg_payments(src.raw_payments(self.spark, self.sf_dir))
+
+    @property
+    def events(self) -> DataFrame:
+        return stg_product_events(src.raw_product_events(self.spark, self.sf_dir))
+
+    def __getitem__(self, i: int) -> DataFrame:
+        return [lambda: self.invoices, lambda: self.payments, lambda: self.events][i]()
+
+    def __iter__(self):
+        return iter((self.invoices, self.payments, self.events))
 
 
 def ledger_dbt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +195,8 @@ def metric_overdue_by_month(spark, sf_dir):
 
 @query
 def metric_collection_rate_30d(spark, sf_dir):
-    inv, pay, _ = staged(spark, sf_dir)
+    st = staged(spark, sf_dir)
+    inv, pay = st.invoices, st.payments
     return r6(collection_rate_30d(inv, pay, AS_OF), "collection_rate_30d")
 
 
@@ -399,7 +420,8 @@ def quality_payments(spark, sf_dir):
 
 @query
 def quality_suite_json(spark, sf_dir):
-    inv, pay, _ = staged(spark, sf_dir)
+    st = staged(spark, sf_dir)
+    inv, pay = st.invoices, st.payments
     out = quality.run_expectation_suite(inv, "erp_invoices_suite").unionByName(
         quality.run_expectation_suite(pay, "payments_suite"))
     return r6(out, "unexpected_percent")
@@ -423,7 +445,8 @@ def dbt_tests_report(spark, sf_dir):
 
 @query
 def orphan_events(spark, sf_dir):
-    inv, _, ev = staged(spark, sf_dir)
+    st = staged(spark, sf_dir)
+    inv, ev = st.invoices, st.events
     return quality.orphans(ev, inv, "invoice_id").select("event_id", "invoice_id")
 
 

@@ -31,6 +31,9 @@ def build_session(master: str | None = None, app_name: str = "arlark",
         "spark.sql.constraintPropagation.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if master and master.startswith("local"):
+        # local mode runs everything in the driver JVM
+        conf["spark.driver.memory"] = "16g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -23,8 +23,35 @@ FIRST_LOAD_AT = "1998-07-01 00:00:00"
 SECOND_LOAD_AT = "1998-07-01 06:00:00"
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A driver table; the DataFrame (file listing, split probe) is built once per session and path.
+
+    DataFrames are immutable plans, so sharing one between queries is safe;
+    the data is still read by every query that runs.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark._jsparkSession), path, spark.conf.get("spark.arlark.spreadSmallInputs", "true"))
+    if key not in _TABLES:
+        _TABLES[key] = spread_small_input(spark.read.parquet(path))
+    return _TABLES[key]
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    A Parquet row group cannot be split, so a one-file, one-row-group table is
+    read by a single task and all per-row work before the first shuffle would
+    run on one core.  With real inputs (many files, many row groups) the scan
+    already has more splits than cores and this is a no-op.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.arlark.spreadSmallInputs", "true") != "true":
+        return df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:
