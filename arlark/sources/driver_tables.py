@@ -23,7 +23,7 @@ FIRST_LOAD_AT = "1998-07-01 00:00:00"
 SECOND_LOAD_AT = "1998-07-01 06:00:00"
 
 
-_TABLES: dict[tuple, DataFrame] = {}
+_TABLES: dict[tuple, tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,10 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     the data is still read by every query that runs.
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark._jsparkSession), path, spark.conf.get("spark.arlark.spreadSmallInputs", "true"))
+    # the session object is kept with its entry, so its id cannot be reused while cached
+    key = (spark.sparkContext.applicationId, id(spark), path,
+           spark.conf.get("spark.arlark.spreadSmallInputs", "true"))
     if key not in _TABLES:
-        _TABLES[key] = spread_small_input(spark.read.parquet(path))
-    return _TABLES[key]
+        _TABLES[key] = (spark, spread_small_input(spark.read.parquet(path)))
+    return _TABLES[key][1]
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:
