@@ -63,14 +63,16 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     checkpoint dir).  Only when neither is set -- local runs and tests -- a
     scratch folder is created and registered as the checkpoint dir.
     """
+    sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="arlark-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
     base = str(base)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)     # DataFrame.checkpoint() writes here
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, *parts) if parts else base
