@@ -9,22 +9,30 @@ rounded to 6 places on both sides (summation order differs between engines).
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arlark.operators import reports
-from arlark.operators.dedupe import dedupe_invoices, dedupe_payments
+from arlark.operators import quality, reports
+from arlark.operators.dedupe import dedupe_invoices, dedupe_payments, keep_latest, with_idempotency_key
 from arlark.operators.features import customer_features, strict_features
-from arlark.operators.metrics import collection_rate_30d, metric_query
 from arlark.operators.ledger import build_ledger, invoice_aging
+from arlark.operators.ledger import negative_outstanding as negative_outstanding_rows
 from arlark.operators.marts import collections_health, dim_customers
 from arlark.operators.matching import payment_matching, touches_per_invoice, unapplied_cash
-from arlark.operators.normalize import canonicalize_invoices, split_quarantine
+from arlark.operators.metrics import collection_rate_30d, metric_query
+from arlark.operators.normalize import (
+    canonicalize_invoices, normalize_erp, normalize_payments, normalize_product_events, parse_json_payloads,
+    split_quarantine,
+)
 from arlark.operators.staging import stg_erp_invoices, stg_payments, stg_product_events
-from arlark.session import prepare
+from arlark.plans import jobs, sinks
+from arlark.schemas import EVENT_PAYLOAD_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, STRIPE_PAYLOAD_SCHEMA, VALID_SOURCES
+from arlark.session import prepare, unique_dir
 from arlark.sources import driver_tables as src
+from arlark.streaming import streams
 
 AS_OF = dt.date.fromisoformat(src.AS_OF)
 RECENT_FROM = dt.date.fromisoformat(src.RECENT_FROM)
@@ -69,7 +77,7 @@ class staged:
         return stg_product_events(src.raw_product_events(self.spark, self.sf_dir))
 
     def __getitem__(self, i: int) -> DataFrame:
-        return [lambda: self.invoices, lambda: self.payments, lambda: self.events][i]()
+        return getattr(self, ("invoices", "payments", "events")[i])
 
     def __iter__(self):
         return iter((self.invoices, self.payments, self.events))
@@ -273,11 +281,6 @@ def features_strict(spark, sf_dir):
 
 # --------------------------------------------------------------------------- source normalizers
 
-from arlark.operators.normalize import (  # noqa: E402
-    normalize_erp, normalize_payments, normalize_product_events, parse_json_payloads)
-from arlark.schemas import (  # noqa: E402
-    EVENT_PAYLOAD_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, STRIPE_PAYLOAD_SCHEMA, VALID_SOURCES)
-
 NON_LOAD_INVOICE = ["invoice_id", "customer_id", "customer_name", "invoice_date", "due_date", "amount_usd",
                     "currency", "status", "source_system", "po_number", "line_items", "_source_file"]
 NON_LOAD_PAYMENT = ["payment_id", "invoice_id", "customer_id", "payment_date", "amount_usd", "currency",
@@ -377,8 +380,6 @@ def event_quarantine(spark, sf_dir):
 
 # --------------------------------------------------------------------------- dedupe (ingestion rules)
 
-from arlark.operators.dedupe import with_idempotency_key  # noqa: E402
-
 
 def canonical_valid(spark, sf_dir) -> DataFrame:
     return split_quarantine(canonicalize_invoices(src.raw_invoices(spark, sf_dir)))[0]
@@ -402,8 +403,6 @@ def payment_first_wins(spark, sf_dir):
 
 # --------------------------------------------------------------------------- data quality
 
-from arlark.operators import quality  # noqa: E402
-from arlark.operators.ledger import negative_outstanding as negative_outstanding_rows  # noqa: E402
 
 FRESHNESS_NOW = "2024-01-31 01:00:00"
 
@@ -476,12 +475,6 @@ def currency_codes(spark, sf_dir):
 
 # --------------------------------------------------------------------------- sinks
 
-import os  # noqa: E402
-
-from arlark.operators.dedupe import keep_latest  # noqa: E402
-from arlark.plans import jobs, sinks  # noqa: E402
-from arlark.session import unique_dir  # noqa: E402
-
 
 @query
 def feature_snapshot_roundtrip(spark, sf_dir):
@@ -519,8 +512,6 @@ def pipeline_lineage(spark, sf_dir):
 
 # --------------------------------------------------------------------------- streaming
 
-from arlark.streaming import streams  # noqa: E402
-
 
 def _stream_of(spark, sf_dir, name):
     """A driver table as a file stream (the source watches the folder, filtered to the table's file)."""

@@ -33,13 +33,18 @@ def with_input_order(df: DataFrame, name: str = "_input_seq") -> DataFrame:
 
 
 def read_erp_csv(spark: SparkSession, path: str, source_system: str) -> DataFrame:
-    """ERP export with a header row; every column is text; columns the file lacks are NULL."""
+    """ERP export with a header row, columns matched by header name, every value text.
+
+    Columns are not matched by position, so exports with extra or reordered
+    columns read correctly; columns the file lacks are added as NULL.
+    """
     schema = erp_source_schema(source_system)
     if not _exists(path):
         return _empty(spark, T.StructType(schema.fields + [T.StructField("_source_file", T.StringType()),
                                                            T.StructField("_input_seq", T.LongType())]))
-    df = (spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8")
-          .option("enforceSchema", False).schema(schema).csv(path))
+    df = spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8").csv(path)
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    df = df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
     return with_input_order(df)
 
 

@@ -158,3 +158,17 @@ def test_local_checkpoint_on_csv(spark, tmp_path):
     res = {r.check: r.passed for r in run_local_checkpoint(spark, erp_csv=str(p)).collect()}
     assert res == {"invoice_id_not_null": True, "customer_id_null_rate": True, "amount_non_negative": False,
                    "status_in_set": False, "currency_iso_like": False}
+
+
+def test_erp_csv_matched_by_header_name(spark, tmp_path):
+    from arlark.operators.normalize import normalize_erp
+    from arlark.sources.files import read_erp_csv
+
+    p = tmp_path / "sap.csv"
+    p.write_text("net_value,extra,billing_document,sold_to_party,billing_date,net_due_date,status\n"
+                 "750,x,SAP-77,CUST-3,2026-03-01,2026-03-31,Closed\n")
+    r = normalize_erp(read_erp_csv(spark, str(p), "sap"), "sap").first()
+    assert (r.invoice_id, r.amount_usd, r.status, r.currency, r.po_number) == ("SAP-77", 750, "PAID", "USD", None)
+    assert r._errors == [] and r._source_file == "sap.csv"
+    missing = read_erp_csv(spark, str(tmp_path / "none.csv"), "sap")
+    assert missing.count() == 0 and "billing_document" in missing.columns
