@@ -6,12 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arlark.llm import bpe_codec, mixing, quality, sharding, token_count, token_files, warc
+from arlark.llm import (bpe_codec, embeddings, minhash, mixing, quality, repeats, sharding, token_count, token_files,
+                        warc)
 from arlark.llm.common import documents
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(documents(spark, sf_dir))
     return mixing.in_training_order(mixed, "first_position", "doc_id").select(
@@ -23,6 +28,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
@@ -39,6 +48,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir))
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
@@ -49,11 +62,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_embeddings": op4_embeddings,
     "op5_token_counts": op5_token_counts,
     "op6_warc": op6_warc,
     "op7_sharding": op7_sharding,
+    "op8_repeats": op8_repeats,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_token_files": op10_token_files,
 }

@@ -2,8 +2,8 @@
 
 ``STAGES`` are (name, function) pairs; a function takes (spark, docs, sf_dir) and
 returns a DataFrame, which is written as Parquet and read again as the next
-stage's ``docs``.  All stages but the last return the columns of ``documents``.
-``n_chars`` is recomputed where a stage changes the text.
+stage's ``docs``.  All stages but the last return the columns of ``documents``;
+``n_chars`` keeps telling the length of the original text.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from arlark.llm import bpe_codec, mixing, quality
+from arlark.llm import bpe_codec, minhash, mixing, quality, repeats
 from arlark.llm.common import documents, staged
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -22,6 +22,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.apply_rules(docs)
 
 
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest id of each group of near-duplicates."""
+    return minhash.without_near_duplicates(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts out passages of 50 bytes or more that a document of smaller id holds too; all documents stay."""
+    return repeats.trimmed_documents(docs)
+
+
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training sequence: each document as often as the mix takes it, range-sorted by training position."""
     return mixing.training_documents(docs)
@@ -34,6 +44,8 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
     ("mixing_sources", mixing_sources),
     ("bpe_encoding", bpe_encoding),
 ]
