@@ -543,8 +543,10 @@ def _mark(batches, buckets: int, threshold: int, gram: int, schema: pa.Schema, c
         return _rows(rows, schema)
 
     names = STREAM + (["row"] if carry else [])
-    held = 0
+    held, fields = 0, len(schema)
     for batch in batches:
+        if carry and len(schema) == fields:
+            schema = schema.append(batch.schema.field("row"))
         for b, kind, doc, bucket, payload, more, body, *row in zip(*[batch.column(c).to_pylist() for c in names]):
             if b != block:
                 if block is not None:
@@ -658,9 +660,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = pa.schema([pa.field(n, pa.int64() if t == "long" else pa.string()) for n, t in names])
     ddl = ", ".join(f"{n} {t}" for n, t in names)
     if carry:
-        from pyspark.sql.pandas.types import to_arrow_type
-
-        schema = schema.append(pa.field("row", to_arrow_type(row_type, timezone="UTC")))
         ddl += f", row {row_type.simpleString()}"
     marked = stream(replies, twins, answers, rows=bool(carry)).mapInArrow(
         lambda b: _mark(b, buckets, threshold, gram, schema, bool(carry), with_text), ddl)
