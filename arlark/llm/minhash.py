@@ -196,7 +196,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, n_shingles, component_id, kept) for every row of ``docs``."""
     rows = staged(sketch(docs, id_col, text_col), "sketches")
     classes = rows.where("digest is not null and id is not null").groupBy("digest").agg(F.min("id").alias("rep"))
-    members = staged(rows.select("id", "n_shingles", "digest").join(classes, "digest", "left").drop("digest"), "set-classes")
+    members = rows.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest")).join(
+        classes, "digest", "left").drop("digest")
+    members = staged(members, "set-classes")
     reps = rows.join(classes.select("digest", F.col("rep").alias("id")), ["digest", "id"])
     signatures = staged(reps.select("id", "signature").dropDuplicates(["id", "signature"]), "signatures")
 
