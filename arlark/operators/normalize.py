@@ -64,15 +64,22 @@ def _bad_parse(text: Column, parsed: Column) -> Column:
     return text.isNotNull() & parsed.isNull()
 
 
+#: Columns that normalizers take over unchanged and that runs are cut by.
+LOAD_COLUMNS = ("_loaded_at", "_source_file")
+
+
 def evaluate_once(df: DataFrame) -> DataFrame:
     """Pass rows through a one-element ``inline`` (a Generate node).
 
     Predicate pushdown does not cross a generator, so a filter placed on top
     (such as the valid / quarantine split on ``_errors``) reads the computed
     columns instead of having every cleaning and parsing expression inlined
-    into it -- and evaluated a second time -- below the projection.
+    into it -- and evaluated a second time -- below the projection.  Load columns
+    stay outside the generator, so a filter on them does reach the scan.
     """
-    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+    outside = [c for c in LOAD_COLUMNS if c in df.columns]
+    inside = F.inline(F.array(F.struct(*[F.col(c) for c in df.columns if c not in outside])))
+    return df.select(*outside, inside).select(*df.columns)
 
 
 def split_quarantine(df: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:

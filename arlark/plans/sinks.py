@@ -1,8 +1,8 @@
 """Table sinks: full-replace writes with observed row counts, lineage, snapshots, upserts.
 
 Paths are plain directories (local, HDFS or object store).  A path that is
-being read is never overwritten in place: upserts write a new version
-directory and return its path.
+being read is never overwritten in place; published marts switch with one
+appended row.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from arlark.schemas import FEATURE_SCHEMA, INVOICE_SCHEMA, LINEAGE_SCHEMA
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
-                fmt: str = "parquet") -> int:
+                fmt: str = "parquet", **options: str) -> int:
     """Write ``df`` and return its row count, counted while writing (``observe``), not by a second scan."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -47,9 +47,7 @@ def read_lineage(spark: SparkSession, path: str, run_id: str | None = None) -> D
 
 def write_feature_snapshot(features: DataFrame, path: str) -> int:
     """Point-in-time snapshot under ``as_of_date=YYYY-MM-DD/``; a rerun replaces only its own day."""
-    spark = features.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    return write_table(features, path, mode="overwrite", partition_by=["as_of_date"])
+    return write_table(features, path, mode="overwrite", partition_by=["as_of_date"], partitionOverwriteMode="dynamic")
 
 
 def read_feature_snapshot(spark: SparkSession, path: str, as_of=None) -> DataFrame:
@@ -91,18 +89,29 @@ def upsert_invoices(target: DataFrame, source: DataFrame, keys: list[str] = UPSE
     return j.select(*out)
 
 
-def upsert_to_path(spark: SparkSession, target_path: str, source: DataFrame, versions_dir: str) -> str:
-    """Merge ``source`` into the table at ``target_path`` and write the result as a new version."""
-    target = spark.read.schema(INVOICE_SCHEMA).parquet(target_path)
-    new_path = os.path.join(versions_dir, f"v-{uuid.uuid4().hex}")
-    write_table(upsert_invoices(target, source), new_path)
-    return new_path
-
-
 def read_mart(spark: SparkSession, location: str) -> DataFrame:
-    """A mart by location: ``*.parquet`` / ``*.csv`` files or directories, else a catalog table."""
+    """A mart by location: a path (it has a ``/`` or ends in ``.parquet`` / ``.csv``), else a catalog table."""
     if location.endswith(".csv"):
         return spark.read.option("header", True).option("inferSchema", False).csv(location)
-    if location.endswith(".parquet") or os.path.isdir(location):
+    if "/" in location or location.endswith(".parquet"):
         return spark.read.parquet(location)
     return spark.table(location)
+
+
+def publish(spark: SparkSession, build_dir: str, published_dir: str, run_id: str, names: list[str]) -> None:
+    """Publish the tables of ``build_dir`` together.
+
+    Their copies go to a folder of this run; readers follow the last row of
+    ``current``, appended last, so they see the run whole or not at all.
+    """
+    for name in names:
+        write_table(spark.read.parquet(os.path.join(build_dir, name)), os.path.join(published_dir, "runs", run_id, name),
+                    mode="errorifexists")
+    row = spark.range(1).select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("published_at"))
+    row.write.mode("append").parquet(os.path.join(published_dir, "current"))
+
+
+def read_published(spark: SparkSession, published_dir: str, name: str) -> DataFrame:
+    """A table of the run published last."""
+    run_id = spark.read.parquet(os.path.join(published_dir, "current")).orderBy(F.desc("published_at")).first()["run_id"]
+    return spark.read.parquet(os.path.join(published_dir, "runs", run_id, name))

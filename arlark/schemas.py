@@ -198,7 +198,7 @@ LINEAGE_SCHEMA = T.StructType([
     T.StructField("recorded_at", T.StringType()),
     T.StructField("source_name", T.StringType()),
     T.StructField("target_table", T.StringType()),
-    T.StructField("row_count", T.IntegerType()),
+    T.StructField("row_count", T.LongType()),
     T.StructField("transformation", T.StringType()),
 ])
 

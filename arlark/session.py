@@ -26,9 +26,6 @@ def build_session(master: str | None = None, app_name: str = "arlark",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        # see prepare()
-        "spark.sql.constraintPropagation.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
     if master and master.startswith("local"):
@@ -45,36 +42,22 @@ def build_session(master: str | None = None, app_name: str = "arlark",
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Runtime settings every job relies on (safe to call on any session)."""
+    """The one runtime setting every job relies on: times are read and shown in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    # The normalizers alias one cleaned text column into many checks; constraint
-    # propagation enumerates alias substitutions and spends seconds (growing
-    # exponentially with the number of checks) in the optimizer.  Null-key
-    # filters for joins are still added by the join planning itself.
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     return spark
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder under the cluster's shared checkpoint location.
+    """A folder under ``spark.checkpoint.dir``, the storage that driver and executors share.
 
-    The location comes from ``spark.checkpoint.dir`` (or the context's
-    checkpoint dir).  Only when neither is set -- local runs and tests -- a
-    scratch folder is created and registered as the checkpoint dir.
+    Only a local master (tests) may leave the setting out; a scratch folder is then set as the session's own.
     """
-    sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = sc.getCheckpointDir()
-    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="arlark-")
         spark.conf.set("spark.checkpoint.dir", base)
-    base = str(base)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(base)     # DataFrame.checkpoint() writes here
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     return os.path.join(base, *parts) if parts else base
 
 

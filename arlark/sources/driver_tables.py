@@ -10,50 +10,31 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arlark.schemas import EVENT_SCHEMA, INVOICE_SCHEMA, MONEY, PAYMENT_SCHEMA, TS
 
 # Fixed parameters of the mapping.
 AS_OF = "1998-06-30"
-RECENT_FROM = "1998-03-02"        # marts use invoices dated RECENT_FROM..AS_OF
 EVENT_SHIFT_DAYS = 9346           # moves the 2024 click stream back to mid-1998
 FIRST_LOAD_AT = "1998-07-01 00:00:00"
 SECOND_LOAD_AT = "1998-07-01 06:00:00"
 
 
-_TABLES: dict[tuple, tuple[SparkSession, DataFrame]] = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; the DataFrame (file listing, split probe) is built once per session and path.
+def invoice_date(order_key: str = "o_orderkey", customer_key: str = "o_custkey") -> Column:
+    """The invoice date of an order: each customer's invoices lie in one 40-day span.
 
-    DataFrames are immutable plans, so sharing one between queries is safe;
-    the data is still read by every query that runs.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    # the session object is kept with its entry, so its id cannot be reused while cached
-    key = (spark.sparkContext.applicationId, id(spark), path,
-           spark.conf.get("spark.arlark.spreadSmallInputs", "true"))
-    if key not in _TABLES:
-        _TABLES[key] = (spark, spread_small_input(spark.read.parquet(path)))
-    return _TABLES[key][1]
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    A Parquet row group cannot be split, so a one-file, one-row-group table is
-    read by a single task and all per-row work before the first shuffle would
-    run on one core.  With real inputs (many files, many row groups) the scan
-    already has more splits than cores and this is a no-op.
+    Spans run from 40 days after AS_OF to 280 days before it, so all aging
+    buckets, risk bands and not-yet-issued invoices occur without leaving out any order.
     """
-    spark = df.sparkSession
-    if spark.conf.get("spark.arlark.spreadSmallInputs", "true") != "true":
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    age = (F.pmod(F.col(customer_key), F.lit(8)) - 1) * 40 + F.pmod(F.col(order_key), F.lit(40))
+    return F.date_sub(F.lit(AS_OF).cast("date"), age.cast("int"))
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:
@@ -72,7 +53,7 @@ def _str(c) -> F.Column:
 def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One invoice per order; every tenth order is loaded a second time, later, as disputed."""
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     base = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
     k = F.col("o_orderkey")
@@ -83,8 +64,8 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("INV-"), _str("o_orderkey")).alias("invoice_id"),
         F.concat(F.lit("CUST-"), _str("o_custkey")).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
-        F.to_date("o_orderdate").alias("invoice_date"),
-        F.date_add(F.to_date("o_orderdate"), 30).alias("due_date"),
+        invoice_date().alias("invoice_date"),
+        F.date_add(invoice_date(), 30).alias("due_date"),
         F.col("o_totalprice").cast(MONEY).alias("amount_usd"),
         F.lit("usd").alias("currency"),
         F.when(F.col("load_no") == 2, "Disputed")
@@ -112,15 +93,16 @@ def payments_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     lineitem = lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
-    orders = orders.select("o_orderkey", "o_custkey")
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     j = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "inner")
     n = F.col("l_linenumber")
+    lag = F.pmod(F.datediff("l_shipdate", "o_orderdate"), F.lit(90))
     out = j.select(
         F.concat(F.lit("PAY-"), _str("l_orderkey"), F.lit("-"), _str("l_linenumber")).alias("payment_id"),
         F.when(F.col("l_returnflag") == "R", F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("INV-"), _str("l_orderkey"))).alias("invoice_id"),
         F.concat(F.lit("CUST-"), _str("o_custkey")).alias("customer_id"),
-        F.to_date("l_shipdate").alias("payment_date"),
+        F.date_add(invoice_date(), lag).alias("payment_date"),
         F.col("l_extendedprice").cast(MONEY).alias("amount_usd"),
         F.lit("usd").alias("currency"),
         F.when(n == 1, "card").when(n == 2, "bank_transfer").when(n == 3, "wire")
@@ -133,7 +115,10 @@ def payments_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def raw_product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Click stream as collection touches; ``page_viewed`` is noise outside the accepted set."""
+    """Click stream as collection touches; ``page_viewed`` is noise outside the accepted set.
+
+    Every fiftieth event names an invoice that does not exist.
+    """
     return product_events_from(table(spark, sf_dir, "events"))
 
 
@@ -144,7 +129,8 @@ def product_events_from(events: DataFrame) -> DataFrame:
     et = F.col("event_type")
     out = ev.select(
         F.concat(F.lit("EVT-"), _str("event_id")).alias("event_id"),
-        F.concat(F.lit("INV-"), (F.col("user_id") * 10 + k % 10).cast("string")).alias("invoice_id"),
+        F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("INV-GONE-"), _str("event_id")))
+        .otherwise(F.concat(F.lit("INV-"), (F.col("user_id") * 10 + k % 10).cast("string"))).alias("invoice_id"),
         F.concat(F.lit("CUST-"), _str("user_id")).alias("customer_id"),
         F.when(et == "click", "Email_Sent").when(et == "view", "reminder_triggered")
         .when(et == "signup", "call_logged").when(et == "purchase", "dispute_opened")

@@ -6,9 +6,9 @@ file is an empty DataFrame with the right schema, not an error.
 
 from __future__ import annotations
 
-import glob
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,10 +16,18 @@ from pyspark.sql import types as T
 from arlark.schemas import erp_source_schema
 
 
-def _exists(path: str) -> bool:
-    if "://" in path and not path.startswith("file://"):
-        return True  # remote stores: let the reader decide
-    return bool(glob.glob(path.replace("file://", "")))
+def _paths(spark: SparkSession, path: str) -> list[str]:
+    """The files behind a path, folder or glob on whatever storage it names; none if it does not exist.
+
+    Listed by Spark's file source, so local, HDFS and object-store paths (with or without a scheme) behave alike.
+    """
+    try:
+        files = spark.read.format("binaryFile").load(path).inputFiles()
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return []
+        raise
+    return sorted(files)
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -28,30 +36,44 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 def with_input_order(df: DataFrame, name: str = "_input_seq") -> DataFrame:
     """File path and a per-row sequence, an explicit input order for first-wins dedupe."""
-    return df.withColumn("_source_file", F.col("_metadata.file_name")).withColumn(
+    return df.withColumn("_source_file", F.col("_metadata.file_path")).withColumn(
         name, F.monotonically_increasing_id())
 
 
-def read_erp_csv(spark: SparkSession, path: str, source_system: str) -> DataFrame:
-    """ERP export with a header row, columns matched by header name, every value text.
+def read_erp_csv(spark: SparkSession, path: str, source_system: str, multiline: bool = False) -> DataFrame:
+    """ERP export with header rows, columns matched by header name in every file, every value text.
 
-    Columns are not matched by position, so exports with extra or reordered
-    columns read correctly; columns the file lacks are added as NULL.
+    Standard CSV quoting: a quote inside a quoted field is doubled.  Quoted
+    line breaks need ``multiline``, which makes a file unsplittable, so it is the caller's
+    choice.  Files are grouped by header line (one small read of first lines) and
+    each group is read with its own; extra columns are left out, columns a file lacks are NULL.
     """
     schema = erp_source_schema(source_system)
-    if not _exists(path):
+    names = [f.name for f in schema.fields]
+    files = _paths(spark, path)
+    if not files:
         return _empty(spark, T.StructType(schema.fields + [T.StructField("_source_file", T.StringType()),
                                                            T.StructField("_input_seq", T.LongType())]))
-    df = spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8").csv(path)
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
-    df = df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
-    return with_input_order(df)
+    reader = spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8").option(
+        "quote", '"').option("escape", '"').option("multiLine", multiline)
+    groups: dict[tuple, list[str]] = {}
+    for file in files:                       # one header per file; the rows are read in one scan for each header
+        groups.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    parts = []
+    for columns, members in groups.items():
+        df = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(members)
+        parts.append(df.select(*[F.col(f"`{n}`") if n in columns else F.lit(None).cast("string").alias(n) for n in names],
+                               F.col("_metadata.file_path").alias("_source_file")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.withColumn("_input_seq", F.monotonically_increasing_id())
 
 
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True,
                       payload: str = "payload") -> DataFrame:
     """JSON file(s) holding an array of objects (or JSON lines) -> one ``payload`` struct per record."""
-    if not _exists(path):
+    if not _paths(spark, path):
         return spark.createDataFrame([], T.StructType([T.StructField(payload, schema),
                                                         T.StructField("_source_file", T.StringType()),
                                                         T.StructField("_input_seq", T.LongType())]))
@@ -62,7 +84,7 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType, mult
 
 def read_text_messages(spark: SparkSession, path: str) -> DataFrame:
     """One JSON message per line as a ``value`` column (the shape of a message-queue value)."""
-    if not _exists(path):
+    if not _paths(spark, path):
         return spark.createDataFrame([], "value string")
     return spark.read.text(path)
 
