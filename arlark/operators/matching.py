@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from arlark.schemas import COLLECTION_EVENT_TYPES, MONEY
 
 
-def _payment_groups(payments: DataFrame, loaded_at: str) -> DataFrame:
-    """One aggregate per (invoice, customer); the NULL-invoice group is the customer's unapplied cash.
+def matched_payments(payments: DataFrame, loaded_at: str = "loaded_at") -> DataFrame:
+    """Per (invoice, customer): count, first/last date, amount, last load, ordered id list.
 
-    Grouping is a hash aggregate with a map-side partial step, so a hot invoice
-    or customer is combined before the shuffle.  Matched and unapplied views
-    both read this one aggregate (one scan, one shuffle of the payments).
+    A hash aggregate with a map-side partial step.  The id list of one invoice
+    is one value, so it does land in one task; callers that do not select it do not pay for it.
     """
-    return payments.groupBy("invoice_id", "customer_id").agg(
+    return payments.where(F.col("invoice_id").isNotNull()).groupBy("invoice_id", "customer_id").agg(
         F.count(F.lit(1)).alias("payment_count"),
         F.min("payment_date").alias("first_payment_date"),
         F.max("payment_date").alias("last_payment_date"),
@@ -28,11 +27,6 @@ def _payment_groups(payments: DataFrame, loaded_at: str) -> DataFrame:
     )
 
 
-def matched_payments(payments: DataFrame, loaded_at: str = "loaded_at") -> DataFrame:
-    """Per (invoice, customer): count, first/last date, amount, last load, ordered id list."""
-    return _payment_groups(payments.where(F.col("invoice_id").isNotNull()), loaded_at)
-
-
 def unapplied_cash(payments: DataFrame) -> DataFrame:
     """Cash received without an invoice, per customer."""
     return (
@@ -47,14 +41,13 @@ def payment_matching(payments: DataFrame, loaded_at: str = "loaded_at") -> DataF
 
     The matched side drives the join: a customer whose payments are all
     unapplied does not appear, and the unapplied amount repeats on every
-    matched invoice of the customer (never sum it over invoices).
+    matched invoice of the customer (never sum it over invoices).  The unapplied side is
+    grouped by the join key alone, so Spark knows it is unique and drops
+    the join where the amount is not used.  ``payments`` is read twice: pass a
+    written table where it is costly to derive.
     """
-    groups = _payment_groups(payments, loaded_at)
-    matched = groups.where(F.col("invoice_id").isNotNull())
-    unapplied = groups.where(F.col("invoice_id").isNull()).select(
-        "customer_id", F.col("amount_paid_usd").alias("unapplied_cash_usd"))
     return (
-        matched.join(unapplied, "customer_id", "left")
+        matched_payments(payments, loaded_at).join(unapplied_cash(payments), "customer_id", "left")
         .select(
             "invoice_id", "customer_id", "payment_count", "first_payment_date",
             "last_payment_date", "amount_paid_usd", "last_payment_loaded_at", "payment_ids",

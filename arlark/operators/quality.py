@@ -41,13 +41,18 @@ def _checks_frame(row: DataFrame, suite: str, checks: list[tuple[str, str, Colum
     return row.select(F.inline(F.array(*structs)))
 
 
-def _sorted_distinct(values: Column) -> Column:
-    """Sorted distinct values as one text; the set is the (small) vocabulary of bad values."""
-    return F.array_join(F.array_sort(F.collect_set(values)), ", ")
+def bad_values(df: DataFrame, column: str, allowed: Sequence[str], fold) -> DataFrame:
+    """(value, rows) of the values outside ``allowed``, one row each: grouped, whatever their number."""
+    value = fold(column)
+    return df.where(value.isNotNull() & ~value.isin(list(allowed))).groupBy(value.alias("value")).agg(
+        F.count(F.lit(1)).alias("rows"))
 
 
 def validate_invoices(df: DataFrame) -> DataFrame:
-    """Invoice code checks: id nulls, customer null rate, negative amounts, status set, currency form."""
+    """Invoice code checks: id nulls, customer null rate, negative amounts, status set, currency form.
+
+    A set check's detail names one offending value; ``bad_values`` lists them all.
+    """
     status = F.upper("status")
     bad_status = F.when(status.isNotNull() & ~status.isin(VALID_STATUSES), status)
     row = df.agg(
@@ -56,7 +61,7 @@ def validate_invoices(df: DataFrame) -> DataFrame:
         F.avg(F.when(F.col("customer_id").isNull(), 1.0).otherwise(0.0)).alias("cust_null_rate"),
         F.count_if(F.col("amount_usd") < 0).alias("negative"),
         F.count(bad_status).alias("bad_status_rows"),
-        _sorted_distinct(bad_status).alias("bad_statuses"),
+        F.min(bad_status).alias("bad_status"),
         F.count_if(F.col("currency").isNotNull() & ~F.col("currency").rlike(CURRENCY_PATTERN)).alias("bad_currency"),
     )
     c = F.col
@@ -67,7 +72,7 @@ def validate_invoices(df: DataFrame) -> DataFrame:
          CUSTOMER_ID_MAX_NULL_RATE, F.coalesce(c("cust_null_rate"), F.lit(0.0)) <= CUSTOMER_ID_MAX_NULL_RATE, none),
         ("amount_non_negative", "amount_usd", c("negative"), 0, c("negative") == 0, none),
         ("status_in_set", "status", c("bad_status_rows"), 0, c("bad_status_rows") == 0,
-         F.nullif(c("bad_statuses"), F.lit(""))),
+         c("bad_status")),
         ("currency_iso_like", "currency", c("bad_currency"), 0, c("bad_currency") == 0, none),
     ])
 
@@ -81,7 +86,7 @@ def validate_payments(df: DataFrame) -> DataFrame:
         F.count_if(F.col("amount_usd") <= 0).alias("non_positive"),
         F.count_if(F.col("amount_usd") > PAYMENT_MAX_AMOUNT_USD).alias("too_large"),
         F.count(bad_method).alias("bad_method_rows"),
-        _sorted_distinct(bad_method).alias("bad_methods"),
+        F.min(bad_method).alias("bad_method"),
     )
     c = F.col
     none = F.lit(None)
@@ -90,7 +95,7 @@ def validate_payments(df: DataFrame) -> DataFrame:
         ("amount_positive", "amount_usd", c("non_positive"), 0, c("non_positive") == 0, none),
         ("amount_below_ceiling", "amount_usd", c("too_large"), PAYMENT_MAX_AMOUNT_USD, c("too_large") == 0, none),
         ("payment_method_in_set", "payment_method", c("bad_method_rows"), 0, c("bad_method_rows") == 0,
-         F.nullif(c("bad_methods"), F.lit(""))),
+         c("bad_method")),
     ])
 
 
@@ -106,7 +111,7 @@ def summarize(results: DataFrame) -> DataFrame:
 
 def assert_passed(results: DataFrame) -> None:
     """Gate: raise if any check failed (the step that stops a publish)."""
-    bad = results.where(~F.col("passed")).select("suite", "check").limit(20).collect()
+    bad = results.where(~F.col("passed")).select("suite", "check").collect()    # at most one row per check
     if bad:
         raise RuntimeError("quality gate failed: " + ", ".join(f"{r.suite}.{r.check}" for r in bad))
 
@@ -203,6 +208,10 @@ WAREHOUSE_TESTS: list[ColumnTest] = [
 ]
 
 
+#: Not declared upstream: events of invoices that do not exist, which the staged events do contain.
+EVENT_PARENT_TEST = ColumnTest("stg_product_events", "invoice_id", "relationships", (), "stg_erp_invoices", "invoice_id")
+
+
 def failing_rows(models: dict[str, DataFrame], t: ColumnTest) -> DataFrame:
     """The rows a test returns when it fails (empty when it passes)."""
     df = models[t.model]

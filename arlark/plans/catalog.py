@@ -25,17 +25,17 @@ from arlark.operators.matching import payment_matching, touches_per_invoice, una
 from arlark.operators.metrics import collection_rate_30d, metric_query
 from arlark.operators.normalize import (
     canonicalize_invoices, normalize_erp, normalize_payments, normalize_product_events, parse_json_payloads,
-    split_quarantine,
+    split_quarantine, with_invoice_derivations,
 )
 from arlark.operators.staging import stg_erp_invoices, stg_payments, stg_product_events
 from arlark.plans import jobs, sinks
 from arlark.schemas import EVENT_PAYLOAD_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, STRIPE_PAYLOAD_SCHEMA, VALID_SOURCES
 from arlark.session import prepare, unique_dir
 from arlark.sources import driver_tables as src
+from arlark.sources.files import read_erp_csv
 from arlark.streaming import streams
 
 AS_OF = dt.date.fromisoformat(src.AS_OF)
-RECENT_FROM = dt.date.fromisoformat(src.RECENT_FROM)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,10 +88,6 @@ def ledger_dbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_ledger(inv, pay, ev, AS_OF, form="dbt")
 
 
-def recent(ledger: DataFrame) -> DataFrame:
-    return ledger.where(F.col("invoice_date").between(F.lit(RECENT_FROM), F.lit(AS_OF)))
-
-
 def local_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Ingestion path: cleaned invoices and payments, first row per key wins; events as loaded."""
     inv, pay, ev = src.raw_tables(spark, sf_dir)
@@ -155,52 +151,66 @@ def fct_ar_ledger_local(spark, sf_dir):
 
 @query
 def dim_customers_q(spark, sf_dir):
-    return r6(dim_customers(recent(ledger_dbt(spark, sf_dir))), "avg_days_outstanding")
+    return r6(dim_customers(ledger_dbt(spark, sf_dir)), "avg_days_outstanding")
 
 
 @query
 def mrt_collections_health_dbt(spark, sf_dir):
-    mart = collections_health(recent(ledger_dbt(spark, sf_dir)), form="dbt")
+    mart = collections_health(ledger_dbt(spark, sf_dir), form="dbt")
     return r6(mart, "avg_days_outstanding", "lifetime_collection_rate", "paid_within_30d_rate")
 
 
 @query
 def mrt_collections_health_local(spark, sf_dir):
-    mart = collections_health(recent(ledger_local(spark, sf_dir)), form="local")
+    mart = collections_health(ledger_local(spark, sf_dir), form="local")
     return r6(mart, "avg_days_outstanding", "lifetime_collection_rate", "paid_within_30d_rate")
 
 
 # --------------------------------------------------------------------------- metric layer
 
-def ledger_to_date(spark, sf_dir) -> DataFrame:
-    """Metrics and features use every invoice dated up to AS_OF."""
-    return ledger_dbt(spark, sf_dir).where(F.col("invoice_date") <= F.lit(AS_OF))
-
-
 @query
 def metric_dso_by_bucket(spark, sf_dir):
-    return r6(metric_query(ledger_to_date(spark, sf_dir), ["days_sales_outstanding"], ["aging_bucket"]),
+    return r6(metric_query(ledger_dbt(spark, sf_dir), ["days_sales_outstanding"], ["aging_bucket"]),
               "days_sales_outstanding")
 
 
 @query
 def metric_collection_rate_by_source(spark, sf_dir):
-    m = metric_query(ledger_to_date(spark, sf_dir),
+    m = metric_query(ledger_dbt(spark, sf_dir),
                      ["collection_rate", "total_paid_usd", "total_invoiced_usd"], ["source_system"])
     return r6(m, "collection_rate")
 
 
 @query
 def metric_ar_outstanding_by_status(spark, sf_dir):
-    return metric_query(ledger_to_date(spark, sf_dir), ["ar_outstanding", "overdue_invoice_count"], ["status"])
+    return metric_query(ledger_dbt(spark, sf_dir), ["ar_outstanding", "overdue_invoice_count"], ["status"])
 
 
 @query
 def metric_overdue_by_month(spark, sf_dir):
-    return metric_query(ledger_to_date(spark, sf_dir), ["overdue_invoice_count", "ar_outstanding"],
+    return metric_query(ledger_dbt(spark, sf_dir), ["overdue_invoice_count", "ar_outstanding"],
                         time_grain="month")
 
 
+def _by_grain(spark, sf_dir, grain):
+    return metric_query(ledger_dbt(spark, sf_dir), ["total_invoiced_usd", "ar_outstanding"], ["source_system"], time_grain=grain)
+
+
+@query
+def metric_by_day(spark, sf_dir):
+    return _by_grain(spark, sf_dir, "day")
+
+
+@query
+def metric_by_week(spark, sf_dir):
+    return _by_grain(spark, sf_dir, "week")
+
+
+@query
+def metric_by_quarter(spark, sf_dir):
+    return _by_grain(spark, sf_dir, "quarter")
+
+
 @query
 def metric_collection_rate_30d(spark, sf_dir):
     st = staged(spark, sf_dir)
@@ -211,7 +221,7 @@ def metric_collection_rate_30d(spark, sf_dir):
 # --------------------------------------------------------------------------- dashboard reports
 
 def local_mart(spark, sf_dir) -> DataFrame:
-    return collections_health(recent(ledger_local(spark, sf_dir)), form="local")
+    return collections_health(ledger_local(spark, sf_dir), form="local")
 
 
 @query
@@ -235,6 +245,18 @@ def health_table(spark, sf_dir):
     return r6(t, "avg_days_outstanding", "lifetime_collection_rate", "paid_within_30d_rate")
 
 
+@query
+def aging_summary_bands(spark, sf_dir):
+    """The band filter: two of the three bands."""
+    return reports.aging_summary(local_mart(spark, sf_dir), bands=["high", "medium"])
+
+
+@query
+def health_table_bands(spark, sf_dir):
+    t = reports.health_table(local_mart(spark, sf_dir), bands=["low"])
+    return r6(t, "avg_days_outstanding", "lifetime_collection_rate", "paid_within_30d_rate")
+
+
 @query
 def funnel(spark, sf_dir):
     return reports.funnel(local_mart(spark, sf_dir)).withColumn("amount", F.round("amount", 2))
@@ -247,7 +269,7 @@ def priority_top10(spark, sf_dir):
 
 @query
 def status_flow(spark, sf_dir):
-    return reports.status_flow(ledger_to_date(spark, sf_dir))
+    return reports.status_flow(ledger_dbt(spark, sf_dir))
 
 
 @query
@@ -279,6 +301,15 @@ def features_strict(spark, sf_dir):
     return _features_out(strict_features(inv, pay, ev, AS_OF))
 
 
+@query
+def features_credit_limits(spark, sf_dir):
+    """A ledger with its own credit limits (some missing) and some rows without a customer."""
+    ledger = ledger_dbt(spark, sf_dir).withColumn(
+        "credit_limit_usd", F.when(F.col("line_items") % 2 == 0, F.length("customer_id") * 10000.0)).withColumn(
+        "customer_id", F.when(F.col("line_items") != 7, F.col("customer_id")))
+    return _features_out(customer_features(ledger, AS_OF))
+
+
 # --------------------------------------------------------------------------- source normalizers
 
 NON_LOAD_INVOICE = ["invoice_id", "customer_id", "customer_name", "invoice_date", "due_date", "amount_usd",
@@ -356,6 +387,11 @@ def payment_normalize_manual(spark, sf_dir):
     return _pay_valid(spark, sf_dir, "manual")
 
 
+@query
+def payment_normalize_bank(spark, sf_dir):
+    return _pay_valid(spark, sf_dir, "bank")
+
+
 @query
 def payment_quarantine(spark, sf_dir):
     parts = [split_quarantine(payments_normalized(spark, sf_dir, p))[1] for p in ("stripe", "plaid", "manual")]
@@ -405,6 +441,8 @@ def payment_first_wins(spark, sf_dir):
 
 
 FRESHNESS_NOW = "2024-01-31 01:00:00"
+#: The driver tables carry loads from 1992 to 2024: ages that never stop the gated build.
+GATE_FRESHNESS = {name: (10**7, 10**7) for name in ("erp_invoices", "payment_events", "product_events")}
 
 
 @query
@@ -426,20 +464,14 @@ def quality_suite_json(spark, sf_dir):
     return r6(out, "unexpected_percent")
 
 
-def warehouse_models(spark, sf_dir) -> dict[str, DataFrame]:
-    inv, pay, ev = staged(spark, sf_dir)
-    ledger = build_ledger(inv, pay, ev, AS_OF, form="dbt")
-    return {
-        "stg_erp_invoices": inv, "stg_payments": pay, "stg_product_events": ev, "fct_ar_ledger": ledger,
-        "dim_customers": dim_customers(ledger), "mrt_collections_health": collections_health(ledger, "dbt"),
-    }
-
-
 @query
 def dbt_tests_report(spark, sf_dir):
-    models = warehouse_models(spark, sf_dir)
+    """Every model is built once, written to the shared folder, and tested there."""
+    models = jobs.build_warehouse_models(*staged(spark, sf_dir), AS_OF, unique_dir(spark, "warehouse"))
     return quality.run_warehouse_tests(
-        models, singular={"assert_no_negative_outstanding": negative_outstanding_rows(models["fct_ar_ledger"])})
+        models, tests=[*quality.WAREHOUSE_TESTS, quality.EVENT_PARENT_TEST],
+        singular={"assert_no_negative_outstanding": negative_outstanding_rows(models["fct_ar_ledger"]),
+                  "assert_no_overpayment": negative_outstanding_rows(unclamped(models["fct_ar_ledger"]))})
 
 
 @query
@@ -449,9 +481,15 @@ def orphan_events(spark, sf_dir):
     return quality.orphans(ev, inv, "invoice_id").select("event_id", "invoice_id")
 
 
+def unclamped(ledger: DataFrame) -> DataFrame:
+    """The ledger with plain balances: overpaid invoices become negative."""
+    return ledger.withColumn("amount_outstanding_usd", F.col("amount_usd") - F.col("amount_paid_usd"))
+
+
 @query
 def negative_outstanding(spark, sf_dir):
-    return negative_outstanding_rows(ledger_dbt(spark, sf_dir))
+    """The rule applied to plain balances, where overpaid invoices break it."""
+    return negative_outstanding_rows(unclamped(ledger_dbt(spark, sf_dir)))
 
 
 @query
@@ -473,6 +511,53 @@ def currency_codes(spark, sf_dir):
     return quality.currency_report({"erp_invoices": inv, "payment_events": pay})
 
 
+@query
+def currency_codes_listed(spark, sf_dir):
+    """Currencies against a code table: raw values are lower case and not in it, staged ones are."""
+    st = staged(spark, sf_dir)
+    codes = spark.createDataFrame([("USD",), ("EUR",)], "code string")
+    return quality.currency_report({"raw": src.raw_invoices(spark, sf_dir), "staged": st.invoices}, codes)
+
+
+@query
+def invoice_record_derivations(spark, sf_dir):
+    return with_invoice_derivations(canonical_valid(spark, sf_dir), AS_OF).select(
+        "invoice_id", "source_system", "status", "_loaded_at", "days_outstanding", "is_overdue", "aging_bucket")
+
+
+@query
+def csv_quality_checkpoint(spark, sf_dir):
+    """Raw tables exported as CSV to the shared folder, then checked there."""
+    out = unique_dir(spark, "csv-export")
+    src.raw_invoices(spark, sf_dir).write.option("header", True).csv(os.path.join(out, "invoices"))
+    src.raw_payments(spark, sf_dir).write.option("header", True).csv(os.path.join(out, "payments"))
+    return r6(jobs.run_local_checkpoint(spark, os.path.join(out, "invoices"), os.path.join(out, "payments")), "observed")
+
+
+@query
+def erp_csv_quoted_names(spark, sf_dir):
+    """An ERP export with quoted names (commas, quotes, line breaks) written as CSV, read back and normalized."""
+    out = os.path.join(unique_dir(spark, "erp-export"), "netsuite")
+    export = src.erp_export(spark, sf_dir, "netsuite").withColumn(
+        "entity_name", F.concat(F.col("entity_name"), F.lit(', "AR"\nDept')))
+    export.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(out)
+    rows = normalize_erp(read_erp_csv(spark, out, "netsuite", multiline=True), "netsuite")
+    return split_quarantine(rows)[0].select("invoice_id", "customer_id", "customer_name", "invoice_date", "amount_usd", "status")
+
+
+@query
+def publish_gate(spark, sf_dir):
+    """The gated build over the raw tables, as (stage, item) rows: what stopped it."""
+    out = unique_dir(spark, "gated-build")
+    inv, pay, ev = local_inputs(spark, sf_dir)
+    jobs.load_raw_records(spark, inv, pay, ev, out, as_of=AS_OF)
+    result = jobs.run_warehouse_build(spark, out, os.path.join(out, "warehouse"), AS_OF, now="2024-01-31 01:00:00",
+                                      freshness=GATE_FRESHNESS)
+    rows = [(result["stage"], str(result["published"]).lower(), f"{k}:{item}") for k, items in result.items()
+            if isinstance(items, list) for item in items] or [(result["stage"], str(result["published"]).lower(), None)]
+    return spark.createDataFrame(rows, "stage string, published string, failed string")
+
+
 # --------------------------------------------------------------------------- sinks
 
 
@@ -484,19 +569,14 @@ def feature_snapshot_roundtrip(spark, sf_dir):
     return _features_out(sinks.read_feature_snapshot(spark, path, AS_OF))
 
 
-UPSERT_TARGET_BEFORE = dt.date(1998, 1, 1)
-UPSERT_SOURCE_FROM = dt.date(1997, 7, 1)
-
-
 @query
 def invoice_upsert(spark, sf_dir):
-    """First loads dated before 1998 as the target; latest rows dated from 1997-07 merged into it."""
+    """First loads of two ERPs as the target; every second load and the third ERP's rows merged into it."""
     canon = canonical_valid(spark, sf_dir)
-    target = canon.where((F.col("_loaded_at") == F.lit(src.FIRST_LOAD_AT).cast("timestamp_ntz"))
-                         & (F.col("invoice_date") < F.lit(UPSERT_TARGET_BEFORE)))
-    source = keep_latest(canon.where(F.col("invoice_date") >= F.lit(UPSERT_SOURCE_FROM)),
-                         ["invoice_id", "source_system"], tiebreak=["_source_file", "amount_usd", "status"])
-    return sinks.upsert_invoices(target, source)
+    loaded = (F.col("_loaded_at") == F.lit(src.FIRST_LOAD_AT).cast("timestamp_ntz")) & (F.col("source_system") != "sap")
+    source = keep_latest(canon.where(~loaded), ["invoice_id", "source_system"],
+                         tiebreak=["_source_file", "amount_usd", "status"])
+    return sinks.upsert_invoices(canon.where(loaded), source)
 
 
 @query
@@ -504,7 +584,7 @@ def pipeline_lineage(spark, sf_dir):
     """Run the raw load and mart build on driver data; the run's lineage rows (stable columns)."""
     out = unique_dir(spark, "pipeline")
     inv, pay, ev = local_inputs(spark, sf_dir)
-    run_id = jobs.load_raw_records(spark, inv, pay, ev, out)
+    run_id = jobs.load_raw_records(spark, inv, pay, ev, out, as_of=AS_OF)
     jobs.build_dashboard_marts(spark, out, AS_OF, run_id)
     return sinks.read_lineage(spark, jobs.lineage_path(out), run_id).select(
         "source_name", "target_table", "row_count", "transformation")
@@ -521,41 +601,60 @@ def _stream_of(spark, sf_dir, name):
 
 @query
 def stream_payment_dedupe(spark, sf_dir):
-    """Line items streamed, joined to static orders, payment ids deduplicated within the watermark.
-
-    Which duplicate survives depends on arrival order, so the result keeps the
-    columns every copy shares: exactly one row per payment id, with its customer.
-    """
+    """Payments arriving in three batches: every copy is stored, the first to arrive is read back, whole rows."""
     out = unique_dir(spark, "stream-payments")
-    pays = src.payments_from(_stream_of(spark, sf_dir, "lineitem"), src.table(spark, sf_dir, "orders"))
-    deduped = streams.dedupe_payment_stream(pays, delay="3650 days")
-    streams.run_available_now(deduped.select("payment_id", "customer_id"),
-                              os.path.join(out, "_checkpoint"), path=os.path.join(out, "data"))
-    return spark.read.parquet(os.path.join(out, "data"))
+    inbox, table, checkpoint = (os.path.join(out, d) for d in ("inbox", "table", "_checkpoint"))
+    payments = src.raw_payments(spark, sf_dir)
+    stream = spark.readStream.schema(payments.schema).parquet(os.path.join(inbox, "*"))
+    supplier = F.split("_source_event", "/")[1].cast("bigint")
+    for part in range(3):
+        payments.where(supplier % 3 == part).write.parquet(os.path.join(inbox, f"part-{part}"))
+        streams.run_available_now(stream, checkpoint, foreach_batch=streams.append_batches(table, checkpoint))
+    return streams.first_payments(streams.stored_batches(spark, table, payments.schema)).select(*payments.columns)
 
 
 @query
 def stream_touch_counts(spark, sf_dir):
-    """Running touch counts per invoice, update mode merged into a versioned table."""
+    """Touch counts over three batches: a batch appends its partial counts, reading adds them up."""
     out = unique_dir(spark, "stream-touches")
-    events = src.product_events_from(_stream_of(spark, sf_dir, "events"))
-    counts = streams.touch_count_stream(events)
-    table_dir = os.path.join(out, "table")
-    streams.run_available_now(counts, os.path.join(out, "_checkpoint"), output_mode="update",
-                              foreach_batch=streams.merge_updates_by_key(table_dir, ["invoice_id"]))
-    return spark.read.parquet(streams.latest_version(spark, table_dir))
+    inbox, table, checkpoint = (os.path.join(out, d) for d in ("inbox", "table", "_checkpoint"))
+    events = src.raw_product_events(spark, sf_dir)
+    stream = spark.readStream.schema(events.schema).parquet(os.path.join(inbox, "*"))
+    for part in range(3):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part).write.parquet(os.path.join(inbox, f"part-{part}"))
+        streams.run_available_now(stream, checkpoint, foreach_batch=streams.append_touch_counts(table, checkpoint))
+    return streams.touch_counts(spark, table)
+
+
+def _event_sinks(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(valid, quarantine) of event JSON lines normalized as a stream."""
+    out = unique_dir(spark, "stream-events")
+    inbox, checkpoint = os.path.join(out, "inbox"), os.path.join(out, "_checkpoint")
+    src.event_payloads(spark, sf_dir).write.text(inbox)
+    rows = streams.normalized_event_stream(streams.json_message_stream(spark, inbox))
+    return streams.run_split(rows, os.path.join(out, "valid"), os.path.join(out, "quarantine"), checkpoint)
 
 
 @query
 def stream_event_normalize(spark, sf_dir):
-    """Event JSON lines (rendered from the click stream) normalized as a stream; valid rows."""
-    out = unique_dir(spark, "stream-events")
-    inbox = os.path.join(out, "inbox")
-    src.event_payloads(spark, sf_dir).write.mode("overwrite").text(inbox)
-    norm = streams.normalized_event_stream(streams.json_message_stream(spark, inbox))
-    valid = norm.where(F.size("_errors") == 0).select(*NON_LOAD_EVENT)
-    streams.run_available_now(valid, os.path.join(out, "_checkpoint"), path=os.path.join(out, "data"))
-    return spark.read.parquet(os.path.join(out, "data"))
+    return _event_sinks(spark, sf_dir)[0].select(*NON_LOAD_EVENT)
+
+
+@query
+def stream_event_quarantine(spark, sf_dir):
+    return _event_sinks(spark, sf_dir)[1].select("event_id", F.array_join("_errors", "; ").alias("errors"))
+
+
+@query
+def stream_payment_normalize(spark, sf_dir):
+    """Manual payment webhooks through the payment stream: (sink, payment) of both sinks."""
+    out = unique_dir(spark, "stream-webhooks")
+    inbox, checkpoint = os.path.join(out, "inbox"), os.path.join(out, "_checkpoint")
+    src.payment_payloads(spark, sf_dir, "manual").write.text(inbox)
+    rows = streams.normalized_payment_stream(streams.json_message_stream(spark, inbox), "manual")
+    valid, bad = streams.run_split(rows, os.path.join(out, "valid"), os.path.join(out, "quarantine"), checkpoint)
+    return valid.select(F.lit("valid").alias("sink"), "payment_id", "amount_usd", F.lit("").alias("errors")).unionByName(
+        bad.select(F.lit("quarantine").alias("sink"), "payment_id", "amount_usd", F.array_join("_errors", "; ").alias("errors")))
 
 
 def registered() -> dict[str, Query]:

@@ -27,9 +27,12 @@ from arlark.operators.marts import collections_health, dim_customers
 from arlark.operators.normalize import (
     normalize_erp, normalize_payments, normalize_product_events, split_quarantine, with_invoice_derivations,
 )
-from arlark.operators.quality import run_warehouse_tests, source_freshness, validate_invoices, validate_payments
+from arlark.operators.quality import (
+    FRESHNESS_HOURS, currency_report, run_expectation_suite, run_warehouse_tests, source_freshness, validate_invoices,
+    validate_payments, volume_anomalies,
+)
 from arlark.operators.staging import stg_erp_invoices, stg_payments, stg_product_events
-from arlark.plans.sinks import append_lineage, write_table
+from arlark.plans.sinks import append_lineage, publish, write_table
 from arlark.schemas import (
     EVENT_PAYLOAD_SCHEMA, EVENT_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, INVOICE_SCHEMA, PAYMENT_SCHEMA,
 )
@@ -86,9 +89,17 @@ def build_dashboard_marts(spark: SparkSession, out_dir: str, as_of=None, run_id:
     return run_id
 
 
+def _stored_split(spark: SparkSession, rows: DataFrame, out_dir: str, name: str) -> tuple[DataFrame, int]:
+    """Write the normalized rows once, then the quarantine; (valid rows as stored, number quarantined)."""
+    path = os.path.join(out_dir, "normalized", name)
+    write_table(rows, path)
+    valid, bad = split_quarantine(spark.read.schema(rows.schema).parquet(path))
+    return valid, write_table(bad, os.path.join(out_dir, "quarantine", name))
+
+
 def run_local_pipeline(spark: SparkSession, sample_dir: str, out_dir: str, as_of=None,
                        strict: bool = True) -> str:
-    """Sample files -> raw tables -> marts.  ``strict`` fails on any quarantined record.
+    """Sample files -> raw tables -> marts.  ``strict`` fails on any quarantined record, after storing them all.
 
     First wins is decided by an explicit input order: source (netsuite,
     quickbooks, sap), then file and position within the file.
@@ -103,16 +114,16 @@ def run_local_pipeline(spark: SparkSession, sample_dir: str, out_dir: str, as_of
     invoices = erp_parts[0]
     for p in erp_parts[1:]:
         invoices = invoices.unionByName(p)
-    inv_valid, inv_bad = split_quarantine(invoices, strict=strict)
+    inv_valid, inv_bad = _stored_split(spark, invoices, out_dir, "erp_invoices")
 
     pay_rows = read_json_records(spark, files["payments"], FLAT_PAYMENT_PAYLOAD_SCHEMA)
-    pay_valid, pay_bad = split_quarantine(
-        normalize_payments(pay_rows, "manual", keep=["_source_file", "_input_seq"]), strict=strict)
+    pay_valid, pay_bad = _stored_split(
+        spark, normalize_payments(pay_rows, "manual", keep=["_source_file", "_input_seq"]), out_dir, "payment_events")
     ev_rows = read_json_records(spark, files["product_events"], EVENT_PAYLOAD_SCHEMA)
-    ev_valid, ev_bad = split_quarantine(normalize_product_events(ev_rows), strict=strict)
-
-    for name, bad in [("erp_invoices", inv_bad), ("payment_events", pay_bad), ("product_events", ev_bad)]:
-        write_table(bad, os.path.join(out_dir, "quarantine", name))
+    ev_valid, ev_bad = _stored_split(spark, normalize_product_events(ev_rows), out_dir, "product_events")
+    if strict and inv_bad + pay_bad + ev_bad:
+        raise ValueError(f"quarantine is not empty: {inv_bad} invoices, {pay_bad} payments, {ev_bad} events "
+                         f"under {os.path.join(out_dir, 'quarantine')}")
 
     run_id = load_raw_records(
         spark,
@@ -126,47 +137,95 @@ def run_local_pipeline(spark: SparkSession, sample_dir: str, out_dir: str, as_of
     return run_id
 
 
-def run_warehouse_build(spark: SparkSession, raw_dir: str, out_dir: str, as_of=None, now=None) -> dict:
+MODELS = ["fct_ar_ledger", "dim_customers", "mrt_collections_health"]
+
+
+def build_warehouse_models(invoices: DataFrame, payments: DataFrame, events: DataFrame, as_of, build_dir: str) -> dict[str, DataFrame]:
+    """All models, each written once under ``build_dir`` and read back: staging, ledger, dimension, mart."""
+    spark = invoices.sparkSession
+    models: dict[str, DataFrame] = {}
+
+    def build(name: str, df: DataFrame) -> DataFrame:
+        path = os.path.join(build_dir, name)
+        write_table(df, path)
+        models[name] = spark.read.schema(df.schema).parquet(path)
+        return models[name]
+
+    inv, pay, ev = build("stg_erp_invoices", invoices), build("stg_payments", payments), build("stg_product_events", events)
+    ledger = build("fct_ar_ledger", build_ledger(inv, pay, ev, as_of, form="dbt"))
+    build("dim_customers", dim_customers(ledger))
+    build("mrt_collections_health", collections_health(ledger, form="dbt"))
+    return models
+
+
+def create_staging_views(spark: SparkSession, raw_dir: str, as_of=None) -> list[str]:
+    """The staging models as session views over the raw tables, by their model names."""
+    raw = _raw_tables(spark, raw_dir)
+    views = {"stg_erp_invoices": stg_erp_invoices(raw["erp_invoices"], as_of), "stg_payments": stg_payments(raw["payment_events"]),
+             "stg_product_events": stg_product_events(raw["product_events"])}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
+
+
+def _raw_tables(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+    return {name.split(".")[1]: spark.read.schema(schema).parquet(table_path(raw_dir, name))
+            for name, schema in zip(RAW_TABLES, (INVOICE_SCHEMA, PAYMENT_SCHEMA, EVENT_SCHEMA))}
+
+
+def gate_findings(raw: dict[str, DataFrame], models: dict[str, DataFrame], iso_codes: DataFrame | None = None,
+                  check_volume: bool = True) -> dict[str, list[str]]:
+    """Everything that stops a publish, by kind (every list has at most one entry for each declared check).
+
+    Warehouse tests, the code checks, the declared expectation suites,
+    the last day's volume by source, and currencies that are not of the form or, given a
+    code table, not in it.
+    """
+    tests = run_warehouse_tests(models, singular={"assert_no_negative_outstanding": negative_outstanding(models["fct_ar_ledger"])})
+    checks = validate_invoices(raw["erp_invoices"]).unionByName(validate_payments(raw["payment_events"]))
+    suites = run_expectation_suite(models["stg_erp_invoices"], "erp_invoices_suite").unionByName(
+        run_expectation_suite(models["stg_payments"], "payments_suite"))
+    volume = volume_anomalies(models["stg_erp_invoices"])
+    last = volume.groupBy("source_system").agg(F.max_by("is_anomaly", "invoice_date").alias("odd")).where("odd")
+    currency = currency_report({"stg_erp_invoices": models["stg_erp_invoices"], "stg_payments": models["stg_payments"]}, iso_codes)
+    wrong = ~F.col("iso_like") if iso_codes is None else ~(F.col("iso_like") & F.col("in_code_list"))
+
+    def names(df: DataFrame, *columns: str) -> list[str]:
+        return sorted(r[0] for r in df.select(F.concat_ws(".", *columns)).collect())
+
+    return {"failed_tests": names(tests.where("status = 'fail'"), "model", "column", "test"),
+            "failed_checks": names(checks.where("not passed"), "suite", "check"),
+            "failed_suites": names(suites.where("not success"), "suite", "expectation_type", "column"),
+            "odd_volume": names(last, "source_system") if check_volume else [],
+            "wrong_currency": names(currency.where(wrong).select("table_name").distinct(), "table_name")}
+
+
+def run_warehouse_build(spark: SparkSession, raw_dir: str, out_dir: str, as_of=None, now=None,
+                        freshness: dict | None = None, iso_codes: DataFrame | None = None, check_volume: bool = True) -> dict:
     """Freshness -> build -> tests and quality -> publish; a failed gate stops before publishing.
 
-    Returns the gate results; marts are written under ``out_dir/published``
-    only when every gate passed.
+    Returns the gate results; marts are published under ``out_dir/published``
+    (see ``sinks.read_published``) only when every gate passed.  ``check_volume=False`` is
+    for sources without enough history for the three-sigma rule.
     """
     prepare(spark)
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    raw_inv = spark.read.schema(INVOICE_SCHEMA).parquet(table_path(raw_dir, RAW_TABLES[0]))
-    raw_pay = spark.read.schema(PAYMENT_SCHEMA).parquet(table_path(raw_dir, RAW_TABLES[1]))
-    raw_ev = spark.read.schema(EVENT_SCHEMA).parquet(table_path(raw_dir, RAW_TABLES[2]))
-
-    fresh = source_freshness({"erp_invoices": raw_inv, "payment_events": raw_pay, "product_events": raw_ev}, now)
-    fresh_rows = fresh.collect()          # three rows, one per source
-    if any(r.status == "error" for r in fresh_rows):
-        return {"published": False, "stage": "freshness", "freshness": [r.asDict() for r in fresh_rows]}
-
-    build = os.path.join(out_dir, "build")
-    inv, pay, ev = stg_erp_invoices(raw_inv, as_of), stg_payments(raw_pay), stg_product_events(raw_ev)
-    ledger_path = os.path.join(build, "fct_ar_ledger")
-    write_table(build_ledger(inv, pay, ev, as_of, form="dbt"), ledger_path)
-    ledger = spark.read.parquet(ledger_path)
-    dim_path, mart_path = os.path.join(build, "dim_customers"), os.path.join(build, "mrt_collections_health")
-    write_table(dim_customers(ledger), dim_path)
-    write_table(collections_health(ledger, form="dbt"), mart_path)
-
-    models = {"stg_erp_invoices": inv, "stg_payments": pay, "stg_product_events": ev, "fct_ar_ledger": ledger,
-              "dim_customers": spark.read.parquet(dim_path), "mrt_collections_health": spark.read.parquet(mart_path)}
-    tests = run_warehouse_tests(models, singular={"assert_no_negative_outstanding": negative_outstanding(ledger)})
-    failed_tests = [r.asDict() for r in tests.where(F.col("status") == "fail").collect()]  # at most one row per test
-    checks = validate_invoices(raw_inv).unionByName(validate_payments(raw_pay))
-    failed_checks = [r.asDict() for r in checks.where(~F.col("passed")).collect()]
-    if failed_tests or failed_checks:
-        return {"published": False, "stage": "checks", "failed_tests": failed_tests,
-                "failed_checks": failed_checks}
-
-    published = os.path.join(out_dir, "published")
-    for name, path in [("fct_ar_ledger", ledger_path), ("dim_customers", dim_path),
-                       ("mrt_collections_health", mart_path)]:
-        write_table(spark.read.parquet(path), os.path.join(published, name))
-    return {"published": True, "stage": "publish"}
+    raw = _raw_tables(spark, raw_dir)
+    fresh_rows = source_freshness(raw, now, thresholds=freshness or FRESHNESS_HOURS).collect()    # one row per source
+    stale = sorted(r.source for r in fresh_rows if r.status == "error")
+    if stale:
+        return {"published": False, "stage": "freshness", "stale": stale}
+
+    run_id = uuid.uuid4().hex
+    build = os.path.join(out_dir, "build", run_id)
+    models = build_warehouse_models(
+        stg_erp_invoices(raw["erp_invoices"], as_of), stg_payments(raw["payment_events"]),
+        stg_product_events(raw["product_events"]), as_of, build)
+    findings = gate_findings(raw, models, iso_codes, check_volume)
+    if any(findings.values()):
+        return {"published": False, "stage": "checks", **findings}
+    publish(spark, build, os.path.join(out_dir, "published"), run_id, MODELS)
+    return {"published": True, "stage": "publish", "run_id": run_id}
 
 
 def run_local_checkpoint(spark: SparkSession, erp_csv: str | None = None,
@@ -179,10 +238,10 @@ def run_local_checkpoint(spark: SparkSession, erp_csv: str | None = None,
     prepare(spark)
     parts = []
     if erp_csv:
-        inv = spark.read.option("header", True).option("inferSchema", False).csv(erp_csv)
+        inv = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(erp_csv)
         parts.append(validate_invoices(inv.withColumn("amount_usd", F.col("amount_usd").try_cast("decimal(18,2)"))))
     if payments_csv:
-        pay = spark.read.option("header", True).option("inferSchema", False).csv(payments_csv)
+        pay = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(payments_csv)
         parts.append(validate_payments(pay.withColumn("amount_usd", F.col("amount_usd").try_cast("decimal(18,2)"))))
     if not parts:
         return None

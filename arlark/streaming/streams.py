@@ -3,30 +3,38 @@
 The same Column functions as the batch path run on streaming DataFrames:
 
 * ``normalized_event_stream`` / ``normalized_payment_stream`` -- JSON message
-  values (files or a message queue) parsed and normalized, invalid records
-  routed to a quarantine sink by ``foreachBatch``.
-* ``dedupe_payment_stream`` -- first-wins per ``payment_id`` with
-  ``dropDuplicatesWithinWatermark``; state for an id is kept until the
-  watermark passes it, so a duplicate arriving later than the watermark
-  delay reaches the raw table (where staging keeps the latest copy).
-* ``touch_count_stream`` -- running touch count and last outreach per
-  invoice, emitted in update mode and merged into a table per micro-batch.
-
-Sinks are checkpointed; ``run_available_now`` processes what is there and
-stops, which is how an hourly schedule drives them.
+  values (files or a message queue) parsed and normalized; ``run_split`` stores
+  valid and quarantined rows, so every message ends up in one of the two.
+* ``append_batches`` / ``first_payments`` -- every arriving copy is stored, the first to
+  arrive is read back; no row is lost, however late it comes.
+  ``dedupe_payment_stream`` thins repeated deliveries on the way, on arrival
+  time, so that its bounded state never drops a first copy either.
+* ``append_touch_counts`` / ``touch_counts`` -- each batch appends its partial
+  counts per invoice; reading adds them up.
+
+A sink's cost follows the batch: a batch writes one folder of its own, named by
+the streaming query's id and the batch number, and a replayed batch writes the same folder
+again.  ``run_available_now`` processes what is there and stops, which is
+how an hourly schedule drives them.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from arlark.operators.dedupe import keep_first
+from arlark.operators.matching import touches_per_invoice
 from arlark.operators.normalize import normalize_payments, normalize_product_events, parse_json_payloads
-from arlark.schemas import COLLECTION_EVENT_TYPES, EVENT_PAYLOAD_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, STRIPE_PAYLOAD_SCHEMA
+from arlark.schemas import (
+    COLLECTION_EVENT_TYPES, EVENT_PAYLOAD_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, STRIPE_PAYLOAD_SCHEMA, TS,
+)
 
 
 def json_message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -53,66 +61,78 @@ def normalized_payment_stream(messages: DataFrame, processor: str) -> DataFrame:
     return normalize_payments(parse_json_payloads(messages, schema), processor)
 
 
-def dedupe_payment_stream(payments: DataFrame, event_time: str = "_loaded_at", delay: str = "2 days") -> DataFrame:
-    """First payment per id within the watermark (state is bounded by the delay).
+def dedupe_payment_stream(payments: DataFrame, delay: str = "2 days") -> DataFrame:
+    """One delivery per payment id within ``delay`` of arrival.
 
-    Watermarks need a zone-aware TIMESTAMP; the zone-less load time is read as
-    UTC wall-clock time (the session zone) for that purpose only.
+    The watermark runs on arrival time, which never goes back, so no row is ever behind it and
+    only repeated ids are dropped.  State holds the ids of the last
+    ``delay``; a copy that arrives later passes and is left to ``first_payments``.
     """
-    wm = "__event_time"
-    return (payments.withColumn(wm, F.col(event_time).cast("timestamp"))
-            .withWatermark(wm, delay).dropDuplicatesWithinWatermark(["payment_id"]).drop(wm))
+    arrived = "__arrived_at"
+    return (payments.withColumn(arrived, F.current_timestamp()).withWatermark(arrived, delay)
+            .dropDuplicatesWithinWatermark(["payment_id"]).drop(arrived))
 
 
-def touch_count_stream(events: DataFrame, event_types: Sequence[str] | None = COLLECTION_EVENT_TYPES) -> DataFrame:
-    """Running (count, last occurred_at) per invoice; emit with output mode ``update``."""
-    if event_types is not None:
-        events = events.where(F.lower("event_type").isin(list(event_types)))
-    return events.groupBy("invoice_id").agg(
-        F.count(F.lit(1)).alias("collection_attempt_count"),
-        F.max("occurred_at").alias("last_outreach_at"),
-    )
+def _batch_folder(spark: SparkSession, table: str, checkpoint: str, batch_id: int) -> str:
+    """The folder of one batch; the query's id comes from its checkpoint, so a new checkpoint never reuses folders."""
+    query_id = json.loads(spark.read.text(os.path.join(checkpoint, "metadata")).first()[0])["id"]
+    return os.path.join(table, f"query_id={query_id}", f"batch_id={batch_id}")
 
 
-def merge_updates_by_key(table_dir: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` handler: upsert the batch's rows into a versioned table by ``keys``.
-
-    Each batch writes a new version directory ``v<batch id>`` (never
-    overwriting the version being read); a version counts once its commit
-    marker exists.  A replayed batch rewrites its own version instead of
-    merging twice.
-    """
+def append_batches(table: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> Callable:
+    """``foreachBatch`` handler: store the (transformed) batch in its own folder of ``table``."""
     def handler(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        current = latest_version(spark, table_dir, before=batch_id)
-        updates = batch.dropDuplicates(list(keys))
-        if current is not None:
-            previous = spark.read.parquet(current)
-            merged = previous.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates)
-        else:
-            merged = updates
-        merged.write.mode("overwrite").parquet(os.path.join(table_dir, f"v{batch_id:012d}"))
+        rows = transform(batch) if transform else batch
+        arrived = F.current_timestamp()
+        rows.withColumn("_stored_at", arrived).write.mode("overwrite").parquet(
+            _batch_folder(batch.sparkSession, table, checkpoint, batch_id))
 
     return handler
 
 
-def latest_version(spark: SparkSession, table_dir: str, before: int | None = None) -> str | None:
-    """Newest committed version directory of a versioned table (any Hadoop filesystem)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table_dir)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    best = None
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if not (st.isDirectory() and name.startswith("v") and name[1:].isdigit()):
-            continue
-        if before is not None and int(name[1:]) >= before:
-            continue
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")) and (best is None or name > best[0]):
-            best = (name, st.getPath().toString())
-    return best[1] if best else None
+def stored_batches(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    """All stored rows with ``_stored_at``, ``query_id`` and ``batch_id``."""
+    extra = [T.StructField("_stored_at", T.TimestampType()), T.StructField("query_id", T.StringType()),
+             T.StructField("batch_id", T.LongType())]
+    return spark.read.schema(T.StructType(schema.fields + extra)).parquet(table)
+
+
+def first_payments(stored: DataFrame) -> DataFrame:
+    """The first copy of each payment: by arrival, then load time, source event and amount."""
+    return keep_first(stored, ["payment_id"], ["_stored_at", "batch_id", "_loaded_at", "_source_event", "amount_usd"])
+
+
+def append_touch_counts(table: str, checkpoint: str, event_types: Sequence[str] | None = COLLECTION_EVENT_TYPES) -> Callable:
+    """``foreachBatch`` handler: append the batch's (count, last occurred_at) per invoice."""
+    def partial(batch: DataFrame) -> DataFrame:
+        return touches_per_invoice(batch.withColumn("event_type", F.lower("event_type")), event_types)
+
+    return append_batches(table, checkpoint, partial)
+
+
+TOUCH_SCHEMA = T.StructType([T.StructField("invoice_id", T.StringType()), T.StructField("collection_attempt_count", T.LongType()),
+                             T.StructField("last_outreach_at", TS)])
+
+
+def touch_counts(spark: SparkSession, table: str) -> DataFrame:
+    """Touch count and last outreach per invoice over all stored batches."""
+    return stored_batches(spark, table, TOUCH_SCHEMA).groupBy("invoice_id").agg(
+        F.sum("collection_attempt_count").alias("collection_attempt_count"), F.max("last_outreach_at").alias("last_outreach_at"))
+
+
+def run_split(rows: DataFrame, valid_table: str, quarantine_table: str, checkpoint: str) -> tuple[DataFrame, DataFrame]:
+    """Store valid and quarantined rows of a normalized stream; returns both as stored so far."""
+    keep_valid = append_batches(valid_table, checkpoint, lambda b: b.where(F.size("_errors") == 0).drop("_errors"))
+    keep_bad = append_batches(quarantine_table, checkpoint, lambda b: b.where(F.size("_errors") > 0))
+
+    def handler(batch: DataFrame, batch_id: int) -> None:
+        keep_valid(batch, batch_id)
+        keep_bad(batch, batch_id)
+
+    run_available_now(rows, checkpoint, foreach_batch=handler)
+    good = T.StructType([f for f in rows.schema.fields if f.name != "_errors"])
+    spark = rows.sparkSession
+    return stored_batches(spark, valid_table, good), stored_batches(spark, quarantine_table, rows.schema)
 
 
 def run_available_now(df: DataFrame, checkpoint: str, *, path: str | None = None, fmt: str = "parquet",
