@@ -1,6 +1,7 @@
 """Upsert semantics and multi-batch streaming behaviour."""
 
 import datetime as dt
+import json
 import os
 from decimal import Decimal
 
@@ -43,39 +44,51 @@ def test_touch_counts_merge_across_batches(spark, tmp_path):
     stream = spark.readStream.schema(EVENT_SCHEMA).parquet(os.path.join(inbox, "*"))
     table = os.path.join(out, "table")
 
-    def run():
-        streams.run_available_now(streams.touch_count_stream(stream), os.path.join(out, "ckpt"),
-                                  output_mode="update", foreach_batch=streams.merge_updates_by_key(table, ["invoice_id"]))
+    def run(checkpoint):
+        streams.run_available_now(stream, checkpoint, foreach_batch=streams.append_touch_counts(table, checkpoint))
+        return {r.invoice_id: (r.collection_attempt_count, r.last_outreach_at) for r in streams.touch_counts(spark, table).collect()}
 
-    run()
+    first = os.path.join(out, "ckpt")
+    run(first)
     later = T0 + dt.timedelta(days=1)
-    spark.createDataFrame([_event("E3", "I1", "call_logged", later), _event("E4", "I3", "dispute_opened", later)],
-                          EVENT_SCHEMA).write.parquet(os.path.join(inbox, "b2"))
-    run()
-    got = {r.invoice_id: (r.collection_attempt_count, r.last_outreach_at)
-           for r in spark.read.parquet(streams.latest_version(spark, table)).collect()}
+    for k, rows in enumerate([[_event("E3", "I1", "call_logged", later)], [_event("E4", "I3", "Dispute_Opened", later)]]):
+        spark.createDataFrame(rows, EVENT_SCHEMA).write.parquet(os.path.join(inbox, f"b{k + 2}"))
+        got = run(first)
     assert got == {"I1": (2, later), "I3": (1, later)}
+    # a new checkpoint reads the inbox again: its folders are new ones, nothing stored before is replaced
+    assert run(os.path.join(out, "other")) == {"I1": (4, later), "I3": (2, later)}
 
 
-def test_payment_dedupe_drops_later_duplicates(spark, tmp_path):
-    def pay(pid, amount, at):
-        return (pid, "I1", "C1", at.date(), Decimal(amount), "USD", "ach", "manual", False, None, None, at, "")
+def _pay(pid, amount, at):
+    return (pid, "I1", "C1", at.date(), Decimal(amount), "USD", "ach", "manual", False, None, None, at, "")
 
+
+def test_late_and_repeated_payments(spark, tmp_path):
+    """A unique payment is never lost, however old its load time; the first copy to arrive is read back."""
     inbox, out = str(tmp_path / "inbox"), str(tmp_path / "out")
-    spark.createDataFrame([pay("P1", "5.00", T0), pay("P2", "6.00", T0)], PAYMENT_SCHEMA) \
-        .write.parquet(os.path.join(inbox, "b1"))
+    table, checkpoint = os.path.join(out, "table"), os.path.join(out, "ckpt")
     stream = spark.readStream.schema(PAYMENT_SCHEMA).parquet(os.path.join(inbox, "*"))
-
-    def run():
-        streams.run_available_now(streams.dedupe_payment_stream(stream, delay="2 days"), os.path.join(out, "ckpt"),
-                                  path=os.path.join(out, "data"))
-
-    run()
-    spark.createDataFrame([pay("P1", "7.00", T0 + dt.timedelta(hours=1)), pay("P3", "8.00", T0)], PAYMENT_SCHEMA) \
-        .write.parquet(os.path.join(inbox, "b2"))
-    run()
-    rows = {r.payment_id: r.amount_usd for r in spark.read.parquet(os.path.join(out, "data")).collect()}
-    assert rows == {"P1": Decimal("5.00"), "P2": Decimal("6.00"), "P3": Decimal("8.00")}
+    batches = [[_pay("P1", "5.00", T0), _pay("P2", "6.00", T0)],
+               [_pay("P1", "7.00", T0 - dt.timedelta(days=40)), _pay("P3", "8.00", T0 - dt.timedelta(days=400))],
+               [_pay("P2", "9.00", T0 + dt.timedelta(days=400)), _pay("P4", "1.00", T0 - dt.timedelta(days=1))]]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, PAYMENT_SCHEMA).write.parquet(os.path.join(inbox, f"b{k}"))
+        streams.run_available_now(streams.dedupe_payment_stream(stream), checkpoint,
+                                  foreach_batch=streams.append_batches(table, checkpoint))
+    rows = streams.first_payments(streams.stored_batches(spark, table, PAYMENT_SCHEMA)).collect()
+    assert {r.payment_id: r.amount_usd for r in rows} == {
+        "P1": Decimal("5.00"), "P2": Decimal("6.00"), "P3": Decimal("8.00"), "P4": Decimal("1.00")}
+
+
+def test_streams_store_valid_and_quarantined_rows(spark, tmp_path):
+    inbox = str(tmp_path / "inbox")
+    lines = [json.dumps({"payment_id": f"P{k}", "invoice_id": "I", "customer_id": "C", "payment_date": "2025-02-01",
+                         "amount_usd": str(k)}) for k in range(4)] + ["not json"]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(inbox)
+    rows = streams.normalized_payment_stream(streams.json_message_stream(spark, inbox), "bank")
+    valid, bad = streams.run_split(rows, str(tmp_path / "ok"), str(tmp_path / "bad"), str(tmp_path / "ckpt"))
+    assert sorted(r.payment_id for r in valid.collect()) == ["P1", "P2", "P3"]
+    assert sorted(str(r.payment_id) for r in bad.collect()) == ["None", "P0"]
 
 
 def test_feature_snapshot_rerun_replaces_only_its_day(spark, tmp_path):
