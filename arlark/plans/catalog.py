@@ -72,6 +72,13 @@ class staged:
     def payments(self) -> DataFrame:
         return stg_payments(src.raw_payments(self.spark, self.sf_dir))
 
+    def stored_payments(self) -> DataFrame:
+        """The deduplicated payments written once to the shared folder: for plans that read them twice."""
+        path = os.path.join(unique_dir(self.spark, "staged"), "payments")
+        payments = self.payments
+        payments.write.parquet(path)
+        return self.spark.read.schema(payments.schema).parquet(path)
+
     @property
     def events(self) -> DataFrame:
         return stg_product_events(src.raw_product_events(self.spark, self.sf_dir))
@@ -124,7 +131,7 @@ def invoice_aging_q(spark, sf_dir):
 
 @query
 def payment_matching_q(spark, sf_dir):
-    return payment_matching(staged(spark, sf_dir)[1])
+    return payment_matching(staged(spark, sf_dir).stored_payments())
 
 
 @query
@@ -141,7 +148,8 @@ def touches_per_invoice_q(spark, sf_dir):
 
 @query
 def fct_ar_ledger_dbt(spark, sf_dir):
-    return ledger_dbt(spark, sf_dir)
+    st = staged(spark, sf_dir)
+    return build_ledger(st.invoices, st.stored_payments(), st.events, AS_OF, form="dbt")
 
 
 @query
