@@ -19,7 +19,7 @@ from arlark.functions.aging import (
     is_overdue_by_status,
     is_overdue_unpaid,
 )
-from arlark.functions.ratios import round_ratio, safe_ratio, to_double
+from arlark.functions.ratios import safe_ratio, to_double
 from arlark.functions.keys import idempotency_key
 
 __all__ = [
@@ -38,7 +38,6 @@ __all__ = [
     "parse_decimal",
     "parse_int",
     "parse_timestamp",
-    "round_ratio",
     "safe_ratio",
     "to_double",
     "upper_or_default",

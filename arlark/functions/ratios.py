@@ -14,7 +14,3 @@ def safe_ratio(numerator, denominator) -> Column:
     """numerator / denominator in double; 0.0 when the denominator is 0 or NULL."""
     n, d = to_double(numerator), to_double(denominator)
     return F.when(F.coalesce(d, F.lit(0.0)) == 0, F.lit(0.0)).otherwise(n / d)
-
-
-def round_ratio(c, places: int = 6) -> Column:
-    return F.round(to_double(c), places)

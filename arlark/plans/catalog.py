@@ -463,6 +463,14 @@ def quality_payments(spark, sf_dir):
     return r6(quality.validate_payments(src.raw_payments(spark, sf_dir)), "observed")
 
 
+@query
+def quality_summary(spark, sf_dir):
+    """Success and failed checks of each code suite."""
+    checks = quality.validate_invoices(src.raw_invoices(spark, sf_dir)).unionByName(
+        quality.validate_payments(src.raw_payments(spark, sf_dir)))
+    return quality.summarize(checks).withColumn("failures", F.array_join("failures", ", "))
+
+
 @query
 def quality_suite_json(spark, sf_dir):
     st = staged(spark, sf_dir)

@@ -82,13 +82,6 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType, mult
     return with_input_order(df).select(F.struct(*cols).alias(payload), "_source_file", "_input_seq")
 
 
-def read_text_messages(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON message per line as a ``value`` column (the shape of a message-queue value)."""
-    if not _paths(spark, path):
-        return spark.createDataFrame([], "value string")
-    return spark.read.text(path)
-
-
 def list_sample_files(sample_dir: str) -> dict[str, str]:
     """Conventional layout of a sample drop: erp/<source>_invoices.csv, payments/*.json, product_events/*.json."""
     return {

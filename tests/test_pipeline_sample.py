@@ -190,6 +190,15 @@ def test_local_checkpoint_on_csv(spark, tmp_path):
                    "status_in_set": False, "currency_iso_like": False}
 
 
+def test_gate_names_every_failed_check(spark):
+    from arlark.operators.quality import assert_passed
+
+    rows = [("s", f"check_{k:02d}", k % 2 == 0) for k in range(60)]
+    with pytest.raises(RuntimeError) as error:
+        assert_passed(spark.createDataFrame(rows, "suite string, check string, passed boolean"))
+    assert all(f"s.check_{k:02d}" in str(error.value) for k in range(1, 60, 2))
+
+
 def test_bad_values_are_grouped_rows(spark):
     from arlark.operators.quality import bad_values
 
