@@ -35,6 +35,7 @@ import struct
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +49,9 @@ BLOCK_BYTES, BUFFER_BYTES = 8 << 20, 1 << 19
 #: Anchors that one task counts together, and anchors held before a flush.
 ANCHORS_PER_BUCKET, HELD_ANCHORS = 500_000, 1_500_000
 #: Blocks from which an anchor is hot.
-HOT_SOURCES = 32
+HOT_SOURCES = 128
+#: Text of one block that is packed together, and text held while packing.
+PACK_BYTES, HELD_BYTES = 1 << 20, 32 << 20
 #: Windows ordered at once (a single group may be larger).
 WINDOWS_AT_ONCE = 150_000
 #: Most id ranges that blocks are cut from.
@@ -256,6 +259,43 @@ def _count_anchors(batches):
 
 # ---- passes two and three: a block's stream is its replies, its copies, then its documents ------
 
+def _pack_documents(batches, schema: pa.Schema | None = None):
+    """(block, payload): the documents of a block as compressed Arrow streams of about ``PACK_BYTES`` of text."""
+    held: dict[int, list[pa.RecordBatch]] = {}
+    sizes: dict[int, int] = {}
+
+    def packed(block: int):
+        table = pa.Table.from_batches(held.pop(block)).combine_chunks()
+        sizes.pop(block)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
+            out.write_table(table)
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                          names=["block", "payload"])
+
+    for batch in batches:
+        blocks = np.asarray(batch.column("block"))
+        rest = batch.drop_columns(["block"])
+        for block in np.unique(blocks).tolist():
+            part = rest.take(pa.array(np.flatnonzero(blocks == block)))
+            held.setdefault(block, []).append(part)
+            sizes[block] = sizes.get(block, 0) + part.get_total_buffer_size()
+            if sizes[block] >= PACK_BYTES:
+                yield packed(block)
+        if sum(sizes.values()) >= HELD_BYTES:
+            for block in list(held):
+                yield packed(block)
+    for block in list(held):
+        yield packed(block)
+
+
+def _unpack_documents(payload: bytes):
+    """The rows of a packed stream, column by column, and the type of the carried row if there is one."""
+    table = pa.ipc.open_stream(payload).read_all()
+    rows = table.column("row").to_pylist() if "row" in table.column_names else [None] * len(table)
+    return list(zip(table.column("doc").to_pylist(), table.column("text").to_pylist(), rows)), table.schema
+
+
 class BlockText:
     """Finds a block's shared runs; fed with candidate anchors, then documents."""
 
@@ -302,7 +342,7 @@ RUN_ROWS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("strings",
 
 def _pack_runs(bucket: int, block: int, found: dict[bytes, tuple[int, int]]) -> tuple:
     strings = list(found)
-    return (bucket, block, b"".join(strings), np.array([len(s) for s in strings], "<u2").tobytes(),
+    return (bucket, block, zstandard.ZstdCompressor(level=1).compress(b"".join(strings)), np.array([len(s) for s in strings], "<u2").tobytes(),
             np.array([found[s][0] for s in strings], "<u2").tobytes(), np.array([found[s][1] for s in strings], "<i8").tobytes())
 
 
@@ -333,7 +373,7 @@ def _send_runs(batches, buckets: int, threshold: int, gram: int):
             yield _rows([_pack_runs(bucket, block, kept)], RUN_ROWS)
 
     for batch in batches:
-        for b, kind, doc, bucket, payload, more, body in zip(*[batch.column(c).to_pylist() for c in STREAM]):
+        for b, kind, doc, bucket, payload, more in zip(*[batch.column(c).to_pylist() for c in STREAM]):
             if b != block:
                 if block is not None:
                     yield from finish()
@@ -342,10 +382,12 @@ def _send_runs(batches, buckets: int, threshold: int, gram: int):
                 text.reply(bucket, payload, more)
             elif kind == 1:
                 copies.add(doc)
-            elif doc not in copies:
-                ids.append(doc)
-                for buffer in buffers.add(len(ids) - 1, body.encode()):
-                    note(buffer)
+            else:
+                for doc, body, _ in _unpack_documents(payload)[0]:
+                    if doc is not None and doc not in copies:
+                        ids.append(doc)
+                        for buffer in buffers.add(len(ids) - 1, body.encode()):
+                            note(buffer)
     if block is not None:
         yield from finish()
 
@@ -418,8 +460,12 @@ def _smallest_ids(strings: list[bytes], anchors: list[int], ids: list[int], thre
     return out
 
 
+#: Bytes of a run's digest in a reply; it tells the runs of one block apart.
+DIGEST = 12
+
+
 def _digest(string: bytes) -> bytes:
-    return xxhash.xxh3_128_digest(string)
+    return xxhash.xxh3_128_digest(string)[:DIGEST]
 
 
 ID_ROWS = pa.schema([("block", pa.int64()), ("payload", pa.large_binary()), ("more", pa.large_binary())])
@@ -428,13 +474,14 @@ ID_ROWS = pa.schema([("block", pa.int64()), ("payload", pa.large_binary()), ("mo
 def _order_runs(batches, threshold: int, gram: int):
     """For each block and run the smallest ids of its windows.
 
-    A reply holds the runs' 16-byte digests, and for each run the number of its
+    A reply holds the runs' digests, and for each run the number of its
     (window count, id) stretches of equal ids, then these.
     """
     for _, rows in _by_key(batches, ["bucket", "block", "strings", "sizes", "anchors", "ids"]):
         index: dict[bytes, int] = {}
         anchors, ids, sent = [], [], []
         for _, block, strings, sizes, places, docs in rows:
+            strings = zstandard.ZstdDecompressor().decompress(strings)
             at, mine = 0, []
             for size, place, doc in zip(np.frombuffer(sizes, "<u2").tolist(), np.frombuffer(places, "<u2").tolist(),
                                         np.frombuffer(docs, "<i8").tolist()):
@@ -461,7 +508,7 @@ def _order_runs(batches, threshold: int, gram: int):
             yield _rows([(block, b"".join(digests[k] for k in mine), b"".join(stretches[k] for k in mine))], ID_ROWS)
 
 
-STREAM = ["block", "kind", "doc", "bucket", "payload", "more", "text"]
+STREAM = ["block", "kind", "doc", "bucket", "payload", "more"]
 
 
 class Marks:
@@ -472,14 +519,14 @@ class Marks:
 
     def reply(self, digests: bytes, stretches: bytes) -> None:
         at = 0
-        for k in range(0, len(digests), 16):
+        for k in range(0, len(digests), DIGEST):
             n = stretches[at]
             if n == 1:
                 value: object = struct.unpack_from("<q", stretches, at + 2)[0]
             else:
                 flat = struct.unpack_from("<" + "Bq" * n, stretches, at + 1)
                 value = list(zip(flat[::2], flat[1::2]))
-            self.ids[digests[k:k + 16]] = value
+            self.ids[digests[k:k + DIGEST]] = value
             at += 1 + 9 * n
 
     def spans(self, doc: int, start: int, windows: int, hot: bool, string: bytes, threshold: int, out: list) -> None:
@@ -542,12 +589,9 @@ def _mark(batches, buckets: int, threshold: int, gram: int, schema: pa.Schema, c
         docs.clear()
         return _rows(rows, schema)
 
-    names = STREAM + (["row"] if carry else [])
     held, fields = 0, len(schema)
     for batch in batches:
-        if carry and len(schema) == fields:
-            schema = schema.append(batch.schema.field("row"))
-        for b, kind, doc, bucket, payload, more, body, *row in zip(*[batch.column(c).to_pylist() for c in names]):
+        for b, kind, doc, bucket, payload, more in zip(*[batch.column(c).to_pylist() for c in STREAM]):
             if b != block:
                 if block is not None:
                     yield results()
@@ -560,18 +604,22 @@ def _mark(batches, buckets: int, threshold: int, gram: int, schema: pa.Schema, c
             elif kind == 1:
                 copies.add(doc)
             else:
-                data = body.encode()
-                spans: list = []
-                docs.append((doc, data, spans, row[0] if row else None))
-                held += len(data)
-                if doc in copies:
-                    spans.append((0, len(data)))
-                elif doc is not None:
-                    for buffer in buffers.add(len(docs) - 1, data):
-                        note(buffer)
-                if held >= 4 * BUFFER_BYTES:
-                    yield results()
-                    held = 0
+                rows, packed = _unpack_documents(payload)
+                if carry and len(schema) == fields:
+                    schema = schema.append(packed.field("row"))
+                for doc, body, row in rows:
+                    data = body.encode()
+                    spans: list = []
+                    docs.append((doc, data, spans, row))
+                    held += len(data)
+                    if doc in copies:
+                        spans.append((0, len(data)))
+                    elif doc is not None:
+                        for buffer in buffers.add(len(docs) - 1, data):
+                            note(buffer)
+                    if held >= 4 * BUFFER_BYTES:
+                        yield results()
+                        held = 0
     if block is not None:
         yield results()
 
@@ -631,28 +679,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _count_anchors, "block long, bucket long, hashes binary, hot binary")
     shared = staged(shared, "shared-anchors")
 
-    columns = STREAM + (["row"] if carry else [])
-    row_type = source.schema["row"].dataType if carry else None
-
     def stream(*parts: DataFrame, rows: bool = False) -> DataFrame:
-        documents = source.select(block.alias("block"), F.lit(2).alias("kind"), "doc", "text", *(["row"] if rows else []))
-        out = documents
+        documents = source.select(block.alias("block"), "doc", "text", *(["row"] if rows else []))
+        out = documents.mapInArrow(_pack_documents, "block long, payload binary").withColumn("kind", F.lit(2))
         for part in parts:
             out = out.unionByName(part, allowMissingColumns=True)
-        for name, kind in (("bucket", "long"), ("payload", "binary"), ("more", "binary")):
+        for name, kind in (("bucket", "long"), ("more", "binary")):
             if name not in out.columns:
                 out = out.withColumn(name, F.lit(None).cast(kind))
-        order = ["block", "kind", "doc"]
-        return out.select(*(columns if rows else STREAM)).repartition(width, "block").sortWithinPartitions(*order)
+        return out.select(*STREAM).repartition(width, "block").sortWithinPartitions("block", "kind")
 
     replies = shared.select("block", F.lit(0).alias("kind"), "bucket", F.col("hashes").alias("payload"), F.col("hot").alias("more"))
     twins = copies.select("block", F.lit(1).alias("kind"), "doc")
-    sent = stream(replies, twins).where("kind < 2 or doc is not null").mapInArrow(
+    sent = stream(replies, twins).mapInArrow(
         lambda b: _send_runs(b, buckets, threshold, gram),
         "bucket long, block long, strings binary, sizes binary, anchors binary, ids binary")
     ordered = sent.repartition(max(width, buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(
         lambda b: _order_runs(b, threshold, gram), "block long, payload binary, more binary")
-    ordered = staged(ordered, "smallest-ids")
 
     answers = ordered.select("block", F.lit(0).alias("kind"), "payload", "more")
     names = [("doc", "long"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"),
@@ -660,6 +703,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = pa.schema([pa.field(n, pa.int64() if t == "long" else pa.string()) for n, t in names])
     ddl = ", ".join(f"{n} {t}" for n, t in names)
     if carry:
+        row_type = source.schema["row"].dataType
         ddl += f", row {row_type.simpleString()}"
     marked = stream(replies, twins, answers, rows=bool(carry)).mapInArrow(
         lambda b: _mark(b, buckets, threshold, gram, schema, bool(carry), with_text), ddl)
