@@ -42,7 +42,7 @@ class BpeCodec:
             if rank < 256 or count_symbols([byte_of[c] for c in string], v.merge) == 1:
                 self.automaton.add_word(string, rank)
         self.automaton.make_automaton()
-        self.compatible_pairs = PieceCache(self._compatible, limit=400_000, longest=2)
+        self.compatible_pairs = PieceCache(self._compatible, longest=2)
         self.symbol = str.maketrans({chr(b): c for b, c in enumerate(v.alphabet)})
         self.id_bytes = [i.to_bytes(4, "little") for i in v.ids]
         self.token_bytes = {i: v.bytes_of(s) for s, i in zip(v.strings, v.ids)}

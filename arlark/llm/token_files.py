@@ -25,20 +25,24 @@ missing in the index); equal ids are ordered by text hash; extra columns are not
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arlark.llm.common import SharedFiles, shared_uri, staged
-from arlark.llm.vocabulary import PieceCache, broadcast_vocabulary
+from arlark.llm.vocabulary import PieceCache, broadcast_vocabulary, byte_alphabet
 
 #: Fixed values of the zstandard seekable format.
 SEEK_MAGIC, SEEK_FOOTER, CHECKSUM_BIT = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -51,30 +55,59 @@ MISSING = np.iinfo(np.int64).min
 _encoders: dict[int, "LibraryEncoder"] = {}
 
 
+#: Words that are split here as the library would split them; any other word is left to it as a whole.
+PLAIN_WORD = re.compile("[!-~¡-ɏ]+")
+#: Fixed value: the published split pattern of the word-end vocabulary, without white space.
+WORD_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class LibraryEncoder:
-    """Ids from the tokenizers library, asked once for each distinct whitespace-free word.
+    """Ids from the tokenizers library, asked once for each distinct piece while it stays in use.
 
     Valid for vocabularies whose pre-tokenizer drops white space, so that a
     text's ids are those of its words in order; ``__init__`` checks that.
-    Words are cut at ASCII white space only; anything else is the library's.
+    Words of Latin letters, digits and signs are normalized and split here and
+    their pieces go to the library's model; other words, and those that may hold special tokens, go through all of the library.
     """
 
     def __init__(self, compressed: bytes):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_str(zlib.decompress(compressed).decode())
+        data = zlib.decompress(compressed).decode()
+        self.library = Tokenizer.from_str(data)
         self.library.no_padding()
         self.library.no_truncation()
-        self.by_word = PieceCache(self._ids)
+        self.model = self.library.model
+        self.by_word, self.by_piece = PieceCache(self._word), PieceCache(self._piece)
         self.wide = self.library.get_vocab_size(with_added_tokens=True) > 1 << 16
-        self.kind = np.dtype("<u4" if self.wide else "<u2")
+        self.kind, self.code = np.dtype("<u4" if self.wide else "<u2"), "I" if self.wide else "H"
+        spec = json.loads(data)
+        steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        patterns = [t.get("pattern", {}).get("Regex") for t in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.known = steps == ["NFC", "Replace", "Lowercase"] and patterns[:1] == [WORD_PIECES]
+        self.split = regex.compile(WORD_PIECES).findall
+        self.symbol = str.maketrans({chr(b): c for b, c in enumerate(byte_alphabet())})
+        self.known = self.known and all(t["content"].startswith("<") for t in spec["added_tokens"])
         probe = "aB c\n\td.\x0b x"
         if self.library.encode(probe, add_special_tokens=False).ids != [
                 i for w in probe.split() for i in self.library.encode(w, add_special_tokens=False).ids]:
             raise ValueError("this vocabulary's ids depend on white space; it cannot be cached by word")
 
-    def _ids(self, word: bytes) -> bytes:
-        return np.array(self.library.encode(word.decode(), add_special_tokens=False).ids, self.kind).tobytes()
+    def _piece(self, piece: str) -> bytes:
+        symbols = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.symbol)
+        return array(self.code, [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if not self.known or "<" in text or not PLAIN_WORD.fullmatch(text):
+            return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        # the characters of a plain word are composed already, so lower case is all there is to normalize
+        text = text.lower()
+        letters = text.rstrip(",.;:!?")
+        if letters.isalpha():
+            ids = self.by_piece[letters]
+            return ids if len(letters) == len(text) else ids + self.by_piece[text[len(letters):]]
+        return b"".join(map(self.by_piece.__getitem__, self.split(text)))
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.by_word.__getitem__, text.encode().split()))

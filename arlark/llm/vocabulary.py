@@ -95,24 +95,38 @@ class ByteVocabulary:
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens of a text without special tokens."""
+        letters = text[1:].rstrip(",.;:!?")
+        if text[:1] == " " and letters.isalpha() and not SETTLED.search(text):
+            # the common unit: a space and a word, with or without marks at its end
+            return [text] if len(letters) + 1 == len(text) else [text[:len(letters) + 1], text[len(letters) + 1:]]
         if SETTLED.search(text):
             return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
         return PIECES.findall(text)
 
 
 class PieceCache(dict):
-    """``unit -> value`` with the value of an unseen unit computed once; emptied when it reaches ``limit`` entries."""
+    """``unit -> value``, computed once while it stays in use.
 
-    def __init__(self, compute, limit: int = 250_000, longest: int = 64):
+    Holds two generations of at most ``limit`` units: when the young one is
+    full it becomes the old one, and units asked for again move back, so
+    frequent units survive and memory is bounded.  Units longer than
+    ``longest`` are not kept.
+    """
+
+    def __init__(self, compute, limit: int = 300_000, longest: int = 64):
         super().__init__()
-        self.compute, self.limit, self.longest = compute, limit, longest
+        self.compute, self.limit, self.longest, self.old = compute, limit, longest, {}
 
     def __missing__(self, unit):
-        value = self.compute(unit)
-        if len(unit) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-            self[unit] = value
+        value = self.old.get(unit)
+        if value is None:
+            value = self.compute(unit)
+            if len(unit) > self.longest:
+                return value
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[unit] = value
         return value
 
 

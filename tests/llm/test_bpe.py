@@ -56,10 +56,12 @@ def test_pieces_fall_back_to_the_library_for_unsettled_code_points():
     assert SETTLED.search("\U00010940") and SETTLED.search("؀")
 
 
-def test_cache_is_bounded_and_skips_long_units():
-    cache = PieceCache(len, limit=3, longest=4)
-    assert [cache[x] for x in ("a", "bb", "ccc", "dddd", "eeeeee")] == [1, 2, 3, 4, 6]
-    assert len(cache) <= 3 and "eeeeee" not in cache
+def test_cache_is_bounded_and_keeps_what_is_used():
+    asked = []
+    cache = PieceCache(lambda x: asked.append(x) or len(x), limit=3, longest=4)
+    assert [cache[x] for x in ("a", "bb", "ccc", "dddd", "eeeeee", "a", "f", "a")] == [1, 2, 3, 4, 6, 1, 1, 1]
+    assert len(cache) <= 3 and len(cache.old) <= 3 and "eeeeee" not in cache
+    assert asked == ["a", "bb", "ccc", "dddd", "eeeeee", "f"]
 
 
 def test_operators_on_edge_rows(spark, library):

@@ -1,6 +1,7 @@
 """Token files: format, random access, checksums, order."""
 
 import io
+import random
 import struct
 import zlib
 
@@ -12,6 +13,7 @@ from tokenizers import Tokenizer
 
 from arlark.llm import token_files
 from arlark.llm.common import SharedFiles
+from arlark.llm.vocabulary import vocabulary_bytes
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -53,6 +55,16 @@ def test_round_trip_random_access_and_checksums(monkeypatch):
         token_files.TokenFileReader(io.BytesIO(data[:-1]))
 
 
+def test_word_cache_equals_the_library():
+    rng = random.Random(2)
+    library = Tokenizer.from_file(PATH)
+    encoder = token_files.LibraryEncoder(zlib.compress(vocabulary_bytes(PATH)))
+    letters = list("aAbéÉñßİ¿'´`.,-#019µªº²½ÆŒǅɏẞΣσ中\u0301\u00a0\u0085\u2028\x1c") + ["'ll", "'RE", "<|endoftext|>", "<|", "|>"]
+    texts = ["".join(rng.choice(letters + [" ", "\n"]) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    for text, expected in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == expected.ids, repr(text)
+
+
 def test_query_rows_equal_the_library(spark):
     library = Tokenizer.from_file(PATH)
     rows = [(5, "Hello, WORLD it's 3 pm"), (None, "x"), (2, None), (9, ""), (3, "<|endoftext|>a <|startoftext|>"),
