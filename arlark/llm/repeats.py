@@ -373,7 +373,7 @@ def _send_runs(batches, buckets: int, threshold: int, gram: int):
             yield _rows([_pack_runs(bucket, block, kept)], RUN_ROWS)
 
     for batch in batches:
-        for b, kind, doc, bucket, payload, more in zip(*[batch.column(c).to_pylist() for c in STREAM]):
+        for b, kind, doc, bucket, payload, more in _stream_rows(batch):
             if b != block:
                 if block is not None:
                     yield from finish()
@@ -511,6 +511,12 @@ def _order_runs(batches, threshold: int, gram: int):
 STREAM = ["block", "kind", "doc", "bucket", "payload", "more"]
 
 
+def _stream_rows(batch: pa.RecordBatch):
+    """The rows of a block stream; payloads are taken out of the batch one at a time."""
+    small = [batch.column(c).to_pylist() for c in STREAM[:4]]
+    return zip(*small, *((v.as_py() for v in batch.column(c)) for c in STREAM[4:]))
+
+
 class Marks:
     """Covered windows of a block's documents, from the replies of pass two."""
 
@@ -591,7 +597,7 @@ def _mark(batches, buckets: int, threshold: int, gram: int, schema: pa.Schema, c
 
     held, fields = 0, len(schema)
     for batch in batches:
-        for b, kind, doc, bucket, payload, more in zip(*[batch.column(c).to_pylist() for c in STREAM]):
+        for b, kind, doc, bucket, payload, more in _stream_rows(batch):
             if b != block:
                 if block is not None:
                     yield results()

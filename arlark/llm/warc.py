@@ -302,3 +302,17 @@ def page_records(read: DataFrame) -> DataFrame:
 def quarantined(read: DataFrame) -> DataFrame:
     """The byte gaps that were skipped: file, start, stop, reason."""
     return read.where(F.col("kind") == "gap").select("file", "start", "stop", "reason")
+
+
+def oracle_sql() -> str:
+    """DuckDB text of the registered query: digests and first ids straight from the pages."""
+    return """
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+firsts AS (SELECT hex, min(page_id) AS first_id FROM hashed GROUP BY hex)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (1 + ((('0x' || substr(hex, 1 + 10 * (i // 8)::INT, 10))::UBIGINT >> (35 - 5 * (i % 8))::UBIGINT) & 31::UBIGINT))::INT, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM hashed JOIN firsts USING (hex)"""
