@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -48,3 +49,30 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         state = new_state
     roots = table.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return table.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+
+
+def merge_labels(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Labels after joining every row with the columns it hits, and (2, n) links that say so.
+
+    ``hit`` is a boolean matrix inside one task; ``left`` and ``right`` are node
+    labels.  The links form a spanning forest: one for each label that changed, not one for each hit.
+    """
+    rows, columns = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+    if not len(rows):
+        return left, right, []
+    part, far = hit[np.ix_(rows, columns)], np.iinfo(np.int64).max
+    a, b = left[rows], right[columns]
+    while True:
+        new_b = np.minimum(b, np.where(part, a[:, None], far).min(axis=0))
+        new_a = np.minimum(a, np.where(part, new_b[None, :], far).min(axis=1))
+        if (new_a == a).all() and (new_b == b).all():
+            break
+        a, b = new_a, new_b
+    links = []
+    for old, new in ((left[rows], a), (right[columns], b)):
+        changed = old != new
+        if changed.any():
+            links.append(np.unique(np.stack([old[changed], new[changed]]), axis=1))
+    left, right = left.copy(), right.copy()
+    left[rows], right[columns] = a, b
+    return left, right, links

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arlark.llm.common import staged
-from arlark.llm.components import connected_components
+from arlark.llm.components import connected_components, merge_labels
 
 #: Least cosine of a link.
 COSINE = 0.95
@@ -134,25 +134,11 @@ class ChunkJoin:
         if len(i):
             hit[i, j] = np.einsum("ij,ij->i", self.units[i], units[j]) >= self.cosine
         hit &= self.ids[:, None] != ids[None, :]
-        rows, columns = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
-        if not len(rows):
+        if not hit.any():
             return
-        hit = hit[np.ix_(rows, columns)]
-        self.links[rows] += hit @ copies[columns]
-        # smallest label over the links of this block; every change of a label is an edge
-        far = np.iinfo(np.int64).max
-        home, other = self.label[rows], ids[columns]
-        while True:
-            new_other = np.minimum(other, np.where(hit, home[:, None], far).min(axis=0))
-            new_home = np.minimum(home, np.where(hit, new_other[None, :], far).min(axis=1))
-            if (new_other == other).all() and (new_home == home).all():
-                break
-            home, other = new_home, new_other
-        for old, new in ((self.label[rows], home), (ids[columns], other)):
-            changed = old != new
-            if changed.any():
-                self.edges.append(np.unique(np.stack([old[changed], new[changed]]), axis=1))
-        self.label[rows] = home
+        self.links += hit @ copies
+        self.label, _, edges = merge_labels(hit, self.label, ids)
+        self.edges.extend(edges)
 
 
 OUT = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
@@ -267,3 +253,22 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     links = F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long")
     return found.select(F.col("id").alias(id_col), links.alias("n_links"), component.alias("component_id"),
                         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+
+
+def oracle_sql() -> str:
+    """DuckDB text of the registered query: all pairs, then reachability."""
+    return f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+usable AS (SELECT * FROM vectors WHERE norm > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= {COSINE}),
+reach AS (
+  SELECT vec_id, vec_id AS node FROM embeddings
+  UNION SELECT r.vec_id, l.y FROM reach r JOIN links l ON l.x = r.node),
+least AS (SELECT vec_id, min(node) AS component_id FROM reach GROUP BY vec_id)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE x = e.vec_id)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least USING (vec_id)"""

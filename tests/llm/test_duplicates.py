@@ -62,6 +62,7 @@ def brute_components(rows):
 def test_minhash_components(spark, monkeypatch, block, per_copy):
     monkeypatch.setattr(minhash, "BLOCK", block)
     monkeypatch.setattr(minhash, "MEMBERS_PER_COPY", per_copy)
+    monkeypatch.setattr(minhash, "CHUNK", per_copy * 2)
     rows = list(enumerate(near_texts()))
     docs = spark.createDataFrame([(i, t, "k", 1) for i, t in rows] + [(None, rows[30][1], "k", 1), (20, rows[20][1], "k", 1)],
                                  "doc_id long, text string, kept string, a int").repartition(4)
