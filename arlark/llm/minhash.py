@@ -325,7 +325,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, and their own columns (rows of equal id stay or go together)."""
     dropped = near_duplicates(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("_dropped")).distinct()
-    return docs.join(dropped, docs[id_col] == F.col("_dropped"), "left_anti")
+    return docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
 
 
 def oracle_sql() -> str:

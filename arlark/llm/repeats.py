@@ -631,7 +631,10 @@ def _mark(batches, buckets: int, threshold: int, gram: int, schema: pa.Schema, c
 
 
 def _blocks(ids: DataFrame, total_bytes: int) -> Column:
-    """Block number of an id: equal-frequency id ranges (their borders are few), each cut by hash."""
+    """Block number of a document: equal-frequency id ranges (their borders are few), each cut by hash.
+
+    Documents without an id are dealt by their text; they need nothing from their block.
+    """
     wanted = max(1, math.ceil(total_bytes / BLOCK_BYTES))
     ranges = min(wanted, MOST_RANGES)
     cuts = math.ceil(wanted / ranges)
@@ -643,7 +646,8 @@ def _blocks(ids: DataFrame, total_bytes: int) -> Column:
     part = F.size(F.filter(table, lambda b: b <= F.col("doc"))) if borders else F.lit(0)
     if len(borders) > 64:
         part = _bisect(borders, 0, len(borders))
-    return (F.coalesce(part, F.lit(0)) * cuts + F.coalesce(F.pmod(F.xxhash64("doc"), F.lit(cuts)), F.lit(0))).cast("long")
+    numbered = part * cuts + F.pmod(F.xxhash64("doc"), F.lit(cuts))
+    return F.when(F.col("doc").isNotNull(), numbered).otherwise(F.pmod(F.xxhash64("text"), F.lit(ranges * cuts))).cast("long")
 
 
 def _bisect(borders: list[int], low: int, high: int) -> Column:
@@ -677,7 +681,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # whole copies: every byte of theirs is repeated, so they neither send nor ask
     firsts = narrow.where((F.col("size") >= threshold) & F.col("doc").isNotNull()).groupBy("digest").agg(
         F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = narrow.join(firsts, "digest").where("doc > first").select(block.alias("block"), "doc").distinct()
+    copies = narrow.join(firsts, "digest").where("doc > first").withColumn("text", F.lit("")).select(
+        block.alias("block"), "doc").distinct()
 
     anchors = source.where(F.col("doc").isNotNull()).select(block.alias("block"), "text").mapInArrow(
         lambda b: _send_anchors(b, buckets, threshold, gram), "bucket long, block long, hashes binary, several binary")
