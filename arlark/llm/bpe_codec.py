@@ -24,9 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arlark.llm.token_count import count_symbols
-from arlark.llm.vocabulary import (ByteVocabulary, PieceCache, broadcast_vocabulary, ordinary_parts, units)
-
-_codecs: dict[int, "BpeCodec"] = {}
+from arlark.llm.vocabulary import (ByteVocabulary, PieceCache, broadcast_vocabulary, ordinary_parts, trim, units,
+                                   worker_state)
 
 
 class BpeCodec:
@@ -115,29 +114,26 @@ class BpeCodec:
                 out.extend(map(self.by_word.__getitem__, words))
         return b"".join(out)
 
+    def rest(self) -> None:
+        """Lets go of what an idle worker need not hold."""
+        trim(self.by_piece, self.by_word, self.by_head, self.compatible_pairs)
+
     def decode(self, ids: bytes) -> str:
         """The text of ids; special tokens give their strings, ill-formed bytes U+FFFD."""
         return b"".join(map(self.token_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-def _codec(compressed: bytes) -> BpeCodec:
-    key = hash(compressed)
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = BpeCodec(compressed)
-    return _codecs[key]
-
-
 def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids) for every row: ``ids`` is binary, little-endian unsigned 32-bit; one narrow pass."""
     shared = broadcast_vocabulary(docs.sparkSession, vocabulary_path)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
-        codec = _codec(shared.value)
+        codec = worker_state("bpe codec", shared.value, BpeCodec)
         for batch in batches:
             ids = [codec.encode(t) if t else b"" for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.binary())], names=["id", "ids"])
+        codec.rest()
 
     id_type = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(run, f"id {id_type}, ids binary").withColumnRenamed("id", id_col)
@@ -149,7 +145,7 @@ def decode_documents(encoded: DataFrame, vocabulary_path: str, id_col: str = "do
     source = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
 
     def run(batches):
-        codec = _codec(shared.value)
+        codec = worker_state("bpe codec", shared.value, BpeCodec)
         for batch in batches:
             texts = [codec.decode(i) if i else "" for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string())], names=["id", "text"])
@@ -164,7 +160,7 @@ def round_trip(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", te
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
-        codec = _codec(shared.value)
+        codec = worker_state("bpe codec", shared.value, BpeCodec)
         for batch in batches:
             counts, digests, decoded = [], [], []
             for text in batch.column("text").to_pylist():
@@ -175,6 +171,7 @@ def round_trip(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", te
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        codec.rest()
 
     id_type = source.schema["id"].dataType.simpleString()
     out = source.mapInArrow(run, f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -10,6 +10,7 @@ written to shared storage, so lost executors do not replay earlier rounds.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 import numpy as np
@@ -19,6 +20,10 @@ from pyspark.sql import functions as F
 from arlark.llm.common import shared_uri
 
 
+#: Links of one file of a round's table.
+LINKS_PER_FILE = 50_000
+
+
 def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
     """The table on shared storage and its (rows, checksum)."""
     spark = links.sparkSession
@@ -43,7 +48,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(lower)
-        table, new_state = _written(small.distinct())
+        # a round never has more links than the one before
+        table, new_state = _written(small.distinct().coalesce(max(1, math.ceil(state[0] / LINKS_PER_FILE))))
         if new_state == state:
             break
         state = new_state

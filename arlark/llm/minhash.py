@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from arlark.llm.common import staged
 from arlark.llm.components import connected_components, merge_labels
-from arlark.llm.vocabulary import PieceCache
+from arlark.llm.vocabulary import PieceCache, trim, worker_state
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
@@ -50,7 +50,9 @@ _FACTORS = np.random.Generator(np.random.PCG64(20_011)).integers(1, 1 << 63, siz
 MULTIPLIERS, OFFSETS = (_FACTORS[0] << np.uint64(1) | np.uint64(1))[:, None], _FACTORS[1][:, None]
 _POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(SHINGLE)]
 
-_word_hash = PieceCache(xxhash.xxh64_intdigest, longest=48)
+
+def _word_hashes() -> PieceCache:
+    return PieceCache(xxhash.xxh64_intdigest, longest=48)
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -58,7 +60,8 @@ def shingle_set(text: str | None) -> np.ndarray:
     words = text.encode().lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_word_hash.__getitem__, words), np.uint64, len(words))
+    cache = worker_state("word hashes", None, _word_hashes)
+    hashes = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
     width = min(SHINGLE, len(words))
     n = len(hashes) - width + 1
     out = np.full(n, width, np.uint64)
@@ -94,6 +97,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                  pa.array(signatures, pa.binary())], names=["id", "n_shingles", "digest", "signature"])
+        trim(worker_state("word hashes", None, _word_hashes))
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return source.mapInArrow(run, "id long, n_shingles long, digest binary, signature binary")

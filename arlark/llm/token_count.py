@@ -20,9 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arlark.llm.common import byte_length
-from arlark.llm.vocabulary import (ByteVocabulary, PieceCache, broadcast_vocabulary, ordinary_parts, units)
-
-_counters: dict[int, "TokenCounter"] = {}
+from arlark.llm.vocabulary import (ByteVocabulary, PieceCache, broadcast_vocabulary, ordinary_parts, trim, units,
+                                   worker_state)
 
 
 def count_symbols(symbols: list[int], merge: dict[int, int]) -> int:
@@ -92,14 +91,6 @@ class TokenCounter:
         return total
 
 
-def _counter(compressed: bytes) -> TokenCounter:
-    key = hash(compressed)
-    if key not in _counters:
-        _counters.clear()
-        _counters[key] = TokenCounter(compressed)
-    return _counters[key]
-
-
 def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text",
                  limit: int = 1024) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) for every row of ``docs``; one narrow pass, no shuffle."""
@@ -108,11 +99,12 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
                          F.col(text_col).alias("text"))
 
     def run(batches):
-        counter = _counter(shared.value)
+        counter = worker_state("token counts", shared.value, TokenCounter)
         for batch in batches:
             counts = [counter.count(t) if t else 0 for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), pa.array(counts, pa.int64())],
                                              names=["id", "n_bytes", "n_tokens"])
+        trim(counter.by_piece, counter.by_word, counter.by_head)
 
     id_type = source.schema["id"].dataType.simpleString()
     out = source.mapInArrow(run, f"id {id_type}, n_bytes long, n_tokens long")

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arlark.llm.common import SharedFiles, shared_uri, staged
-from arlark.llm.vocabulary import PieceCache, broadcast_vocabulary, byte_alphabet
+from arlark.llm.vocabulary import PieceCache, broadcast_vocabulary, byte_alphabet, trim, worker_state
 
 #: Fixed values of the zstandard seekable format.
 SEEK_MAGIC, SEEK_FOOTER, CHECKSUM_BIT = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -52,8 +52,6 @@ INDEX_MAGIC = 0x184D2A50
 FRAME_BYTES = 1 << 18
 MISSING = np.iinfo(np.int64).min
 
-_encoders: dict[int, "LibraryEncoder"] = {}
-
 
 #: Words that are split here as the library would split them; any other word is left to it as a whole.
 PLAIN_WORD = re.compile("[!-~¡-ɏ]+")
@@ -113,14 +111,6 @@ class LibraryEncoder:
         return b"".join(map(self.by_word.__getitem__, text.encode().split()))
 
 
-def _encoder(compressed: bytes) -> LibraryEncoder:
-    key = hash(compressed)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = LibraryEncoder(compressed)
-    return _encoders[key]
-
-
 class TokenFileWriter:
     """Writes one file; ``add`` takes a document's ids as bytes of the file's id width."""
 
@@ -228,7 +218,7 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, path: str | None =
     ordered = ordered.select("id", "text", F.spark_partition_id().alias("part"))
 
     def run(batches):
-        encoder = _encoder(shared.value)
+        encoder = worker_state("library encoder", shared.value, LibraryEncoder)
         files, out, writer, name, part, docs_in = SharedFiles(path), None, None, None, None, 0
         end = np.array([end_id], encoder.kind).tobytes()
         for batch in batches:
@@ -240,13 +230,15 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, path: str | None =
                     writer = TokenFileWriter(out, encoder.kind.itemsize)
                 writer.add(doc_id, (encoder.encode(text) if text else b"") + end)
                 docs_in += 1
+        trim(encoder.by_word, encoder.by_piece)
         if writer is not None:
             writer.close()
             out.close()
             yield pa.RecordBatch.from_pylist([{"file": name, "part": part, "n_docs": docs_in, "n_tokens": writer.tokens}],
                                              schema=MANIFEST)
 
-    return staged(ordered.mapInArrow(run, "file string, part int, n_docs long, n_tokens long"),
+    # one row for each file: a manifest of many files would be mostly file heads
+    return staged(ordered.mapInArrow(run, "file string, part int, n_docs long, n_tokens long").repartition(1),
                   "token-manifest").withColumn("root", F.lit(path))
 
 

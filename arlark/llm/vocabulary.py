@@ -113,7 +113,7 @@ class PieceCache(dict):
     ``longest`` are not kept.
     """
 
-    def __init__(self, compute, limit: int = 300_000, longest: int = 64):
+    def __init__(self, compute, limit: int = 200_000, longest: int = 64):
         super().__init__()
         self.compute, self.limit, self.longest, self.old = compute, limit, longest, {}
 
@@ -130,6 +130,25 @@ class PieceCache(dict):
         return value
 
 
+#: What the operator that runs in this Python worker keeps between tasks; one operator's state at a time.
+_kept: dict[tuple, object] = {}
+
+
+def worker_state(kind: str, source: object, build):
+    """The state ``build(source)`` of this worker, built once; the state of any other operator is let go."""
+    key = (kind, source if source is None else hash(source))
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build(source) if source is not None else build()
+    return _kept[key]
+
+
+def trim(*caches: PieceCache) -> None:
+    """At a task's end: an idle worker keeps the young generations only."""
+    for cache in caches:
+        cache.old = {}
+
+
 def ordinary_parts(vocabulary: ByteVocabulary, text: str):
     """(is_special, part) runs of a text; special strings match as the library's default does."""
     if vocabulary.special_split is None or not vocabulary.special_split.search(text):

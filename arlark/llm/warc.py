@@ -263,7 +263,7 @@ def write_warc(pages: DataFrame, path: str | None = None, id_col: str = "page_id
             yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done]), pa.array([d[1] for d in done], pa.int64())],
                                              names=["file", "records"])
 
-    manifest = staged(marked.mapInArrow(run, "file string, records long"), "warc-manifest")
+    manifest = staged(marked.mapInArrow(run, "file string, records long").repartition(1), "warc-manifest")
     return manifest.withColumn("root", F.lit(path))
 
 
