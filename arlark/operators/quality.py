@@ -48,10 +48,24 @@ def bad_values(df: DataFrame, column: str, allowed: Sequence[str], fold) -> Data
         F.count(F.lit(1)).alias("rows"))
 
 
+def _named_bad_values(values: DataFrame, suite: str, column: str) -> DataFrame:
+    return values.select(F.lit(suite).alias("suite"), F.lit(column).alias("column"), "value", "rows")
+
+
+def invoice_bad_values(df: DataFrame) -> DataFrame:
+    """(suite, column, value, rows): every value that fails an invoice set check."""
+    return _named_bad_values(bad_values(df, "status", VALID_STATUSES, F.upper), "erp_invoices", "status")
+
+
+def payment_bad_values(df: DataFrame) -> DataFrame:
+    """(suite, column, value, rows): every value that fails a payment set check."""
+    return _named_bad_values(bad_values(df, "payment_method", VALID_PAYMENT_METHODS, F.lower), "payments", "payment_method")
+
+
 def validate_invoices(df: DataFrame) -> DataFrame:
     """Invoice code checks: id nulls, customer null rate, negative amounts, status set, currency form.
 
-    A set check's detail names one offending value; ``bad_values`` lists them all.
+    A set check's detail names one offending value; ``invoice_bad_values`` lists them all.
     """
     status = F.upper("status")
     bad_status = F.when(status.isNotNull() & ~status.isin(VALID_STATUSES), status)
@@ -78,7 +92,10 @@ def validate_invoices(df: DataFrame) -> DataFrame:
 
 
 def validate_payments(df: DataFrame) -> DataFrame:
-    """Payment code checks: id nulls, positive amount, $10M ceiling, method set."""
+    """Payment code checks: id nulls, positive amount, $10M ceiling, method set.
+
+    A set check's detail names one offending value; ``payment_bad_values`` lists them all.
+    """
     method = F.lower("payment_method")
     bad_method = F.when(method.isNotNull() & ~method.isin(VALID_PAYMENT_METHODS), method)
     row = df.agg(

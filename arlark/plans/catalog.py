@@ -463,6 +463,18 @@ def quality_payments(spark, sf_dir):
     return r6(quality.validate_payments(src.raw_payments(spark, sf_dir)), "observed")
 
 
+@query
+def quality_invoices_bad_values(spark, sf_dir):
+    """Every status outside the set, with its rows."""
+    return quality.invoice_bad_values(src.raw_invoices(spark, sf_dir))
+
+
+@query
+def quality_payments_bad_values(spark, sf_dir):
+    """Every payment method outside the set, with its rows."""
+    return quality.payment_bad_values(src.raw_payments(spark, sf_dir))
+
+
 @query
 def quality_summary(spark, sf_dir):
     """Success and failed checks of each code suite."""
@@ -571,7 +583,12 @@ def publish_gate(spark, sf_dir):
                                       freshness=GATE_FRESHNESS)
     rows = [(result["stage"], str(result["published"]).lower(), f"{k}:{item}") for k, items in result.items()
             if isinstance(items, list) for item in items] or [(result["stage"], str(result["published"]).lower(), None)]
-    return spark.createDataFrame(rows, "stage string, published string, failed string")
+    found = spark.createDataFrame(rows, "stage string, published string, failed string")
+    if "bad_values" not in result:
+        return found
+    return found.unionByName(spark.read.parquet(result["bad_values"]).select(
+        F.lit(result["stage"]).alias("stage"), F.lit(str(result["published"]).lower()).alias("published"),
+        F.concat(F.lit("bad_values:"), F.concat_ws(".", "suite", "column", "value")).alias("failed")))
 
 
 # --------------------------------------------------------------------------- sinks

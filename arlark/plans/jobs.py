@@ -28,8 +28,8 @@ from arlark.operators.normalize import (
     normalize_erp, normalize_payments, normalize_product_events, split_quarantine, with_invoice_derivations,
 )
 from arlark.operators.quality import (
-    FRESHNESS_HOURS, currency_report, run_expectation_suite, run_warehouse_tests, source_freshness, validate_invoices,
-    validate_payments, volume_anomalies,
+    FRESHNESS_HOURS, currency_report, invoice_bad_values, payment_bad_values, run_expectation_suite, run_warehouse_tests,
+    source_freshness, validate_invoices, validate_payments, volume_anomalies,
 )
 from arlark.operators.staging import stg_erp_invoices, stg_payments, stg_product_events
 from arlark.plans.sinks import append_lineage, publish, write_table
@@ -205,7 +205,8 @@ def run_warehouse_build(spark: SparkSession, raw_dir: str, out_dir: str, as_of=N
     """Freshness -> build -> tests and quality -> publish; a failed gate stops before publishing.
 
     Returns the gate results; marts are published under ``out_dir/published``
-    (see ``sinks.read_published``) only when every gate passed.  ``check_volume=False`` is
+    (see ``sinks.read_published``) only when every gate passed.  A build that the checks stop stores
+    every value outside its set as (suite, column, value, rows); ``bad_values`` is that table's path.  ``check_volume=False`` is
     for sources without enough history for the three-sigma rule.
     """
     prepare(spark)
@@ -223,7 +224,9 @@ def run_warehouse_build(spark: SparkSession, raw_dir: str, out_dir: str, as_of=N
         stg_product_events(raw["product_events"]), as_of, build)
     findings = gate_findings(raw, models, iso_codes, check_volume)
     if any(findings.values()):
-        return {"published": False, "stage": "checks", **findings}
+        bad = os.path.join(out_dir, "bad_values", run_id)
+        write_table(invoice_bad_values(raw["erp_invoices"]).unionByName(payment_bad_values(raw["payment_events"])), bad)
+        return {"published": False, "stage": "checks", **findings, "bad_values": bad}
     publish(spark, build, os.path.join(out_dir, "published"), run_id, MODELS)
     return {"published": True, "stage": "publish", "run_id": run_id}
 
@@ -235,14 +238,23 @@ def run_local_checkpoint(spark: SparkSession, erp_csv: str | None = None,
     Amount columns are read as decimals (a malformed number is NULL, so it is
     neither negative nor positive); everything else as text.
     """
+    return _over_csv(spark, (erp_csv, validate_invoices), (payments_csv, validate_payments))
+
+
+def local_bad_values(spark: SparkSession, erp_csv: str | None = None,
+                     payments_csv: str | None = None) -> DataFrame | None:
+    """(suite, column, value, rows) of every value outside its set, over the files of ``run_local_checkpoint``."""
+    return _over_csv(spark, (erp_csv, invoice_bad_values), (payments_csv, payment_bad_values))
+
+
+def _over_csv(spark: SparkSession, *checks) -> DataFrame | None:
+    """Union of ``check(rows)`` over the files that are given."""
     prepare(spark)
     parts = []
-    if erp_csv:
-        inv = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(erp_csv)
-        parts.append(validate_invoices(inv.withColumn("amount_usd", F.col("amount_usd").try_cast("decimal(18,2)"))))
-    if payments_csv:
-        pay = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(payments_csv)
-        parts.append(validate_payments(pay.withColumn("amount_usd", F.col("amount_usd").try_cast("decimal(18,2)"))))
+    for path, check in checks:
+        if path:
+            rows = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path)
+            parts.append(check(rows.withColumn("amount_usd", F.col("amount_usd").try_cast("decimal(18,2)"))))
     if not parts:
         return None
     out = parts[0]

@@ -206,6 +206,29 @@ def test_bad_values_are_grouped_rows(spark):
     assert {(r.value, r.rows) for r in bad_values(df, "status", ["OPEN"], F.upper).collect()} == {("VOID", 2), ("GONE", 1)}
 
 
+def test_every_bad_value_is_reported(spark, run, tmp_path):
+    from arlark.plans.jobs import _raw_tables, local_bad_values, run_warehouse_build
+    from arlark.plans.sinks import write_table
+
+    inv, pay = tmp_path / "inv.csv", tmp_path / "pay.csv"
+    inv.write_text("invoice_id,customer_id,amount_usd,status,currency\nA,C,1,OPEN,USD\nB,C,1,void,USD\nD,C,1,Gone,USD\nE,C,1,VOID,USD\n")
+    pay.write_text("payment_id,amount_usd,payment_method\nA,1,ach\nB,1,Cash\nC,1,card\n")
+    assert {tuple(r) for r in local_bad_values(spark, str(inv), str(pay)).collect()} == {
+        ("erp_invoices", "status", "VOID", 2), ("erp_invoices", "status", "GONE", 1),
+        ("payments", "payment_method", "cash", 1), ("payments", "payment_method", "card", 1)}
+
+    raw = str(tmp_path / "raw")
+    tables = _raw_tables(spark, run[0])
+    first = tables["erp_invoices"].agg(F.min("invoice_id")).first()[0]
+    status = F.when(F.col("invoice_id") == first, "VOID").otherwise("GONE")
+    for name, df in {**tables, "erp_invoices": tables["erp_invoices"].withColumn("status", status)}.items():
+        write_table(df, table_path(raw, f"raw.{name}"))
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    done = run_warehouse_build(spark, raw, str(tmp_path / "out"), as_of=AS_OF, now=now, check_volume=False)
+    assert "erp_invoices.status_in_set" in done["failed_checks"]
+    assert {r.value for r in spark.read.parquet(done["bad_values"]).where("suite = 'erp_invoices'").collect()} == {"VOID", "GONE"}
+
+
 def test_erp_csv_headers_quotes_and_paths(spark, tmp_path):
     from arlark.operators.normalize import normalize_erp
     from arlark.sources.files import read_erp_csv
