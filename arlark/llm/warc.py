@@ -10,7 +10,8 @@ Reading: a record must pass its checks -- member CRC and length, version line,
 headers, block length, closing line breaks, payload digest.  After a failed check the
 reader searches for the next gzip member that opens with a version line (plain
 files: the next version line), resumes there, and logs the bytes between as a quarantined
-gap with the reason.  Memory holds one record, not one file.
+gap with the reason.  Memory holds one record, not one file.  No size makes a record damaged: headers end
+where their empty line stands, and a member is unpacked as far as its own Content-Length goes.
 
 Rows: null and empty payloads have 0 bytes and are equal payloads; a null url is
 left out of the record; a null page id is written as missing; equal page ids
@@ -32,9 +33,6 @@ from arlark.llm.common import SharedFiles, shared_uri, staged
 
 #: A new file is begun when one has this many bytes.
 ARCHIVE_BYTES = 64 << 20
-#: Limits beyond which a record counts as damaged.
-MOST_HEADER_BYTES = 1 << 16
-MOST_RECORD_BYTES = 1 << 30
 STEP = 1 << 16
 
 VERSION = b"WARC/1."
@@ -110,7 +108,7 @@ class SalvageReader:
 
     def _member(self, start: int, enough: int | None = None) -> tuple[bytes, int]:
         """Decompressed bytes and end of the member at ``start`` (its first ``enough`` bytes only, if given)."""
-        unpack, out, got, at = zlib.decompressobj(31), [], 0, start
+        unpack, out, at, most = zlib.decompressobj(31), bytearray(), start, None
         try:
             while not unpack.eof:
                 part = unpack.unconsumed_tail or self._at(at, STEP)
@@ -118,16 +116,17 @@ class SalvageReader:
                     raise Damaged("member cut short")
                 if part is not unpack.unconsumed_tail and not unpack.unconsumed_tail:
                     at += len(part)
-                data = unpack.decompress(part, STEP)
-                out.append(data)
-                got += len(data)
-                if enough is not None and got >= enough:
+                seen = max(0, len(out) - 3)
+                out += unpack.decompress(part, STEP)
+                if enough is not None and len(out) >= enough:
                     break
-                if got > MOST_RECORD_BYTES:
-                    raise Damaged("record too large")
+                if most is None and not unpack.eof and (border := out.find(b"\r\n\r\n", seen)) >= 0:
+                    most = border + 8 + int(self._headers(bytes(out[:border]))["content-length"])
+                if most is not None and len(out) > most:
+                    raise Damaged("block length is wrong")
         except zlib.error as e:
             raise Damaged("member fails its checks") from e
-        return b"".join(out), at - len(unpack.unused_data)
+        return bytes(out), at - len(unpack.unused_data)
 
     @staticmethod
     def _headers(head: bytes) -> dict[str, str]:
@@ -149,7 +148,7 @@ class SalvageReader:
 
     def _record(self, data: bytes) -> dict:
         """Fields of a whole record, checked."""
-        border = data.find(b"\r\n\r\n", 0, MOST_HEADER_BYTES)
+        border = data.find(b"\r\n\r\n")
         if border < 0:
             raise Damaged("no end of headers")
         headers = self._headers(data[:border])
@@ -176,17 +175,30 @@ class SalvageReader:
         name = urn.strip("<>").rpartition(":")[2]
         return int(name) if name.removeprefix("-").isdigit() else None
 
+    def _plain_head(self, start: int) -> bytes:
+        """The header lines of the uncompressed record at ``start``, read on until they end or cannot be headers."""
+        head, line = bytearray(), 0
+        while True:
+            part = self._at(start + len(head), STEP)
+            if not part:
+                raise Damaged("no end of headers")
+            seen = max(0, len(head) - 3)
+            head += part
+            if not head.startswith(VERSION):
+                raise Damaged("no version line")
+            border = head.find(b"\r\n\r\n", seen)
+            if border >= 0:
+                return bytes(head[:border])
+            last = head.rfind(b"\r\n", seen)
+            if last >= line:
+                if any(b":" not in h for h in head[line:last].split(b"\r\n")[0 if line else 1:]):
+                    raise Damaged("header without a colon")
+                line = last + 2
+
     def _plain(self, start: int) -> tuple[bytes, int]:
         """Bytes and end of the uncompressed record at ``start``."""
-        head = self._at(start, MOST_HEADER_BYTES)
-        border = head.find(b"\r\n\r\n")
-        if not head.startswith(VERSION):
-            raise Damaged("no version line")
-        if border < 0:
-            raise Damaged("no end of headers")
-        stop = start + border + 4 + int(self._headers(head[:border])["content-length"]) + 4
-        if stop - start > MOST_RECORD_BYTES:
-            raise Damaged("record too large")
+        head = self._plain_head(start)
+        stop = start + len(head) + 4 + int(self._headers(head)["content-length"]) + 4
         if stop > self.size:
             raise Damaged("record cut short")
         return self._at(start, stop - start), stop
@@ -284,7 +296,7 @@ def read_warc(files: DataFrame, with_payload: bool = True) -> DataFrame:
                             row |= found
                             if not with_payload:
                                 row["payload"] = None
-                            held += len(row["payload"] or b"")
+                            held += len(row["payload"] or b"") + len(row["url"] or "")
                         rows.append(row)
                         if len(rows) >= 5000 or held > 8 << 20:
                             yield pa.RecordBatch.from_pylist(rows, schema=ROW)

@@ -78,6 +78,32 @@ def test_records_longer_than_a_read_step():
         assert [g[3]["payload"] == payload for g in read(data)] == [True] * 3
 
 
+def test_headers_of_any_length_are_read():
+    # blanks become %20; the lengths move the end of the headers over the borders of a read step
+    for url in ["u" * 100_000, " " * 100_000, *("u" * (warc.STEP - k) for k in range(150, 350, 7))]:
+        raw = [warc.make_record(i, url, b"body", warc.base32_sha1(b"body"), None) for i in range(2)]
+        for parts in (raw, [warc.gzip_member(r) for r in raw]):
+            got = read(b"".join(parts))
+            assert [(g[0], g[3]["page_id"], g[3]["url"]) for g in got] == [("record", i, url.replace(" ", "%20")) for i in range(2)]
+    # a record without an end of headers does not take the next one with it
+    cut = b"WARC/1.1\r\nWARC-Target-URI: " + b"u" * 200_000 + b"\r\n"
+    assert [g[0] for g in read(cut + raw[0])] == ["gap", "record"]
+
+
+def test_a_member_longer_than_its_content_length_is_a_gap():
+    good = warc.make_record(1, None, b"body", warc.base32_sha1(b"body"), None)
+    got = read(warc.gzip_member(good + b"0" * 10_000_000) + warc.gzip_member(good))
+    assert [g[0] for g in got] == ["gap", "record"] and got[0][3] == "block length is wrong"
+
+
+def test_a_page_with_a_long_url_keeps_its_row(spark):
+    pages = spark.createDataFrame([(1, "u" * 100_000, "a"), (2, "v", "a"), (3, " " * 30_000, "b")], "page_id long, url string, html string")
+    for gzipped in (True, False):
+        read = warc.read_warc(warc.write_warc(pages, gzipped=gzipped))
+        assert sorted((r.page_id, len(r.url)) for r in warc.page_records(read).collect()) == [(1, 100_000), (2, 1), (3, 90_000)]
+        assert warc.quarantined(read).count() == 0
+
+
 def test_spark_round_trip(spark):
     rows = [(3, "u3", "same"), (1, None, "same"), (2, "u2", None), (5, "u5", ""), (9, "u9", "é 中\x00"), (None, "un", "alone"),
             (7, "u7", "x" * 200_000), (8, "u8", "same"), (8, "u8", "same")]
