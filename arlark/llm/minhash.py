@@ -17,7 +17,8 @@
    one link for each two components it joins.
 
 Rows: null or empty texts and texts without words have the empty set (0
-shingles) and link with nothing; rows with equal ids are one node; a null id
+shingles) and link with nothing; rows with equal ids are one node,
+which all their sets link to; a null id
 links with nothing and is kept; columns other than id and text are not read.
 """
 
@@ -306,7 +307,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     star = staged(_pass_signatures(buckets.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct(), signatures),
                   "star-pairs")
-    links = staged(confirm(star, docs, id_col, text_col), "links-1")
+    # an id with several rows is one node: it links to the representative of each of its sets
+    several = members.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+    own = members.where("rep != id").select("id", "rep").distinct().join(several, "id").select(
+        F.col("id").alias("a"), F.col("rep").alias("b"))
+    links = staged(confirm(star, docs, id_col, text_col).select("a", "b").union(own), "links-1")
     labels = connected_components(links)
 
     labelled = staged(buckets.where("n > 2").join(labels, F.col("id") == F.col("node"), "left").select(
@@ -320,7 +325,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not more.isEmpty():
             labels = connected_components(links.union(more))
 
-    found = members.join(labels, F.col("rep") == F.col("node"), "left")
+    found = members.join(labels, F.coalesce("rep", "id") == F.col("node"), "left")
     component = F.coalesce("component", "rep", "id")
     return found.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
                         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

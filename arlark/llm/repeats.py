@@ -23,7 +23,7 @@ found in more than ``HOT_SOURCES`` blocks send single windows, dealt by their ow
 so a passage that a third of all documents share is spread over all tasks.
 
 Rows: a null text is empty; texts shorter than the threshold lose nothing; rows with equal ids do
-not remove each other; a null id neither removes nor loses anything; other columns may be carried along.
+not remove each other, and each is a whole copy or not by its own text; a null id neither removes nor loses anything; other columns may be carried along.
 """
 
 from __future__ import annotations
@@ -346,9 +346,14 @@ def _pack_runs(bucket: int, block: int, found: dict[bytes, tuple[int, int]]) ->
             np.array([found[s][0] for s in strings], "<u2").tobytes(), np.array([found[s][1] for s in strings], "<i8").tobytes())
 
 
+def _is_copy(copies: dict[int, set[bytes]], doc: int | None, data: bytes) -> bool:
+    """Whether this text of the document is a whole copy: an id may have other texts too."""
+    return doc in copies and hashlib.sha256(data).digest() in copies[doc]
+
+
 def _send_runs(batches, buckets: int, threshold: int, gram: int):
     """Distinct shared runs of each block with their smallest id, packed by bucket."""
-    block, text, buffers, copies, ids, found = None, None, None, set(), [], {}
+    block, text, buffers, copies, ids, found = None, None, None, {}, [], {}
 
     def note(buffer):
         for owner, _, windows, anchor, bucket, hot, string in text.shared_runs(buffer):
@@ -377,16 +382,17 @@ def _send_runs(batches, buckets: int, threshold: int, gram: int):
             if b != block:
                 if block is not None:
                     yield from finish()
-                block, text, buffers, copies, ids, found = b, BlockText(buckets, threshold, gram), Buffers(threshold), set(), [], {}
+                block, text, buffers, copies, ids, found = b, BlockText(buckets, threshold, gram), Buffers(threshold), {}, [], {}
             if kind == 0:
                 text.reply(bucket, payload, more)
             elif kind == 1:
-                copies.add(doc)
+                copies.setdefault(doc, set()).add(more)
             else:
                 for doc, body, _ in _unpack_documents(payload)[0]:
-                    if doc is not None and doc not in copies:
+                    data = body.encode()
+                    if doc is not None and not _is_copy(copies, doc, data):
                         ids.append(doc)
-                        for buffer in buffers.add(len(ids) - 1, body.encode()):
+                        for buffer in buffers.add(len(ids) - 1, data):
                             note(buffer)
     if block is not None:
         yield from finish()
@@ -577,7 +583,7 @@ def _kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def _mark(batches, buckets: int, threshold: int, gram: int, schema: pa.Schema, carry: bool, with_text: bool):
     """Final rows of every document of the blocks."""
-    block, text, marks, buffers, copies, docs = None, None, None, None, set(), []
+    block, text, marks, buffers, copies, docs = None, None, None, None, {}, []
 
     def note(buffer):
         for owner, start, windows, _, _, hot, string in text.shared_runs(buffer):
@@ -602,13 +608,13 @@ def _mark(batches, buckets: int, threshold: int, gram: int, schema: pa.Schema, c
                 if block is not None:
                     yield results()
                 block, text, marks = b, BlockText(buckets, threshold, gram), Marks()
-                buffers, copies, held = Buffers(threshold), set(), 0
+                buffers, copies, held = Buffers(threshold), {}, 0
             if kind == 0 and bucket is not None:
                 text.reply(bucket, payload, more)
             elif kind == 0:
                 marks.reply(payload, more)
             elif kind == 1:
-                copies.add(doc)
+                copies.setdefault(doc, set()).add(more)
             else:
                 rows, packed = _unpack_documents(payload)
                 if carry and len(schema) == fields:
@@ -618,7 +624,7 @@ def _mark(batches, buckets: int, threshold: int, gram: int, schema: pa.Schema, c
                     spans: list = []
                     docs.append((doc, data, spans, row))
                     held += len(data)
-                    if doc in copies:
+                    if _is_copy(copies, doc, data):
                         spans.append((0, len(data)))
                     elif doc is not None:
                         for buffer in buffers.add(len(docs) - 1, data):
@@ -682,7 +688,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     firsts = narrow.where((F.col("size") >= threshold) & F.col("doc").isNotNull()).groupBy("digest").agg(
         F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     copies = narrow.join(firsts, "digest").where("doc > first").withColumn("text", F.lit("")).select(
-        block.alias("block"), "doc").distinct()
+        block.alias("block"), "doc", "digest").distinct()
 
     anchors = source.where(F.col("doc").isNotNull()).select(block.alias("block"), "text").mapInArrow(
         lambda b: _send_anchors(b, buckets, threshold, gram), "bucket long, block long, hashes binary, several binary")
@@ -701,7 +707,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return out.select(*STREAM).repartition(width, "block").sortWithinPartitions("block", "kind")
 
     replies = shared.select("block", F.lit(0).alias("kind"), "bucket", F.col("hashes").alias("payload"), F.col("hot").alias("more"))
-    twins = copies.select("block", F.lit(1).alias("kind"), "doc")
+    twins = copies.select("block", F.lit(1).alias("kind"), "doc", F.col("digest").alias("more"))
     sent = stream(replies, twins).mapInArrow(
         lambda b: _send_runs(b, buckets, threshold, gram),
         "bucket long, block long, strings binary, sizes binary, anchors binary, ids binary")

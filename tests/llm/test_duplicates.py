@@ -76,6 +76,21 @@ def test_minhash_components(spark, monkeypatch, block, per_copy):
         assert (r.component_id, r.n_shingles, r.kept) == (component[r.doc_id], sizes[r.doc_id], component[r.doc_id] == r.doc_id)
 
 
+def test_minhash_texts_of_one_id_are_one_node(spark):
+    rng = random.Random(4)
+    text = lambda: " ".join(rng.choice("abcdefghijklmnop") * 3 for _ in range(60))
+    one, two, three, four = (text() for _ in range(4))
+    # 5 holds copies of two smaller ids' texts; 6 and 7 share one; 8 and 9 hold an empty text, or two of their own
+    rows = [(1, one), (2, two), (5, one), (5, two), (6, three), (7, three), (7, four), (8, four), (8, ""), (9, text()), (9, text()),
+            (10, None), (10, ""), (5, text()), (None, one), (None, two)]
+    component, _ = brute_components([r for r in rows if r[0] is not None])
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert len(got) == len(rows) and component[5] == component[2] == 1 and component[8] == 6
+    for r in got:
+        want = None if r.doc_id is None else component[r.doc_id]
+        assert (r.component_id, r.kept) == (want, r.doc_id in (None, want)), r
+
+
 def test_minhash_empty_and_unlinked(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.near_duplicates(empty).count() == 0
@@ -172,6 +187,17 @@ def test_repeated_passages(spark, monkeypatch, hot, block, buffer):
     assert got == sorted(map(str, brute_repeats(rows, 50)))
 
 
+def test_repeated_ids_with_whole_copies(spark):
+    rng = random.Random(8)
+    text = lambda: "".join(rng.choice("abcdefgh") for _ in range(200))
+    copied, other, third = text(), text(), text()
+    # 5 copies the text of 1 and has one of its own, which 7 copies and 8 quotes
+    rows = [(1, copied), (5, copied), (5, other), (7, other), (8, third[:80] + other[20:150] + third[80:]), (9, copied), (9, third), (9, other)]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_repeats(rows, 50)))
+    assert {(r.doc_id, r.n_bytes, r.n_removed) for r in got if r.doc_id == 5} == {(5, 200, 200), (5, 200, 0)}
+
+
 def test_repeats_text_spans_and_columns(spark):
     rows = repeat_rows()
     docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, n_bytes int, row string")
