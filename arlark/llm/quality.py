@@ -7,7 +7,8 @@ rule rejects.  Ratios are compared as integers (bound * denominator in
 thousandths), so results do not depend on rounding.
 
 Words are ``[^\\x20\\x09-\\x0D]+``.  Rows: null and empty texts have no words and
-fail the base rule; repeated rows are judged each; any other columns of the
+fail the base rule; a rule with languages judges rows of those languages only (all
+rows where there is no language column); repeated rows are judged each; any other columns of the
 input pass through ``apply_rules`` unread.
 """
 
@@ -24,6 +25,8 @@ from arlark.llm.common import SPACE_CLASS
 SYMBOLS = "#*$%&|<>"
 SPACES = "".join(map(chr, (0x20, *range(0x09, 0x0E))))
 
+#: Languages of ``STOP_WORDS``: primary tags, as in ``en`` or ``en-US``.
+STOP_WORD_LANGS = ("en", "fr", "es", "de")
 #: Frequent function words of English, French, Spanish and German.
 STOP_WORDS = [
     "the", "of", "and", "to", "in", "a", "is", "that", "for", "it", "was", "with", "as", "on", "be", "at", "by", "this",
@@ -35,7 +38,10 @@ STOP_WORDS = [
 
 @dataclass(frozen=True)
 class Rule:
-    """``least <= 1000 * top / bottom <= most``, judged only where ``bottom`` is at least ``from_bottom``."""
+    """``least <= 1000 * top / bottom <= most``, judged only where ``bottom`` is at least ``from_bottom``.
+
+    With ``langs``, judged only in rows of these languages; a null language is none of them.
+    """
 
     name: str
     top: str
@@ -43,13 +49,14 @@ class Rule:
     least: int | None = None
     most: int | None = None
     from_bottom: int = 1
+    langs: tuple[str, ...] = ()
 
 
 #: The threshold table (thousandths).
 RULES = [
     Rule("word_length", "word_chars", "n_words", least=2_000, most=20_000),
     Rule("symbols", "n_symbols", "word_chars", most=100),
-    Rule("stop_words", "n_stop_words", "n_words", least=10, from_bottom=50),
+    Rule("stop_words", "n_stop_words", "n_words", least=10, from_bottom=50, langs=STOP_WORD_LANGS),
     Rule("repeated_lines", "n_dup_lines", "n_lines", most=300, from_bottom=4),
     Rule("short_lines", "n_short_lines", "n_lines", most=900, from_bottom=10),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", most=900, from_bottom=10),
@@ -139,40 +146,48 @@ def measures(text: Column) -> Column:
         m["l"]["n_short_lines"].alias("n_short_lines"), m["l"]["n_bullet_lines"].alias("n_bullet_lines"))))
 
 
-def rule_breaks(rule: Rule, measure) -> Column:
-    """Whether the ratio leaves its bounds (integers only)."""
+def rule_breaks(rule: Rule, measure, lang: Column | None = None) -> Column:
+    """Whether the ratio leaves its bounds (integers only) in a row that the rule judges."""
     top, bottom = measure(rule.top) * 1000, measure(rule.bottom)
     broken = F.lit(False)
     if rule.least is not None:
         broken = broken | (top < bottom * rule.least)
     if rule.most is not None:
         broken = broken | (top > bottom * rule.most)
-    return (bottom >= rule.from_bottom) & broken
+    judged = bottom >= rule.from_bottom
+    if rule.langs and lang is not None:
+        tag = F.lower(F.regexp_extract(lang, "^[A-Za-z]+", 0))
+        judged = judged & F.coalesce(tag.isin(*rule.langs), F.lit(False))
+    return judged & broken
 
 
-def assess(docs: DataFrame, text_col: str = "text", rules: list[Rule] = RULES, keep: list[str] | None = None) -> DataFrame:
+def assess(docs: DataFrame, text_col: str = "text", rules: list[Rule] = RULES, keep: list[str] | None = None,
+           lang_col: str = "lang") -> DataFrame:
     """``keep`` columns (all by default), the measures, ``base_failed``, ``broken`` (names of broken rules) and ``kept``.
 
     Columns of ``docs`` with the same names as the results are replaced.
     """
     produced = {*MEASURES, "base_failed", "broken", "kept"}
     carried = [c for c in (docs.columns if keep is None else keep) if c not in produced]
-    measured = docs.select(*carried, measures(F.col(text_col)).alias("_m"))
+    known = lang_col in docs.columns
+    measured = docs.select(*carried, measures(F.col(text_col)).alias("_m"), *([F.col(lang_col).alias("_judged_lang")] if known else []))
+    lang = F.col("_judged_lang") if known else None
     get = lambda name: F.col("_m")[name]
     base = (get("n_words") < LEAST_WORDS) | (get("n_repeat_words") * 100 > get("n_words") * MOST_REPEATED_PERCENT)
-    broken = F.array_compact(F.array(*[F.when(rule_breaks(r, get), F.lit(r.name)) for r in rules]))
+    broken = F.array_compact(F.array(*[F.when(rule_breaks(r, get, lang), F.lit(r.name)) for r in rules]))
     any_broken = F.lit(False)
     for r in rules:
-        any_broken = any_broken | rule_breaks(r, get)
+        any_broken = any_broken | rule_breaks(r, get, lang)
     return measured.select(*carried, *[get(m).alias(m) for m in MEASURES], base.alias("base_failed"),
                            broken.alias("broken"), (~base & ~any_broken).alias("kept"))
 
 
-def apply_rules(docs: DataFrame, text_col: str = "text", rules: list[Rule] = RULES) -> DataFrame:
+def apply_rules(docs: DataFrame, text_col: str = "text", rules: list[Rule] = RULES, lang_col: str = "lang") -> DataFrame:
     """The documents that pass, with their own columns."""
     columns = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col(text_col).alias("_text"))
-    judged = assess(packed, "_text", rules, keep=["_row"])
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col(text_col).alias("_text"),
+                         *([F.col(lang_col).alias("_lang")] if lang_col in columns else []))
+    judged = assess(packed, "_text", rules, keep=["_row"], lang_col="_lang")
     return judged.where("kept").select("_row.*")
 
 

@@ -53,6 +53,16 @@ def test_quality_measures_and_verdict(spark, docs):
     assert oracle == sorted((r.doc_id, r.kept, r.n_repeat_words) for r in got if r.doc_id not in (None, 20))
 
 
+def test_stop_words_judge_only_languages_of_their_list(spark):
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choice("aeioklmnpst") for _ in range(7)) for _ in range(80))
+    rows = [(i, text, lang) for i, lang in enumerate(["pl", "fi", "ru-RU", None, "en", "de-AT", "FR"])]
+    langs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id: r.broken for r in quality.assess(langs).collect()} == {i: ["stop_words"] if i > 3 else [] for i in range(7)}
+    assert sorted(r.doc_id for r in quality.apply_rules(langs).collect()) == [0, 1, 2, 3]
+    assert quality.assess(langs.drop("lang")).where("kept").count() == 0
+
+
 def test_quality_filter_keeps_columns_and_uses_no_python(spark, docs):
     kept = quality.apply_rules(docs)
     assert kept.columns == docs.columns
