@@ -29,7 +29,7 @@ from arlark.operators.normalize import (
 )
 from arlark.operators.staging import stg_erp_invoices, stg_payments, stg_product_events
 from arlark.plans import jobs, sinks
-from arlark.schemas import EVENT_PAYLOAD_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, STRIPE_PAYLOAD_SCHEMA, VALID_SOURCES
+from arlark.schemas import EVENT_PAYLOAD_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, FRESHNESS_HOURS, STRIPE_PAYLOAD_SCHEMA, VALID_SOURCES
 from arlark.session import prepare, unique_dir
 from arlark.sources import driver_tables as src
 from arlark.sources.files import read_erp_csv
@@ -576,11 +576,21 @@ def erp_csv_quoted_names(spark, sf_dir):
 @query
 def publish_gate(spark, sf_dir):
     """The gated build over the raw tables, as (stage, item) rows: what stopped it."""
+    return _gate_rows(spark, sf_dir, GATE_FRESHNESS)
+
+
+@query
+def publish_gate_stale(spark, sf_dir):
+    """The gated build with the real limits, which the driver tables' old loads do not keep."""
+    return _gate_rows(spark, sf_dir, FRESHNESS_HOURS)
+
+
+def _gate_rows(spark, sf_dir, freshness) -> DataFrame:
     out = unique_dir(spark, "gated-build")
     inv, pay, ev = local_inputs(spark, sf_dir)
     jobs.load_raw_records(spark, inv, pay, ev, out, as_of=AS_OF)
-    result = jobs.run_warehouse_build(spark, out, os.path.join(out, "warehouse"), AS_OF, now="2024-01-31 01:00:00",
-                                      freshness=GATE_FRESHNESS)
+    result = jobs.run_warehouse_build(spark, out, os.path.join(out, "warehouse"), AS_OF, now=FRESHNESS_NOW,
+                                      freshness=freshness)
     rows = [(result["stage"], str(result["published"]).lower(), f"{k}:{item}") for k, items in result.items()
             if isinstance(items, list) for item in items] or [(result["stage"], str(result["published"]).lower(), None)]
     found = spark.createDataFrame(rows, "stage string, published string, failed string")

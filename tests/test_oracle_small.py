@@ -40,3 +40,9 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "ar_risk_band" in df.columns
+
+
+def test_gate_with_real_limits_names_stale_sources(spark):
+    rows = entry.queries()["publish_gate_stale"](spark, SF).collect()
+    assert {(r.stage, r.published) for r in rows} == {("freshness", "false")}
+    assert "stale:erp_invoices" in {r.failed for r in rows}
