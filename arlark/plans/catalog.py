@@ -407,6 +407,13 @@ def payment_quarantine(spark, sf_dir):
     return out.select("payment_id", "processor", F.array_join("_errors", "; ").alias("errors"))
 
 
+@query
+def payment_quarantine_bank(spark, sf_dir):
+    """Rejected payments of the fourth processor, next to those of ``payment_quarantine``."""
+    rejected = split_quarantine(payments_normalized(spark, sf_dir, "bank"))[1]
+    return rejected.select("payment_id", "processor", F.array_join("_errors", "; ").alias("errors"))
+
+
 def events_normalized(spark, sf_dir) -> DataFrame:
     return normalize_product_events(parse_json_payloads(src.event_payloads(spark, sf_dir), EVENT_PAYLOAD_SCHEMA))
 

@@ -46,3 +46,8 @@ def test_gate_with_real_limits_names_stale_sources(spark):
     rows = entry.queries()["publish_gate_stale"](spark, SF).collect()
     assert {(r.stage, r.published) for r in rows} == {("freshness", "false")}
     assert "stale:erp_invoices" in {r.failed for r in rows}
+
+
+def test_rejected_bank_payments_are_in_a_registered_query(spark):
+    rows = entry.queries()["payment_quarantine_bank"](spark, SF).collect()
+    assert rows and {r.processor for r in rows} == {"bank"}
