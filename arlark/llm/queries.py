@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arlark.llm import (bpe_codec, embeddings, minhash, mixing, quality, repeats, sharding, token_count, token_files,
-                        warc)
+from arlark.llm import (bpe_codec, collocations, embeddings, line_index, minhash, mixing, quality, repeats, sharding, token_count,
+                        token_files, warc, whitening)
 from arlark.llm.common import documents
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -61,6 +61,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_digests(written)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    # beyond 64 bits there is no long to return
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_index.remove_repeated_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_mixing": op2_mixing,
@@ -72,6 +87,9 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_token_files": op10_token_files,
+    "op11_collocations": op11_collocations,
+    "op12_whitening": op12_whitening,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 #: SQL for the queries that whole tables in SQL can express; the others are held to brute force in tests/llm.
@@ -81,4 +99,6 @@ ORACLE = {
     "op6_warc": warc.oracle_sql(),
     "op2_mixing": mixing.oracle_sql(),
     "op3_quality_rules": quality.oracle_sql(),
+    "op11_collocations": collocations.oracle_sql(),
+    "op13_line_dedup": line_index.oracle_sql(),
 }
