@@ -7,21 +7,22 @@ own attempt; the manifest is a Parquet table that Spark commits, so
 files of lost attempts are never read.  In ``.gz`` files each record is a gzip member.
 
 Reading: a record must pass its checks -- member CRC and length, version line,
-headers, block length, closing line breaks, payload digest.  After a failed check the
+headers (folded lines are joined), block length, closing line breaks, payload digest.  After a failed check the
 reader searches for the next gzip member that opens with a version line (plain
 files: the next version line), resumes there, and logs the bytes between as a quarantined
 gap with the reason.  Memory holds one record, not one file.  No size makes a record damaged: headers end
 where their empty line stands, and a member is unpacked as far as its own Content-Length goes.
 
 Rows: null and empty payloads have 0 bytes and are equal payloads; a null url is
-left out of the record; a null page id is written as missing; equal page ids
-that are smallest are all responses; other columns are not read.
+left out of the record; a null page id is written as missing, and record ids that are no 64-bit page
+ids read as null; equal page ids that are smallest are all responses; other columns are not read.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 
@@ -36,6 +37,8 @@ ARCHIVE_BYTES = 64 << 20
 STEP = 1 << 16
 
 VERSION = b"WARC/1."
+#: Lengths and page ids as they may stand in headers; a page id has 64 bits.
+LENGTH, PAGE = re.compile("[0-9]{1,18}"), re.compile("-?[0-9]{1,19}")
 MEMBER = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -86,16 +89,19 @@ class SalvageReader:
             source.seek(0, 2)
             size = source.tell()
         self.size = size
-        self.gzipped = self._at(0, 3) == MEMBER or (self._at(0, 7) != VERSION and self._find(MEMBER, 0) is not None
-                                                    and not self._version_first())
+        self.gzipped = not self._at(0, len(VERSION)) == VERSION and self._members_first()
 
     def _at(self, offset: int, length: int) -> bytes:
         self.source.seek(offset)
         return self.source.read(max(0, min(length, self.size - offset)))
 
-    def _version_first(self) -> bool:
-        line, member = self._find(VERSION, 0), self._find(MEMBER, 0)
-        return line is not None and (member is None or line < member)
+    def _members_first(self) -> bool:
+        """Whether a member that opens with a version line comes before any plain version line."""
+        member = self._next_member(0)
+        if member in (0, None):
+            return member == 0
+        line = self._find(b"\n" + VERSION, 0)
+        return line is None or member < line
 
     def _find(self, mark: bytes, start: int) -> int | None:
         while start < self.size:
@@ -133,16 +139,20 @@ class SalvageReader:
         lines = head.decode("utf-8", "replace").split("\r\n")
         if not lines[0].startswith("WARC/1."):
             raise Damaged("no version line")
-        out = {}
+        out, name = {}, None
         for line in lines[1:]:
+            if line[:1] in (" ", "\t") and name is not None:
+                out[name] = f"{out[name]} {line.strip()}".strip()
+                continue
             name, colon, value = line.partition(":")
             if not colon:
                 raise Damaged("header without a colon")
-            out[name.strip().lower()] = value.strip()
+            name = name.strip().lower()
+            out[name] = value.strip()
         for needed in ("warc-type", "warc-record-id", "content-length"):
             if needed not in out:
                 raise Damaged(f"no {needed}")
-        if not out["content-length"].isdigit():
+        if not LENGTH.fullmatch(out["content-length"]):
             raise Damaged("content-length is no number")
         return out
 
@@ -159,8 +169,8 @@ class SalvageReader:
         http, _, payload = block.partition(b"\r\n\r\n")
         digest = headers.get("warc-payload-digest", "").partition(":")[2]
         kind = headers["warc-type"]
-        size = next((int(v) for line in http.split(b"\r\n") for n, c, v in [line.partition(b":")]
-                     if c and n.strip().lower() == b"content-length" and v.strip().isdigit()), len(payload))
+        size = next((int(v) for line in http.decode("latin-1").split("\r\n") for n, c, v in [line.partition(":")]
+                     if c and n.strip().lower() == "content-length" and LENGTH.fullmatch(v.strip(" \t"))), len(payload))
         if kind == "response":
             if digest and base32_sha1(payload) != digest:
                 raise Damaged("payload digest is wrong")
@@ -172,8 +182,10 @@ class SalvageReader:
 
     @staticmethod
     def _page(urn: str) -> int | None:
+        """The page id of a record id; None for other ids and beyond 64 bits."""
         name = urn.strip("<>").rpartition(":")[2]
-        return int(name) if name.removeprefix("-").isdigit() else None
+        number = int(name) if PAGE.fullmatch(name) else None
+        return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
 
     def _plain_head(self, start: int) -> bytes:
         """The header lines of the uncompressed record at ``start``, read on until they end or cannot be headers."""
@@ -191,7 +203,7 @@ class SalvageReader:
                 return bytes(head[:border])
             last = head.rfind(b"\r\n", seen)
             if last >= line:
-                if any(b":" not in h for h in head[line:last].split(b"\r\n")[0 if line else 1:]):
+                if any(b":" not in h and h[:1] not in (b" ", b"\t") for h in head[line:last].split(b"\r\n")[0 if line else 1:]):
                     raise Damaged("header without a colon")
                 line = last + 2
 
@@ -203,22 +215,26 @@ class SalvageReader:
             raise Damaged("record cut short")
         return self._at(start, stop - start), stop
 
-    def _next(self, start: int) -> int:
-        """Where the next plausible record begins, at or after ``start``; the end of the file if none does."""
-        while True:
-            if not self.gzipped:
-                # a version line stands at the start of a line
-                found = self._find(b"\n" + VERSION, max(0, start - 1))
-                return self.size if found is None else found + 1
-            found = self._find(MEMBER, start)
-            if found is None:
-                return self.size
+    def _next_member(self, start: int) -> int | None:
+        """The next member that opens with a version line."""
+        while (found := self._find(MEMBER, start)) is not None:
             try:
                 if self._member(found, enough=len(VERSION))[0].startswith(VERSION):
                     return found
-            except Damaged:
+            except (Damaged, ValueError):
                 pass
             start = found + 1
+        return None
+
+    def _next(self, start: int) -> int:
+        """Where the next plausible record begins, at or after ``start``; the end of the file if none does."""
+        if self.gzipped:
+            found = self._next_member(start)
+        else:
+            # a version line stands at the start of a line
+            found = self._find(b"\n" + VERSION, max(0, start - 1))
+            found = None if found is None else found + 1
+        return self.size if found is None else found
 
     def __iter__(self):
         at = 0
@@ -226,7 +242,7 @@ class SalvageReader:
             try:
                 data, stop = self._member(at) if self.gzipped else self._plain(at)
                 yield "record", at, stop, self._record(data)
-            except Damaged as e:
+            except (Damaged, ValueError) as e:
                 stop = self._next(at + 1)
                 yield "gap", at, stop, str(e)
             at = stop

@@ -125,3 +125,62 @@ def test_spark_round_trip(spark):
     plain = warc.write_warc(pages, gzipped=False, least_revisit_bytes=1)
     assert warc.page_records(warc.read_warc(plain)).where("record_type = 'revisit'").count() == 3
     assert warc.read_warc(warc.write_warc(pages.limit(0))).count() == 0
+
+
+def _spoil_headers(rng, data, begins, ends):
+    """Flips, cuts, replaces or repeats some bytes of one record's headers; returns the new bytes."""
+    k = rng.randrange(len(begins))
+    at = rng.randrange(begins[k], ends[k])
+    span = rng.randrange(1, 9)
+    new = {0: bytes(rng.randrange(256) for _ in range(span)), 1: b"", 2: "²".encode() * span, 3: b"9" * rng.choice([1, 30, 5000]),
+           4: bytes([data[at] ^ (1 << rng.randrange(8))]), 5: b"\r\n", 6: b"\r\n folded", 7: b"\x1f\x8b\x08"}[rng.randrange(8)]
+    stop = at + 1 if len(new) == 1 else min(at + span, len(data))
+    return k, data[:at] + new + data[stop:]
+
+
+def test_damaged_headers_never_stop_the_reader():
+    """10,000 damages, plain and gzip: every intact record comes back, records and gaps tile the file."""
+    for gzipped in (False, True):
+        payloads = [f"payload number {i} ".encode() * (i + 1) for i in range(5)]
+        raw = [warc.make_record(i, f"u{i}", p, warc.base32_sha1(p), None) for i, p in enumerate(payloads)]
+        heads = [r.find(b"\r\n\r\n") + 4 for r in raw]
+        for seed in range(5000):
+            rng = random.Random(seed)
+            if gzipped and seed % 2:
+                # damage inside the packed header of a whole member
+                k, part = _spoil_headers(rng, raw[0], [0], [heads[0]])
+                which = rng.randrange(5)
+                parts = [warc.gzip_member(r) for r in raw]
+                hurt, parts[which] = which, warc.gzip_member(part)
+                data = b"".join(parts)
+            else:
+                parts = [warc.gzip_member(r) for r in raw] if gzipped else raw
+                begins = [sum(map(len, parts[:i])) for i in range(5)]
+                ends = [b + (12 if gzipped else heads[i]) for i, b in enumerate(begins)]
+                hurt, data = _spoil_headers(rng, b"".join(parts), begins, ends)
+            got = read(data)
+            assert [g[1] for g in got] == [0] + [g[2] for g in got[:-1]] and got[-1][2] == len(data)
+            whole = [g[3]["payload"] for g in got if g[0] == "record"]
+            # a header's damage may reach over the border into the next record's version line
+            near = {hurt, hurt + 1} if not gzipped or seed % 2 == 0 else {hurt}
+            assert all(p in whole for i, p in enumerate(payloads) if i not in near), (gzipped, seed)
+
+
+def test_odd_digits_huge_numbers_and_folded_lines():
+    good = warc.make_record(2, None, b"body", warc.base32_sha1(b"body"), None)
+    length = good.partition(b"Content-Length: ")[2].partition(b"\r\n")[0]
+    for bad in ("²".encode(), b"9" * 5000, b"-5", "٣".encode(), b"1e3"):
+        for pack in (warc.gzip_member, lambda r: r):
+            hurt = good.replace(b"Content-Length: " + length + b"\r\n\r\n", b"Content-Length: " + bad + b"\r\n\r\n", 1)
+            assert hurt != good
+            got = read(pack(hurt) + pack(good))
+            assert [g[0] for g in got] == ["gap", "record"] and got[0][3] == "content-length is no number"
+    for name, page in ((b"7" * 30, None), (b"9223372036854775807", 2**63 - 1), (b"9223372036854775808", None), (b"-3", -3), ("2²".encode(), None),
+                       (b"uuid:ab-cd", None)):
+        got = read(good.replace(b"urn:x-page:2>", b"urn:x-page:" + name + b">"))
+        assert [(g[0], g[3]["page_id"]) for g in got] == [("record", page)]
+    folded = good.replace(b"WARC-Date: 1970", b"X-Note: one\r\n two\r\n\tthree\r\nWARC-Date: 1970")
+    for pack in (warc.gzip_member, lambda r: r):
+        assert [g[0] for g in read(pack(folded) + pack(good))] == ["record", "record"]
+    http = good.replace(b"Content-Length: 4\r\n", "Content-Length: ²\r\n".encode()[:19], 1)
+    assert read(http)[0][0] in ("record", "gap")
