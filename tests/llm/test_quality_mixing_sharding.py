@@ -53,14 +53,47 @@ def test_quality_measures_and_verdict(spark, docs):
     assert oracle == sorted((r.doc_id, r.kept, r.n_repeat_words) for r in got if r.doc_id not in (None, 20))
 
 
-def test_stop_words_judge_only_languages_of_their_list(spark):
+def test_gibberish_is_rejected_whatever_its_label(spark):
     rng = random.Random(3)
-    text = " ".join("".join(rng.choice("aeioklmnpst") for _ in range(7)) for _ in range(80))
-    rows = [(i, text, lang) for i, lang in enumerate(["pl", "fi", "ru-RU", None, "en", "de-AT", "FR"])]
+    text = " ".join("".join(rng.choice("aeioklmnpst") for _ in range(7)) for _ in range(200))
+    rows = [(i, text, lang) for i, lang in enumerate(["pl", "fi", "ru-RU", None, "en", "de-AT", "english"])]
     langs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    assert {r.doc_id: r.broken for r in quality.assess(langs).collect()} == {i: ["stop_words"] if i > 3 else [] for i in range(7)}
-    assert sorted(r.doc_id for r in quality.apply_rules(langs).collect()) == [0, 1, 2, 3]
-    assert quality.assess(langs.drop("lang")).where("kept").count() == 0
+    assert {tuple(r.broken) for r in quality.assess(langs).collect()} == {("common_words",)}
+    assert quality.apply_rules(langs).count() == 0 and quality.assess(langs.drop("lang")).where("kept").count() == 0
+    assert [tuple(r) for r in quality.rejections(langs).collect()] == [("common_words", 7, 7)]
+
+
+def test_clean_texts_of_many_languages_stay(spark):
+    texts = {
+        "pl": "Wieczorem nad jeziorem zrobiło się cicho, a potem przyszła burza i wszyscy wrócili do domu, bo nikt nie chciał czekać na deszcz. "
+              "Rano okazało się, że wiatr połamał kilka gałęzi, ale dom jest cały, więc dzieci poszły nad wodę i szukały muszli w piasku. "
+              "Potem zjedli śniadanie na tarasie i patrzyli, jak mgła powoli znika z pola za rzeką.",
+        "fi": "Aamulla satoi lunta ja tie oli liukas, mutta bussi tuli silti ajoissa ja kaikki ehtivät töihin. Illalla sää muuttui, ja lumi alkoi sulaa, "
+              "koska lämpötila nousi nopeasti. Lapset sanoivat, että he haluavat vielä laskea mäkeä, mutta äiti ei ollut samaa mieltä, ja niin he "
+              "jäivät sisälle pelaamaan. Seuraavana päivänä aurinko paistoi ja piha oli jo melkein kuiva, eikä lunta enää näkynyt missään muualla.",
+        "ru": "Утром мы вышли из дома и пошли к реке, потому что погода была хорошая и никто не хотел сидеть в комнате. По дороге встретили соседа, "
+              "он сказал, что на мосту идёт ремонт и надо обходить через парк. Мы так и сделали, а потом долго сидели на берегу, смотрели на воду и "
+              "говорили о том, что было летом. Вернулись поздно, уже в темноте, и сразу легли спать.",
+        # not in the list: Swahili
+        "sw": "Asubuhi watoto walikwenda shule kwa miguu kwa sababu basi halikuja kwa wakati. Mwalimu aliwaambia kwa upole kwamba mvua ya jana iliharibu "
+              "barabara ya mji na daraja la mto. Baada ya masomo walirudi nyumbani, wakala chakula na kulala mapema. Siku ya pili jua liliwaka na watu wa "
+              "kijiji walianza kutengeneza barabara pamoja na vijana wote wa shule na wazee wa mtaa.",
+    }
+    rows = [(i, text, lang) for i, text in enumerate(texts.values()) for lang in (None, "en", "xx")]
+    judged = quality.assess(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(judged) == 12 and all(r.kept for r in judged), [(r.doc_id, r.broken, r.n_words) for r in judged if not r.kept]
+
+
+def test_quality_takes_columns_of_any_name(spark, docs):
+    odd = docs.selectExpr("doc_id", "text", "source as `a.b`", "kept as `_m`", "doc_id as `m`", "text as `r`", "source as `row`", "1 as `_judged_lang`",
+                          "2 as n_words", "3 as `_text`")
+    kept = quality.apply_rules(odd)
+    assert kept.columns == odd.columns and kept.count() == quality.apply_rules(docs).count()
+    judged = quality.assess(odd)
+    assert set(odd.columns) <= set(judged.columns) and judged.count() == odd.count()
+    assert judged.where("n_words = 2").count() < odd.count()
+    assert sorted(str(tuple(r)) for r in kept.select("m", "`a.b`", "r").collect()) == sorted(
+        str(tuple(r)) for r in quality.apply_rules(docs).select("doc_id", "source", "text").collect())
 
 
 def test_quality_filter_keeps_columns_and_uses_no_python(spark, docs):
