@@ -21,7 +21,8 @@ result does not depend on the choice.
 
 Rows: vectors that are null, zero, empty or hold null or non-finite components,
 and rows with a null id, link with nothing; vectors of different lengths do not link;
-rows with equal ids are one node, each counted; other columns are not read.
+rows with equal ids are one node, whatever vectors they hold, and ``n_links`` of a row counts the other ids at
+its own vector and the ids at each vector linked with it (a repeated row counts once); other columns are not read.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ SAMPLE, PIVOT_COUNTS = 2048, (8, 32, 128, 512)
 CHUNK, STREAM = 4096, 1024
 #: Measured costs used to choose the number of pivots: seconds per compared component, per vector sent.
 COMPARE_COST, SEND_COST = 1e-10, 3e-6
+#: Numbers of classes whose smallest id is that of another class, too: above all ids.
+EXTRA = (1 << 63) - (1 << 41)
 
 
 def _unit(vector) -> np.ndarray | None:
@@ -230,12 +233,21 @@ def range_join(classes: DataFrame, pivots: np.ndarray, dim: int, n: int, cosine:
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE) -> DataFrame:
     """(id, n_links, component_id, kept) for every row of ``rows``."""
     units = staged(unit_vectors(rows, id_col, vector_col), "unit-vectors")
-    members = units.where("digest is not null").groupBy("digest").agg(
+    holders = units.where("id is not null").select("id", "digest").distinct()
+    members = units.where("digest is not null").select("digest", "dim", "id").distinct().groupBy("digest").agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("dim").alias("dim"))
-    members = staged(members, "vector-classes")
+    # a class is known by its smallest id; where several vectors have the same one, by a number of its own but for the first
+    leads = members.groupBy("rep").agg(F.min("digest").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    named = members.join(leads, "rep", "left").withColumn("class", F.when(
+        F.col("lead").isNull() | (F.col("lead") == F.col("digest")), F.col("rep")).otherwise(
+        F.lit(EXTRA) + F.pmod(F.xxhash64("digest"), F.lit(1 << 40)))).drop("lead")
+    members = staged(named, "vector-classes")
+    # an id with several vectors is one node: it links to the class of each
+    several = holders.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+    own = holders.join(several, "id").join(members.select("digest", "class"), "digest").select(F.col("id").alias("a"), F.col("class").alias("b"))
     # one row for each class: equal vectors have equal units, whichever row carries them
     reps = units.select("id", "digest", "unit").join(members, "digest").where("id = rep").groupBy("digest").agg(
-        F.first("rep").alias("id"), F.first("copies").alias("copies"), F.first("dim").alias("dim"), F.first("unit").alias("unit"))
+        F.first("class").alias("id"), F.first("copies").alias("copies"), F.first("dim").alias("dim"), F.first("unit").alias("unit"))
     reps = staged(reps.drop("digest"), "vector-reps")
     usual = members.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
     if usual is None:
@@ -246,9 +258,10 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     pivots = choose_pivots(_matrix([bytes(r["unit"]) for r in sample]), n, math.sqrt(max(0.0, 2 - 2 * cosine)))
     joined = staged(range_join(reps, pivots, dim, n, cosine), "range-join")
     counts = joined.where("id is not null").groupBy("id").agg(F.sum("links").alias("links"))
-    labels = connected_components(joined.where("a is not null").select("a", "b"))
-    found = units.select("id", "digest").join(members.select("digest", "rep", "copies"), "digest", "left")
-    found = found.join(counts.withColumnRenamed("id", "rep"), "rep", "left").join(labels, F.col("rep") == F.col("node"), "left")
+    labels = connected_components(joined.where("a is not null").select("a", "b").union(own))
+    found = units.select("id", "digest").join(members.select("digest", "class", "rep", "copies"), "digest", "left")
+    found = found.join(counts.withColumnRenamed("id", "class"), "class", "left").join(
+        labels, F.coalesce("class", "id") == F.col("node"), "left")
     component = F.coalesce("component", "rep", "id")
     links = F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long")
     return found.select(F.col("id").alias(id_col), links.alias("n_links"), component.alias("component_id"),

@@ -145,6 +145,31 @@ def test_embedding_links_and_components(spark, monkeypatch, chunk, pivots):
     assert embeddings.near_duplicates(frame.where("vec_id = 900")).count() == 1
 
 
+def test_an_embedding_id_with_several_vectors_is_one_node(spark):
+    rng = np.random.default_rng(3)
+    base = [rng.normal(size=12) for _ in range(12)]
+    rows = [(1, base[0]), (7, base[1]), (5, base[0]), (5, base[1]), (5, base[1]),            # 1 - 5 - 7, one row twice
+            (20, base[2]), (20, base[3]), (30, base[2] + 0.01), (31, base[3] + 0.01),          # two classes with one smallest id
+            (20, base[4]), (40, None), (40, base[4]), (41, None), (50, base[5]), (50, base[6]), (51, base[6]), (52, base[7]), (52, base[7])]
+    rows += [(60 + k // 3, base[8 + k % 3] * (1 + k)) for k in range(9)]                       # scaled copies link, though they differ
+    def cosine(a, b):
+        return float(a @ b) / float(np.linalg.norm(a) * np.linalg.norm(b))
+    groups, expected = Union(), []
+    for i, v in rows:
+        groups.find(i)
+        for j, w in rows:
+            if v is not None and w is not None and cosine(v, w) >= 0.95:
+                groups.join(i, j)
+    for i, v in rows:
+        others = {} if v is None else {w.tobytes(): {j for j, x in rows if x is not None and x.tobytes() == w.tobytes()}
+                                       for _, w in rows if w is not None and cosine(v, w) >= 0.95}
+        links = sum(len(ids) - (key == v.tobytes()) for key, ids in others.items())
+        expected.append((i, links, groups.find(i), groups.find(i) == i))
+    frame = spark.createDataFrame([(i, None if v is None else v.tolist()) for i, v in rows], "vec_id long, embedding array<double>").repartition(3)
+    assert sorted(map(tuple, embeddings.near_duplicates(frame).collect())) == sorted(expected)
+    assert {g for i, _, g, _ in expected if i in (1, 5, 7)} == {1}
+
+
 def brute_repeats(rows, threshold):
     first = {}
     for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
