@@ -1,21 +1,21 @@
-"""Repeated passages by depth-limited radix ordering of suffixes.
+"""Repeated passages by a join of minimizer runs, with radix passes where runs differ.
 
 A byte is removed if it lies in a ``threshold``-byte string that also starts in a document of
-smaller id.  Suffixes need ordering only through their first ``threshold`` bytes: groups of
-suffixes equal to that depth are exactly the repeated windows, and a group's smallest id
-decides which of its windows go.  The order is built by
-most-significant-digit passes, and a group that lies in one document is dropped as soon as a pass shows it:
+smaller id.  Windows need telling apart only through their ``threshold`` bytes.  The dealt method,
+a depth-limited radix order of all suffixes, would send ``threshold`` bytes for each byte of text, so it decides
+only what hashing and equality of whole strings leave open:
 
-1. The first digit of a window is its minimizer, the smallest hashed gram of ``GRAM`` bytes in it.  It is
+1. Whole copies of a text are found by its SHA-256 and neither send nor ask.
+2. The first digit of a window is its minimizer, the smallest hashed gram of ``GRAM`` bytes in it.  It is
    a function of the window alone, so equal windows share it, and runs
    of windows share one occurrence ("anchor"), about one for 16 bytes of text; a
    run is sent as one string instead of one for each window.  Pass one counts anchor
    hashes: anchors found in one document only are finished, which is nearly all of them.
-2. Runs of the other anchors are sent with their smallest document.  Equal runs collapse.  Where one anchor has several
-   different runs, their windows are ordered by 8-byte digits, group by group,
-   to the full depth.
-3. Every run gets back the smallest id of each of its windows; documents
-   mark the covered bytes.
+3. Runs of the other anchors are sent with their smallest document.  Equal runs collapse as equal strings.  Where one
+   anchor has several different runs, their windows are ordered by most-significant-digit passes of 8 bytes,
+   group by group, to the full depth (``equal_windows``); a group of one is dropped as soon as a pass shows it.
+4. Every run gets back the smallest id of each of its windows.  Replies name a run by a 96-bit hash within
+   its block (about 10^5 runs: two share one with a chance of 10^-19); documents mark the covered bytes.
 
 Documents are processed in blocks of about ``BLOCK_BYTES`` (id ranges cut by hash).  What a block sends is combined
 first: an anchor, or a run, goes out once for a block however many of its documents hold it.  Anchors
@@ -38,6 +38,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arlark.llm.common import byte_length, staged
 
@@ -54,6 +55,8 @@ HOT_SOURCES = 128
 PACK_BYTES, HELD_BYTES = 1 << 20, 32 << 20
 #: Windows ordered at once (a single group may be larger).
 WINDOWS_AT_ONCE = 150_000
+#: Text of one task of a block stream, and buckets of one task (the session's number of partitions is the least).
+STREAM_BYTES, BUCKETS_PER_TASK = 64 << 20, 4
 #: Most id ranges that blocks are cut from.
 MOST_RANGES = 4096
 
@@ -677,12 +680,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc"), text.alias("text"),
-                         *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []))
+                         *([F.struct(*[F.col(f"`{c}`").alias(c) for c in carry]).alias("row")] if carry else []))
     narrow = staged(source.select("doc", byte_length(F.col("text")).alias("size"), F.unhex(F.sha2("text", 256)).alias("digest")),
                     "text-digests")
     total = narrow.agg(F.sum("size")).first()[0] or 0
     block = _blocks(narrow, total)
     buckets = max(1, math.ceil(total * 2 / (threshold - gram + 2) / ANCHORS_PER_BUCKET))
+    bucket_tasks, stream_tasks = max(width, math.ceil(buckets / BUCKETS_PER_TASK)), max(width, math.ceil(total / STREAM_BYTES))
 
     # whole copies: every byte of theirs is repeated, so they neither send nor ask
     firsts = narrow.where((F.col("size") >= threshold) & F.col("doc").isNotNull()).groupBy("digest").agg(
@@ -692,7 +696,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     anchors = source.where(F.col("doc").isNotNull()).select(block.alias("block"), "text").mapInArrow(
         lambda b: _send_anchors(b, buckets, threshold, gram), "bucket long, block long, hashes binary, several binary")
-    shared = anchors.repartition(max(width, buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(
+    shared = anchors.repartition(bucket_tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(
         _count_anchors, "block long, bucket long, hashes binary, hot binary")
     shared = staged(shared, "shared-anchors")
 
@@ -704,26 +708,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for name, kind in (("bucket", "long"), ("more", "binary")):
             if name not in out.columns:
                 out = out.withColumn(name, F.lit(None).cast(kind))
-        return out.select(*STREAM).repartition(width, "block").sortWithinPartitions("block", "kind")
+        return out.select(*STREAM).repartition(stream_tasks, "block").sortWithinPartitions("block", "kind")
 
     replies = shared.select("block", F.lit(0).alias("kind"), "bucket", F.col("hashes").alias("payload"), F.col("hot").alias("more"))
     twins = copies.select("block", F.lit(1).alias("kind"), "doc", F.col("digest").alias("more"))
     sent = stream(replies, twins).mapInArrow(
         lambda b: _send_runs(b, buckets, threshold, gram),
         "bucket long, block long, strings binary, sizes binary, anchors binary, ids binary")
-    ordered = sent.repartition(max(width, buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(
+    ordered = sent.repartition(bucket_tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(
         lambda b: _order_runs(b, threshold, gram), "block long, payload binary, more binary")
 
     answers = ordered.select("block", F.lit(0).alias("kind"), "payload", "more")
     names = [("doc", "long"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"),
              *([("kept_text", "string")] if with_text else [])]
     schema = pa.schema([pa.field(n, pa.int64() if t == "long" else pa.string()) for n, t in names])
-    ddl = ", ".join(f"{n} {t}" for n, t in names)
-    if carry:
-        row_type = source.schema["row"].dataType
-        ddl += f", row {row_type.simpleString()}"
+    fields = [T.StructField(n, T.LongType() if t == "long" else T.StringType()) for n, t in names]
+    result = T.StructType([*fields, *([source.schema["row"]] if carry else [])])
     marked = stream(replies, twins, answers, rows=bool(carry)).mapInArrow(
-        lambda b: _mark(b, buckets, threshold, gram, schema, bool(carry), with_text), ddl)
+        lambda b: _mark(b, buckets, threshold, gram, schema, bool(carry), with_text), result)
     return marked.withColumnRenamed("doc", id_col)
 
 
@@ -731,4 +733,4 @@ def trimmed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """The documents with their repeated passages cut out, and their own columns."""
     others = [c for c in docs.columns if c != text_col]
     out = remove_repeats(docs, id_col, text_col, with_text=True, carry=others, **options)
-    return out.select(*[F.col("kept_text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+    return out.select(*[F.col("kept_text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
