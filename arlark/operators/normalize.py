@@ -1,10 +1,12 @@
 """Source normalizers with set-based validation.
 
 Each normalizer maps a source-shaped DataFrame onto the canonical schema and
-adds ``_errors: array<string>`` listing every rule the row breaks.  Instead
-of aborting a batch on the first bad record, ``split_quarantine`` separates
-valid rows from the quarantine; ``strict=True`` fails the job when the
-quarantine is not empty.
+adds ``_errors: array<string>`` listing every rule the row breaks and, for
+such rows, ``_raw``: the text of the source record (a message's value, or the
+source columns as JSON).  Instead of aborting a batch on the first bad record,
+``split_quarantine`` separates valid rows from the quarantine, whose records
+can be repaired and replayed from their text (``arlark.plans.replay``);
+``strict=True`` fails the job when the quarantine is not empty.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arlark.functions.cleaning import (
     blank_to_null,
@@ -43,6 +46,11 @@ from arlark.schemas import (
 )
 
 ERRORS = "_errors"
+#: Text of a rejected record.
+RAW = "_raw"
+#: Field of a parsed payload that holds the text of a record that is no JSON object of the schema.
+CORRUPT = "_corrupt_record"
+INVALID_JSON = "invalid json"
 CANONICAL_INVOICE_MAP = {c: c for c in SOURCE_COLUMN_MAPS["netsuite"]}
 
 
@@ -56,6 +64,28 @@ def _errors(*checks: tuple[Column, str]) -> Column:
     return F.array_compact(F.array(*[F.when(cond, F.lit(msg)) for cond, msg in checks]))
 
 
+def _json_errors(broken: Column, *checks: tuple[Column, str]) -> Column:
+    """The errors of a parsed record; one that could not be parsed has that error alone."""
+    return F.when(broken, F.array(F.lit(INVALID_JSON))).otherwise(_errors(*checks))
+
+
+def _record(df: DataFrame, payload: str) -> tuple[Column, Column]:
+    """(text of the source record, whether it could not be parsed) of a frame with a payload struct."""
+    p = F.col(payload)
+    text = F.col(RAW) if RAW in df.columns else F.to_json(p)
+    broken = p.isNull()
+    if CORRUPT in df.schema[payload].dataType.fieldNames():
+        broken |= p[CORRUPT].isNotNull()
+        text = F.coalesce(p[CORRUPT], text)
+    if RAW in df.columns:
+        broken |= ~F.coalesce(F.ltrim(F.col(RAW)), F.lit("")).startswith("{")
+    return text, broken
+
+
+def _rejected_text(text: Column) -> Column:
+    return F.when(F.size(F.col(ERRORS)) > 0, text).alias(RAW)
+
+
 def _missing(c: Column) -> Column:
     return c.isNull()
 
@@ -83,10 +113,10 @@ def evaluate_once(df: DataFrame) -> DataFrame:
 
 
 def split_quarantine(df: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(valid rows without ``_errors``, quarantined rows with them)."""
+    """(valid rows without ``_errors`` and ``_raw``, quarantined rows with them)."""
     df = evaluate_once(df)
     bad = F.size(F.col(ERRORS)) > 0
-    valid = df.where(~bad).drop(ERRORS)
+    valid = df.where(~bad).drop(ERRORS, RAW)
     quarantine = df.where(bad)
     if strict:
         n = quarantine.limit(1).count()
@@ -132,7 +162,9 @@ def normalize_erp(df: DataFrame, source_system: str | None, source_file: str | C
         file_col = F.lit(source_file)
     loaded = F.col("_loaded_at").cast(TS) if "_loaded_at" in df.columns else utc_now()
 
+    source_row = F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns if not c.startswith("_") and c not in keep])
     staged = df.select(
+        source_row.alias("_t_row"),
         text("invoice_id").alias("invoice_id"),
         text("customer_id").alias("customer_id"),
         text("customer_name").alias("customer_name"),
@@ -175,7 +207,7 @@ def normalize_erp(df: DataFrame, source_system: str | None, source_file: str | C
         (c("due_date") < c("invoice_date"), "due_date before invoice_date"),
         (c("line_items") < 0, "negative line_items"),
     ))
-    return checked.select(*[f.name for f in INVOICE_SCHEMA.fields], *keep, ERRORS)
+    return checked.select(*[f.name for f in INVOICE_SCHEMA.fields], *keep, ERRORS, _rejected_text(F.to_json("_t_row")))
 
 
 def canonicalize_invoices(raw: DataFrame) -> DataFrame:
@@ -220,6 +252,16 @@ def _payment_out(payment_id, invoice_id, customer_id, date_text, date_value, amo
     ]
 
 
+#: Days since 1970 of the first and the last date (years 1 to 9999).
+FIRST_DAY, LAST_DAY = -719_162, 2_932_896
+
+
+def _epoch_date(seconds: Column) -> Column:
+    """UTC date of epoch seconds; NULL outside the calendar (milliseconds or nanoseconds sent as seconds)."""
+    days = F.floor(seconds / 86400)
+    return F.when(days.between(FIRST_DAY, LAST_DAY), F.date_from_unix_date(days.try_cast("int")))
+
+
 def normalize_payments(df: DataFrame, processor: str, payload: str = "payload",
                        keep: Sequence[str] = ()) -> DataFrame:
     """Parsed webhook payloads -> canonical payments plus ``_errors``.
@@ -244,9 +286,10 @@ def normalize_payments(df: DataFrame, processor: str, payload: str = "payload",
             blank_to_null(meta["customer_id"]),
             created_text,
             # epoch seconds -> UTC calendar date, no session-zone dependence
-            F.date_from_unix_date(F.floor(created / 86400).cast("int")),
+            _epoch_date(created),
             cents_text,
-            ((cents_text).try_cast("decimal(38,2)") / 100).cast(MONEY),
+            # 18 digits before the point are all that a hundredth of them can use
+            (cents_text.try_cast("decimal(20,2)") / 100).try_cast(MONEY.simpleString()),
             F.upper(F.coalesce(blank_to_null(obj["currency"]), F.lit("usd"))),
             normalize_payment_method(F.coalesce(obj["payment_method_type"], F.lit("card"))),
             F.lit("stripe"),
@@ -277,9 +320,11 @@ def normalize_payments(df: DataFrame, processor: str, payload: str = "payload",
             F.coalesce(p["event_id"], F.lit("")),
         )
     loaded = F.col("_loaded_at").cast(TS) if "_loaded_at" in df.columns else utc_now()
-    flat = df.select(*cols, loaded.alias("_loaded_at"), *keep)
+    text, broken = _record(df, payload)
+    flat = df.select(*cols, loaded.alias("_loaded_at"), text.alias("_t_text"), broken.alias("_t_broken"), *keep)
     c = F.col
-    checked = flat.withColumn(ERRORS, _errors(
+    checked = flat.withColumn(ERRORS, _json_errors(
+        c("_t_broken"),
         (_missing(c("payment_id")), "missing payment_id"),
         (_missing(c("invoice_id")), "missing invoice_id"),
         (_missing(c("customer_id")), "missing customer_id"),
@@ -290,7 +335,7 @@ def normalize_payments(df: DataFrame, processor: str, payload: str = "payload",
         (~c("payment_method").isin(VALID_PAYMENT_METHODS), "invalid payment_method"),
         (c("amount_usd") <= 0, "non-positive amount"),
     ))
-    return checked.select(*[f.name for f in PAYMENT_SCHEMA.fields], *keep, ERRORS)
+    return checked.select(*[f.name for f in PAYMENT_SCHEMA.fields], *keep, ERRORS, _rejected_text(F.col("_t_text")))
 
 
 # --------------------------------------------------------------------------- product events
@@ -304,6 +349,7 @@ def normalize_product_events(df: DataFrame, payload: str = "payload", keep: Sequ
     """
     p = F.col(payload)
     props = p["properties"]
+    text, broken = _record(df, payload)
     occurred_text = first_present(p["occurred_at"], p["timestamp"], props["occurred_at"])
     loaded = F.col("_loaded_at").cast(TS) if "_loaded_at" in df.columns else utc_now()
     flat = df.select(
@@ -317,10 +363,13 @@ def normalize_product_events(df: DataFrame, payload: str = "payload", keep: Sequ
         F.lower(first_present(p["outcome"], props["outcome"])).alias("outcome"),
         loaded.alias("_loaded_at"),
         F.coalesce(p["source_event"], F.lit("")).alias("_source_event"),
+        text.alias("_t_text"),
+        broken.alias("_t_broken"),
         *keep,
     )
     c = F.col
-    checked = flat.withColumn(ERRORS, _errors(
+    checked = flat.withColumn(ERRORS, _json_errors(
+        c("_t_broken"),
         (_missing(c("event_id")), "missing event_id"),
         (_missing(c("invoice_id")), "missing invoice_id"),
         (_missing(c("customer_id")), "missing customer_id"),
@@ -330,17 +379,24 @@ def normalize_product_events(df: DataFrame, payload: str = "payload", keep: Sequ
         (c("event_type").isNotNull() & ~c("event_type").isin(VALID_PRODUCT_EVENT_TYPES), "invalid event_type"),
         (c("outcome").isNotNull() & ~c("outcome").isin(VALID_PRODUCT_OUTCOMES), "invalid outcome"),
     ))
-    return checked.select(*[f.name for f in EVENT_SCHEMA.fields], *keep, ERRORS)
+    return checked.select(*[f.name for f in EVENT_SCHEMA.fields], *keep, ERRORS, _rejected_text(F.col("_t_text")))
 
 
 def parse_json_payloads(df: DataFrame, schema, value: str = "value", payload: str = "payload") -> DataFrame:
-    """JSON text records (e.g. message values) -> a ``payload`` struct column.
+    """JSON text records (e.g. message values) -> a ``payload`` struct column, and the text as ``_raw``.
 
+    A record that is no JSON object, or does not fit the schema, has its text in the payload's ``_corrupt_record``.
     The parse goes through a one-element ``explode`` (a Generate node).  Filters
     on payload fields -- the quarantine split tests a dozen of them -- are not
     pushed below a generator, so each record is parsed exactly once; with a
     plain projection Catalyst would inline ``from_json`` into the pushed-down
     filter once per field referenced.
     """
-    parsed = F.explode(F.array(F.from_json(F.col(value).cast("string"), schema))).alias(payload)
-    return df.select(*[c for c in df.columns if c != payload], parsed)
+    text = F.col(value).cast("string")
+    parsed = F.explode(F.array(F.from_json(text, with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT}))).alias(payload)
+    return df.select(*[c for c in df.columns if c not in (payload, RAW)], text.alias(RAW), parsed)
+
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    """A payload schema with the field for records that do not fit it."""
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])

@@ -6,13 +6,16 @@ file is an empty DataFrame with the right schema, not an error.
 
 from __future__ import annotations
 
+import csv
 import os
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arlark.operators.normalize import CORRUPT, with_corrupt
 from arlark.schemas import erp_source_schema
 
 
@@ -27,7 +30,7 @@ def _paths(spark: SparkSession, path: str) -> list[str]:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return []
         raise
-    return sorted(files)
+    return sorted(unquote(f) for f in files)
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -40,13 +43,42 @@ def with_input_order(df: DataFrame, name: str = "_input_seq") -> DataFrame:
         name, F.monotonically_increasing_id())
 
 
+#: Files up to which each header is read by a small job of its own (of the first bytes only).
+FEW_FILES = 8
+
+
+def _by_header(spark: SparkSession, files: list[str]) -> dict[tuple, list[str]]:
+    """Files by their header's column names; a name that a header holds twice is an error.
+
+    Many files are one job: the first line of every file, grouped by its text.
+    """
+    filled = F.trim("value") != ""
+    if len(files) <= FEW_FILES:
+        headers = [(r.value, file) for file in files for r in spark.read.text(file).where(filled).limit(1).collect()]
+    else:
+        lines = spark.read.text(files).where(filled & (F.col("_metadata.file_block_start") == 0)).select(
+            F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+        first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+        grouped = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()      # the file names, listed already
+        headers = [(r.header, unquote(file)) for r in grouped for file in sorted(r.files)]
+    groups: dict[tuple, list[str]] = {}
+    for header, file in headers:
+        names = tuple(next(csv.reader([header.removeprefix("\ufeff")])))
+        twice = sorted({n for n in names if names.count(n) > 1})
+        if twice:
+            raise ValueError(f"{file}: the header names {', '.join(twice)} more than once")
+        groups.setdefault(names, []).append(file)
+    return groups
+
+
 def read_erp_csv(spark: SparkSession, path: str, source_system: str, multiline: bool = False) -> DataFrame:
     """ERP export with header rows, columns matched by header name in every file, every value text.
 
     Standard CSV quoting: a quote inside a quoted field is doubled.  Quoted
     line breaks need ``multiline``, which makes a file unsplittable, so it is the caller's
-    choice.  Files are grouped by header line (one small read of first lines) and
-    each group is read with its own; extra columns are left out, columns a file lacks are NULL.
+    choice.  Files are grouped by header line (one job for many files, see ``_by_header``) and
+    each group is read with its own; extra columns are left out, columns a file lacks are NULL; a
+    name that a header holds twice is an error.
     """
     schema = erp_source_schema(source_system)
     names = [f.name for f in schema.fields]
@@ -56,9 +88,7 @@ def read_erp_csv(spark: SparkSession, path: str, source_system: str, multiline:
                                                            T.StructField("_input_seq", T.LongType())]))
     reader = spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8").option(
         "quote", '"').option("escape", '"').option("multiLine", multiline)
-    groups: dict[tuple, list[str]] = {}
-    for file in files:                       # one header per file; the rows are read in one scan for each header
-        groups.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    groups = _by_header(spark, files)
     parts = []
     for columns, members in groups.items():
         df = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(members)
@@ -72,12 +102,16 @@ def read_erp_csv(spark: SparkSession, path: str, source_system: str, multiline:
 
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True,
                       payload: str = "payload") -> DataFrame:
-    """JSON file(s) holding an array of objects (or JSON lines) -> one ``payload`` struct per record."""
+    """JSON file(s) holding an array of objects (or JSON lines) -> one ``payload`` struct per record.
+
+    What cannot be parsed (a file, or a line of JSON lines) is one record with its text in the payload's ``_corrupt_record``.
+    """
+    schema = with_corrupt(schema)
     if not _paths(spark, path):
         return spark.createDataFrame([], T.StructType([T.StructField(payload, schema),
                                                         T.StructField("_source_file", T.StringType()),
                                                         T.StructField("_input_seq", T.LongType())]))
-    df = spark.read.option("multiLine", multiline).schema(schema).json(path)
+    df = spark.read.option("multiLine", multiline).option("columnNameOfCorruptRecord", CORRUPT).schema(schema).json(path)
     cols = [F.col(c) for c in df.columns]
     return with_input_order(df).select(F.struct(*cols).alias(payload), "_source_file", "_input_seq")
 
