@@ -22,7 +22,11 @@ EVENT_TIEBREAK = ("_source_event",)
 
 
 def stg_erp_invoices(raw: DataFrame, as_of=None) -> DataFrame:
-    latest = keep_latest(raw, ["invoice_id", "source_system"], tiebreak=INVOICE_TIEBREAK)
+    return invoice_columns(keep_latest(raw, ["invoice_id", "source_system"], tiebreak=INVOICE_TIEBREAK), as_of)
+
+
+def invoice_columns(latest: DataFrame, as_of=None) -> DataFrame:
+    """The staging columns of raw invoices that hold one row for each key."""
     return latest.select(
         F.col("invoice_id").cast("string").alias("invoice_id"),
         F.col("customer_id").cast("string").alias("customer_id"),
@@ -42,7 +46,11 @@ def stg_erp_invoices(raw: DataFrame, as_of=None) -> DataFrame:
 
 
 def stg_payments(raw: DataFrame) -> DataFrame:
-    latest = keep_latest(raw, ["payment_id"], tiebreak=PAYMENT_TIEBREAK)
+    return payment_columns(keep_latest(raw, ["payment_id"], tiebreak=PAYMENT_TIEBREAK))
+
+
+def payment_columns(latest: DataFrame) -> DataFrame:
+    """The staging columns of raw payments that hold one row for each key."""
     return latest.select(
         F.col("payment_id").cast("string").alias("payment_id"),
         F.col("invoice_id").cast("string").alias("invoice_id"),
@@ -61,7 +69,11 @@ def stg_payments(raw: DataFrame) -> DataFrame:
 
 
 def stg_product_events(raw: DataFrame) -> DataFrame:
-    latest = keep_latest(raw, ["event_id"], tiebreak=EVENT_TIEBREAK)
+    return event_columns(keep_latest(raw, ["event_id"], tiebreak=EVENT_TIEBREAK))
+
+
+def event_columns(latest: DataFrame) -> DataFrame:
+    """The staging columns of raw events that hold one row for each key."""
     return latest.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("invoice_id").cast("string").alias("invoice_id"),

@@ -5,16 +5,17 @@ The same Column functions as the batch path run on streaming DataFrames:
 * ``normalized_event_stream`` / ``normalized_payment_stream`` -- JSON message
   values (files or a message queue) parsed and normalized; ``run_split`` stores
   valid and quarantined rows, so every message ends up in one of the two.
-* ``append_batches`` / ``first_payments`` -- every arriving copy is stored, the first to
-  arrive is read back; no row is lost, however late it comes.
-  ``dedupe_payment_stream`` thins repeated deliveries on the way, on arrival
+* ``first_wins_batches`` -- the first copy of each payment to arrive is kept in a bucketed table
+  (``arlark.plans.incremental``); later copies are looked up among the ids of their buckets and left out, however
+  late they come.  ``dedupe_payment_stream`` thins repeated deliveries on the way, on arrival
   time, so that its bounded state never drops a first copy either.
-* ``append_touch_counts`` / ``touch_counts`` -- each batch appends its partial
-  counts per invoice; reading adds them up.
+* ``touch_count_batches`` -- each batch adds its partial counts per invoice to a bucketed table
+  that is compacted as it grows.
+* ``append_batches`` / ``first_payments`` and ``append_touch_counts`` / ``touch_counts`` -- the forms that keep the
+  history: every arriving row (or partial count) is stored in one folder for each batch and ranked (added up) on reading.
 
-A sink's cost follows the batch: a batch writes one folder of its own, named by
-the streaming query's id and the batch number, and a replayed batch writes the same folder
-again.  ``run_available_now`` processes what is there and stops, which is
+A sink's cost follows the batch.  Batches are known by the streaming query's id and their
+number, so a replayed batch changes nothing.  ``run_available_now`` processes what is there and stops, which is
 how an hourly schedule drives them.
 """
 
@@ -31,10 +32,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from arlark.operators.dedupe import keep_first
 from arlark.operators.matching import touches_per_invoice
-from arlark.operators.normalize import normalize_payments, normalize_product_events, parse_json_payloads
-from arlark.schemas import (
-    COLLECTION_EVENT_TYPES, EVENT_PAYLOAD_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, STRIPE_PAYLOAD_SCHEMA, TS,
-)
+from arlark.operators.normalize import ERRORS, RAW, normalize_payments, normalize_product_events, parse_json_payloads
+from arlark.plans import incremental
+from arlark.schemas import COLLECTION_EVENT_TYPES, EVENT_PAYLOAD_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, STRIPE_PAYLOAD_SCHEMA
 
 
 def json_message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -66,7 +66,7 @@ def dedupe_payment_stream(payments: DataFrame, delay: str = "2 days") -> DataFra
 
     The watermark runs on arrival time, which never goes back, so no row is ever behind it and
     only repeated ids are dropped.  State holds the ids of the last
-    ``delay``; a copy that arrives later passes and is left to ``first_payments``.
+    ``delay``; a copy that arrives later passes and is left to ``first_wins_batches``.
     """
     arrived = "__arrived_at"
     return (payments.withColumn(arrived, F.current_timestamp()).withWatermark(arrived, delay)
@@ -75,8 +75,7 @@ def dedupe_payment_stream(payments: DataFrame, delay: str = "2 days") -> DataFra
 
 def _batch_folder(spark: SparkSession, table: str, checkpoint: str, batch_id: int) -> str:
     """The folder of one batch; the query's id comes from its checkpoint, so a new checkpoint never reuses folders."""
-    query_id = json.loads(spark.read.text(os.path.join(checkpoint, "metadata")).first()[0])["id"]
-    return os.path.join(table, f"query_id={query_id}", f"batch_id={batch_id}")
+    return os.path.join(table, f"query_id={_query_id(spark, checkpoint)}", f"batch_id={batch_id}")
 
 
 def append_batches(table: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> Callable:
@@ -97,6 +96,11 @@ def stored_batches(spark: SparkSession, table: str, schema: T.StructType) -> Dat
     return spark.read.schema(T.StructType(schema.fields + extra)).parquet(table)
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The streaming query's id, from its checkpoint."""
+    return json.loads(spark.read.text(os.path.join(checkpoint, "metadata")).first()[0])["id"]
+
+
 def first_payments(stored: DataFrame) -> DataFrame:
     """The first copy of each payment: by arrival, then load time, source event and amount."""
     return keep_first(stored, ["payment_id"], ["_stored_at", "batch_id", "_loaded_at", "_source_event", "amount_usd"])
@@ -110,27 +114,42 @@ def append_touch_counts(table: str, checkpoint: str, event_types: Sequence[str]
     return append_batches(table, checkpoint, partial)
 
 
-TOUCH_SCHEMA = T.StructType([T.StructField("invoice_id", T.StringType()), T.StructField("collection_attempt_count", T.LongType()),
-                             T.StructField("last_outreach_at", TS)])
-
-
 def touch_counts(spark: SparkSession, table: str) -> DataFrame:
     """Touch count and last outreach per invoice over all stored batches."""
-    return stored_batches(spark, table, TOUCH_SCHEMA).groupBy("invoice_id").agg(
+    return stored_batches(spark, table, incremental.TOUCH_SCHEMA).groupBy("invoice_id").agg(
         F.sum("collection_attempt_count").alias("collection_attempt_count"), F.max("last_outreach_at").alias("last_outreach_at"))
 
 
+def first_wins_batches(table: str, checkpoint: str, buckets: int = 64) -> Callable:
+    """``foreachBatch`` handler: payments whose id the table lacks are added; a replayed batch changes nothing."""
+    def handler(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        incremental.add_firsts(incremental.payment_store(spark, table, buckets), batch, _query_id(spark, checkpoint), batch_id)
+
+    return handler
+
+
+def touch_count_batches(table: str, checkpoint: str, buckets: int = 64,
+                        event_types: Sequence[str] | None = COLLECTION_EVENT_TYPES) -> Callable:
+    """``foreachBatch`` handler: add the batch's (count, last occurred_at) per invoice; a replayed batch changes nothing."""
+    def handler(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        incremental.add_touch_counts(incremental.touch_store(spark, table, buckets), batch, _query_id(spark, checkpoint), batch_id, event_types)
+
+    return handler
+
+
 def run_split(rows: DataFrame, valid_table: str, quarantine_table: str, checkpoint: str) -> tuple[DataFrame, DataFrame]:
-    """Store valid and quarantined rows of a normalized stream; returns both as stored so far."""
-    keep_valid = append_batches(valid_table, checkpoint, lambda b: b.where(F.size("_errors") == 0).drop("_errors"))
-    keep_bad = append_batches(quarantine_table, checkpoint, lambda b: b.where(F.size("_errors") > 0))
+    """Store valid rows and quarantined ones (with ``_errors`` and ``_raw``) of a normalized stream; returns both as stored so far."""
+    keep_valid = append_batches(valid_table, checkpoint, lambda b: b.where(F.size(ERRORS) == 0).drop(ERRORS, RAW))
+    keep_bad = append_batches(quarantine_table, checkpoint, lambda b: b.where(F.size(ERRORS) > 0))
 
     def handler(batch: DataFrame, batch_id: int) -> None:
         keep_valid(batch, batch_id)
         keep_bad(batch, batch_id)
 
     run_available_now(rows, checkpoint, foreach_batch=handler)
-    good = T.StructType([f for f in rows.schema.fields if f.name != "_errors"])
+    good = T.StructType([f for f in rows.schema.fields if f.name not in (ERRORS, RAW)])
     spark = rows.sparkSession
     return stored_batches(spark, valid_table, good), stored_batches(spark, quarantine_table, rows.schema)
 
