@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arlark.functions.aging import aging_bucket, days_outstanding, is_overdue_by_status, is_overdue_unpaid
-from arlark.operators.matching import matched_payments, payment_matching, touches_per_invoice
+from arlark.operators.matching import matched_payments, touches_per_invoice, unapplied_cash
 from arlark.schemas import COLLECTION_EVENT_TYPES, MONEY
 
 DBT_COLUMNS = [
@@ -96,19 +96,19 @@ def build_ledger(invoices: DataFrame, payments: DataFrame, events: DataFrame, as
     inv = inv.withColumn("days_outstanding", days_outstanding("invoice_date", as_of))
 
     pay_loaded = "loaded_at" if "loaded_at" in payments.columns else "_loaded_at"
-    if opts["separate_unapplied"]:
-        pay = payment_matching(payments, pay_loaded)
-    else:
-        pay = matched_payments(payments, pay_loaded).withColumn(
-            "customer_unapplied_cash_usd", F.lit(0).cast(MONEY))
-    pay = pay.select("invoice_id", "customer_id", "payment_count", "first_payment_date",
-                     "last_payment_date", "amount_paid_usd", "customer_unapplied_cash_usd")
+    pay = matched_payments(payments, pay_loaded).select(
+        "invoice_id", "customer_id", "payment_count", "first_payment_date", "last_payment_date", "amount_paid_usd")
     touches = touches_per_invoice(events, opts["touch_event_types"])
 
     joined = (
         inv.join(pay, ["invoice_id", "customer_id"], "left")
         .join(touches, "invoice_id", "left")
     )
+    free_cash = F.lit(0).cast(MONEY)
+    if opts["separate_unapplied"]:
+        # last, so that everything by invoice lies together until then; only matched invoices show it
+        joined = joined.join(unapplied_cash(payments), "customer_id", "left")
+        free_cash = F.when(F.col("payment_count").isNotNull(), F.col("unapplied_cash_usd"))
     paid = F.coalesce(F.col("amount_paid_usd"), F.lit(0).cast(MONEY))
     amount = F.col("amount_usd").cast(MONEY)
     outstanding = F.greatest(amount - paid, F.lit(0).cast(MONEY)).cast(MONEY)
@@ -137,7 +137,7 @@ def build_ledger(invoices: DataFrame, payments: DataFrame, events: DataFrame, as
         "first_payment_date",
         "last_payment_date",
         F.coalesce(F.col("payment_count"), F.lit(0).cast("bigint")).alias("payment_count"),
-        money_out(F.coalesce(F.col("customer_unapplied_cash_usd"), F.lit(0).cast(MONEY)))
+        money_out(F.coalesce(free_cash, F.lit(0).cast(MONEY)))
         .alias("customer_unapplied_cash_usd"),
         "source_system",
         *[F.col(c) if c in inv.columns else F.lit(None).alias(c) for c in ("po_number", "line_items", "loaded_at")],
@@ -145,15 +145,6 @@ def build_ledger(invoices: DataFrame, payments: DataFrame, events: DataFrame, as
     return ledger.select(*opts["columns"])
 
 
-def fct_ar_ledger_dbt(stg_invoices: DataFrame, stg_payments: DataFrame, stg_events: DataFrame,
-                      as_of=None) -> DataFrame:
-    return build_ledger(stg_invoices, stg_payments, stg_events, as_of, form="dbt")
-
-
-def fct_ar_ledger_local(invoices: DataFrame, payments: DataFrame, events: DataFrame, as_of=None) -> DataFrame:
-    return build_ledger(invoices, payments, events, as_of, form="local")
-
-
 def negative_outstanding(ledger: DataFrame) -> DataFrame:
     """Rows that break the non-negative balance rule (expected: none)."""
     return ledger.where(F.col("amount_outstanding_usd") < 0).select("invoice_id", "amount_outstanding_usd")

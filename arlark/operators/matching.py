@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arlark.schemas import COLLECTION_EVENT_TYPES, MONEY
+from arlark.session import unique_dir
 
 
 def matched_payments(payments: DataFrame, loaded_at: str = "loaded_at") -> DataFrame:
     """Per (invoice, customer): count, first/last date, amount, last load, ordered id list.
 
     A hash aggregate with a map-side partial step.  The id list of one invoice
-    is one value, so it does land in one task; callers that do not select it do not pay for it.
+    is one value, so it does land in one task; callers that do not select it do not pay for it, and
+    ``payment_id_chunks`` gives it in pieces.
     """
     return payments.where(F.col("invoice_id").isNotNull()).groupBy("invoice_id", "customer_id").agg(
         F.count(F.lit(1)).alias("payment_count"),
@@ -27,6 +29,36 @@ def matched_payments(payments: DataFrame, loaded_at: str = "loaded_at") -> DataF
     )
 
 
+def payment_id_chunks(payments: DataFrame, chunk: int = 10_000, partitions: int | None = None) -> DataFrame:
+    """The id lists of ``matched_payments`` in pieces: (invoice_id, customer_id, chunk, payment_count, payment_ids).
+
+    Chunk k holds the payments k * ``chunk`` + 1 to (k + 1) * ``chunk`` of an invoice by date and id, so no value and
+    no task holds all payments of a hot invoice.  Payments are dealt by range of (invoice, customer, date, id), which
+    cuts a hot invoice over partitions; a row's rank is its place within the partition plus what
+    earlier partitions hold of the invoice.  ``payments`` is written once: ranges are drawn from a sample and may
+    differ between two evaluations.
+    """
+    spark = payments.sparkSession
+    key, order = ["invoice_id", "customer_id"], ["payment_date", "payment_id"]
+    matched = payments.where(F.col("invoice_id").isNotNull()).select(*key, *order)
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = unique_dir(spark, "payment-ranges")
+    ordered = [F.col(k).asc_nulls_last() for k in order]
+    matched.repartitionByRange(parts, *[F.col(k) for k in key], *ordered).withColumn("part", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.schema(f"{matched._jdf.schema().toDDL()}, part int").parquet(path)
+    sizes = ranged.groupBy(*key, "part").agg(F.count(F.lit(1)).alias("size"))
+    earlier = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)      # a row for each partition of an invoice
+    offsets = sizes.select(*key, "part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy(*key, "part").orderBy(*ordered))
+    ranked = ranged.withColumn("inside", inside)
+    same = [ranked[k].eqNullSafe(offsets[k]) for k in (*key, "part")]
+    placed = ranked.join(offsets, same[0] & same[1] & same[2]).select(
+        *[ranked[k] for k in (*key, *order)], F.floor((F.col("offset") + F.col("inside") - 1) / chunk).cast("long").alias("chunk"))
+    return placed.groupBy(*key, "chunk").agg(
+        F.count(F.lit(1)).alias("payment_count"),
+        F.expr("listagg(payment_id, ',') WITHIN GROUP (ORDER BY payment_date ASC NULLS LAST, payment_id ASC NULLS LAST)").alias("payment_ids"))
+
+
 def unapplied_cash(payments: DataFrame) -> DataFrame:
     """Cash received without an invoice, per customer."""
     return (

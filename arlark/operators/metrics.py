@@ -100,6 +100,37 @@ def metric_query(ledger: DataFrame, metrics: Sequence[str], dimensions: Sequence
     return ledger.groupBy(*keys).agg(*aggs) if keys else ledger.agg(*aggs)
 
 
+def metric_cuts(ledger: DataFrame, metrics: Sequence[str], cuts: dict[str, tuple[Sequence[str], str | None]],
+                time_dimension: str = "invoice_date") -> DataFrame:
+    """Several cuts of the same metrics in one pass: (cut, its dimensions, period, metrics).
+
+    ``cuts`` names (dimensions, time grain or None).  All cuts are grouping sets of
+    one aggregate, so the ledger is built and read once; rows are combined before
+    the shuffle.  Dimensions that a cut does not use are NULL in its rows, and so is ``period`` without a grain.
+    """
+    dims = list(dict.fromkeys(d for used, _ in cuts.values() for d in used))
+    grains = list(dict.fromkeys(g for _, g in cuts.values() if g))
+    unknown = [g for g in grains if g not in TIME_GRAINS]
+    if unknown:
+        raise ValueError(f"unknown grain '{unknown[0]}'")
+    day = F.col(time_dimension)
+    periods = {g: f"__period_{g}" for g in grains}
+    rows = ledger.withColumns({name: day if g == "day" else F.date_trunc(g, day).cast("date") for g, name in periods.items()})
+    keys = [*dims, *periods.values()]
+    sets = [[*used, *([periods[g]] if g else [])] for used, g in cuts.values()]
+    # bit k of the id, from the left, is set where key k is left out
+    ids = [sum((k not in used) << (len(keys) - 1 - i) for i, k in enumerate(keys)) for used in sets]
+    if len(set(ids)) < len(ids):
+        raise ValueError("two cuts have the same dimensions and grain")
+    grouped = rows.groupingSets([[F.col(k) for k in used] for used in sets], *[F.col(k) for k in keys]).agg(
+        F.grouping_id().alias("__id"), *[metric_column(m) for m in metrics])
+    name = F.lit(None).cast("string")
+    for cut, number in zip(cuts, ids):
+        name = F.when(F.col("__id") == number, F.lit(cut)).otherwise(name)
+    period = F.coalesce(*[F.col(p) for p in periods.values()]) if periods else F.lit(None).cast("date")
+    return grouped.select(name.alias("cut"), *dims, period.alias("period"), *metrics)
+
+
 def collection_rate_30d(invoices: DataFrame, payments: DataFrame, as_of=None, days: int = 30) -> DataFrame:
     """Cash collected in (as_of - days, as_of] over invoice amounts falling due in the same span.
 

@@ -62,22 +62,32 @@ def payment_bad_values(df: DataFrame) -> DataFrame:
     return _named_bad_values(bad_values(df, "payment_method", VALID_PAYMENT_METHODS, F.lower), "payments", "payment_method")
 
 
+def _listed(df: DataFrame, bad: Column, counts: dict[str, Column]) -> DataFrame:
+    """One row: the ``counts`` of all rows, ``bad_rows``, and ``bad_values``, the sorted list of every offending value.
+
+    Rows are grouped by offending value first (NULL: none), so the list is put together from one row for each distinct value.
+    """
+    grouped = df.groupBy(bad.alias("bad")).agg(F.count(F.lit(1)).alias("all_rows"), *[c.alias(name) for name, c in counts.items()])
+    return grouped.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts],
+        F.coalesce(F.sum(F.when(F.col("bad").isNotNull(), F.col("all_rows"))), F.lit(0)).alias("bad_rows"),
+        F.expr("listagg(bad, ', ') WITHIN GROUP (ORDER BY bad)").alias("bad_values"))
+
+
 def validate_invoices(df: DataFrame) -> DataFrame:
     """Invoice code checks: id nulls, customer null rate, negative amounts, status set, currency form.
 
-    A set check's detail names one offending value; ``invoice_bad_values`` lists them all.
+    A set check's detail lists every offending value, sorted (see ``_listed``).
     """
     status = F.upper("status")
     bad_status = F.when(status.isNotNull() & ~status.isin(VALID_STATUSES), status)
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("invoice_id").isNull()).alias("id_nulls"),
-        F.avg(F.when(F.col("customer_id").isNull(), 1.0).otherwise(0.0)).alias("cust_null_rate"),
-        F.count_if(F.col("amount_usd") < 0).alias("negative"),
-        F.count(bad_status).alias("bad_status_rows"),
-        F.min(bad_status).alias("bad_status"),
-        F.count_if(F.col("currency").isNotNull() & ~F.col("currency").rlike(CURRENCY_PATTERN)).alias("bad_currency"),
-    )
+    row = _listed(df, bad_status, {
+        "n": F.count(F.lit(1)),
+        "id_nulls": F.count_if(F.col("invoice_id").isNull()),
+        "cust_nulls": F.count_if(F.col("customer_id").isNull()),
+        "negative": F.count_if(F.col("amount_usd") < 0),
+        "bad_currency": F.count_if(F.col("currency").isNotNull() & ~F.col("currency").rlike(CURRENCY_PATTERN)),
+    }).withColumn("cust_null_rate", F.when(F.col("n") > 0, F.col("cust_nulls") / F.col("n")))
     c = F.col
     none = F.lit(None)
     return _checks_frame(row, "erp_invoices", [
@@ -85,8 +95,8 @@ def validate_invoices(df: DataFrame) -> DataFrame:
         ("customer_id_null_rate", "customer_id", F.coalesce(c("cust_null_rate"), F.lit(0.0)),
          CUSTOMER_ID_MAX_NULL_RATE, F.coalesce(c("cust_null_rate"), F.lit(0.0)) <= CUSTOMER_ID_MAX_NULL_RATE, none),
         ("amount_non_negative", "amount_usd", c("negative"), 0, c("negative") == 0, none),
-        ("status_in_set", "status", c("bad_status_rows"), 0, c("bad_status_rows") == 0,
-         c("bad_status")),
+        ("status_in_set", "status", c("bad_rows"), 0, c("bad_rows") == 0,
+         c("bad_values")),
         ("currency_iso_like", "currency", c("bad_currency"), 0, c("bad_currency") == 0, none),
     ])
 
@@ -94,25 +104,23 @@ def validate_invoices(df: DataFrame) -> DataFrame:
 def validate_payments(df: DataFrame) -> DataFrame:
     """Payment code checks: id nulls, positive amount, $10M ceiling, method set.
 
-    A set check's detail names one offending value; ``payment_bad_values`` lists them all.
+    A set check's detail lists every offending value, sorted (see ``_listed``).
     """
     method = F.lower("payment_method")
     bad_method = F.when(method.isNotNull() & ~method.isin(VALID_PAYMENT_METHODS), method)
-    row = df.agg(
-        F.count_if(F.col("payment_id").isNull()).alias("id_nulls"),
-        F.count_if(F.col("amount_usd") <= 0).alias("non_positive"),
-        F.count_if(F.col("amount_usd") > PAYMENT_MAX_AMOUNT_USD).alias("too_large"),
-        F.count(bad_method).alias("bad_method_rows"),
-        F.min(bad_method).alias("bad_method"),
-    )
+    row = _listed(df, bad_method, {
+        "id_nulls": F.count_if(F.col("payment_id").isNull()),
+        "non_positive": F.count_if(F.col("amount_usd") <= 0),
+        "too_large": F.count_if(F.col("amount_usd") > PAYMENT_MAX_AMOUNT_USD),
+    })
     c = F.col
     none = F.lit(None)
     return _checks_frame(row, "payments", [
         ("payment_id_not_null", "payment_id", c("id_nulls"), 0, c("id_nulls") == 0, none),
         ("amount_positive", "amount_usd", c("non_positive"), 0, c("non_positive") == 0, none),
         ("amount_below_ceiling", "amount_usd", c("too_large"), PAYMENT_MAX_AMOUNT_USD, c("too_large") == 0, none),
-        ("payment_method_in_set", "payment_method", c("bad_method_rows"), 0, c("bad_method_rows") == 0,
-         c("bad_method")),
+        ("payment_method_in_set", "payment_method", c("bad_rows"), 0, c("bad_rows") == 0,
+         c("bad_values")),
     ])
 
 
@@ -256,20 +264,34 @@ def _row_condition(t: ColumnTest) -> Column:
     raise ValueError(t.test)
 
 
+ROW_TESTS = ("not_null", "accepted_values")
+
+
+def row_test_measures(model: str, tests: Sequence[ColumnTest] = WAREHOUSE_TESTS) -> dict[str, Column]:
+    """The row-level tests of a model as aggregates, to be observed while it is written."""
+    return {f"{t.column}.{t.test}": F.count_if(_row_condition(t)) for t in tests if t.model == model and t.test in ROW_TESTS}
+
+
 def run_warehouse_tests(models: dict[str, DataFrame], tests: Sequence[ColumnTest] = WAREHOUSE_TESTS,
-                        singular: dict[str, DataFrame] | None = None) -> DataFrame:
+                        singular: dict[str, DataFrame | int] | None = None, observed: dict[str, dict] | None = None) -> DataFrame:
     """(model, column, test, failures, status) for every declared test plus singular tests.
 
     Row-level tests (not_null, accepted_values) of one model are conditional
     counts of a single aggregation pass over it; ``unique`` needs a grouping
-    per column and ``relationships`` an anti join, so those run separately.
+    per column and ``relationships`` an anti join, so those run separately.  Counts that were ``observed`` while a model
+    was written (``row_test_measures``) are taken as they are, and so is a singular test given as its number of failures.
     """
-    parts = []
+    parts, known = [], []
+    observed = observed or {}
+    spark = next(iter(models.values())).sparkSession
     by_model: dict[str, list[ColumnTest]] = {}
     for t in tests:
         by_model.setdefault(t.model, []).append(t)
     for model, ts in by_model.items():
-        row_tests = [t for t in ts if t.test in ("not_null", "accepted_values")]
+        row_tests = [t for t in ts if t.test in ROW_TESTS]
+        seen = observed.get(model, {})
+        known.extend((model, t.column, t.test, seen[f"{t.column}.{t.test}"]) for t in row_tests if f"{t.column}.{t.test}" in seen)
+        row_tests = [t for t in row_tests if f"{t.column}.{t.test}" not in seen]
         if row_tests:
             counts = models[model].agg(*[F.count_if(_row_condition(t)).alias(f"t{i}")
                                          for i, t in enumerate(row_tests)])
@@ -283,9 +305,14 @@ def run_warehouse_tests(models: dict[str, DataFrame], tests: Sequence[ColumnTest
                     F.lit(t.model).alias("model"), F.lit(t.column).alias("column"), F.lit(t.test).alias("test"),
                     "failures"))
     for name, rows in (singular or {}).items():
+        if isinstance(rows, int):
+            known.append((name, None, "singular", rows))
+            continue
         parts.append(rows.agg(F.count(F.lit(1)).alias("failures")).select(
             F.lit(name).alias("model"), F.lit(None).cast("string").alias("column"), F.lit("singular").alias("test"),
             "failures"))
+    if known:
+        parts.append(spark.createDataFrame(known, "model string, column string, test string, failures long"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -11,7 +11,7 @@ import datetime as dt
 import os
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from arlark.schemas import FEATURE_SCHEMA, INVOICE_SCHEMA, LINEAGE_SCHEMA
@@ -20,12 +20,19 @@ from arlark.schemas import FEATURE_SCHEMA, INVOICE_SCHEMA, LINEAGE_SCHEMA
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
                 fmt: str = "parquet", **options: str) -> int:
     """Write ``df`` and return its row count, counted while writing (``observe``), not by a second scan."""
+    return write_observed(df, path, {}, mode, partition_by, fmt, **options)["rows"]
+
+
+def write_observed(df: DataFrame, path: str, measures: dict[str, Column], mode: str = "overwrite",
+                   partition_by: list[str] | None = None, fmt: str = "parquet", **options: str) -> dict:
+    """Write ``df`` and return ``rows`` and the aggregate ``measures`` of its rows, all observed while writing."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt).options(**options)
+    seen = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in measures.items()])
+    writer = seen.write.mode(mode).format(fmt).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return int(obs.get["rows"])
+    return obs.get
 
 
 def lineage_frame(spark: SparkSession, run_id: str, entries: list[tuple[str, str, int, str]]) -> DataFrame:

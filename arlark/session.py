@@ -42,8 +42,10 @@ def build_session(master: str | None = None, app_name: str = "arlark",
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The one runtime setting every job relies on: times are read and shown in UTC."""
+    """The runtime settings every job relies on: times are read and shown in UTC; sides that are already dealt by some of
+    a join's keys alike are joined as they lie."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     return spark
 
 

@@ -257,3 +257,23 @@ def test_load_filters_reach_the_scan(spark, run):
     cut = split_quarantine(canonicalize_invoices(raw))[0].where(F.col("_loaded_at") >= F.lit("2025-01-01").cast("timestamp_ntz"))
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(_loaded_at" in plan[plan.index("PushedFilters"):]
+
+
+def test_headers_of_many_files_are_one_job(spark, tmp_path):
+    """Files in two column orders, one with a byte-order mark, one empty: rows by name; a name given twice is an error."""
+    from arlark.sources import files as src_files
+
+    a = "tranid,entity_id,entity_name,trandate,duedate,amount,currency,status,otherrefnum,line_count"
+    b = 'status,"tranid",amount,entity_id,extra'
+    for k in range(src_files.FEW_FILES + 6):
+        text = f"{a}\nT{k},C{k},N,2025-01-01,2025-02-01,{k},USD,Open,R,1\n" if k % 2 else f"﻿{b}\nOpen,T{k},{k},C{k},x\n"
+        (tmp_path / f"n {k:02d}.csv").write_text(text, encoding="utf-8")
+    (tmp_path / "n none.csv").write_text("")
+    rows = src_files.read_erp_csv(spark, str(tmp_path / "*.csv"), "netsuite").collect()
+    assert {(r.tranid, r.entity_id, r.amount, r.status) for r in rows} == {(f"T{k}", f"C{k}", str(k), "Open") for k in range(src_files.FEW_FILES + 6)}
+    assert {r.currency for r in rows} == {"USD", None}
+    (tmp_path / "n zz.csv").write_text("tranid,amount,tranid\nT,1,U\n")
+    with pytest.raises(ValueError, match="tranid more than once"):
+        src_files.read_erp_csv(spark, str(tmp_path / "*.csv"), "netsuite")
+    with pytest.raises(ValueError, match="tranid more than once"):
+        src_files.read_erp_csv(spark, str(tmp_path / "n zz.csv"), "netsuite")
