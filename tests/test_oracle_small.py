@@ -29,6 +29,29 @@ def test_every_query_has_an_oracle_or_is_rows_only():
     assert len(entry.queries()) >= 50
 
 
+def test_every_receivables_query_has_sql():
+    from arlark.plans.catalog import registered
+
+    assert set(registered()) == set(registered()) & set(entry.oracle_sql())
+
+
+def test_every_rule_is_broken_by_a_row_of_a_registered_query(con):
+    """Each message of the normalizers stands in the errors of a query's SQL, next to rows without it."""
+    import re
+
+    from arlark.operators import normalize
+
+    text = open(normalize.__file__, encoding="utf-8").read()
+    messages = set(re.findall(r'"((?:missing|invalid|negative|non-positive|due_date before) [a-z_ ]+)"', text))
+    # an unknown payment method becomes "unknown", which is allowed, before the rule is asked
+    messages -= {"invalid payment_method"}
+    found = set()
+    for name in ("payment_quarantine", "event_quarantine", "erp_quarantine_rules", "erp_quarantine"):
+        for (errors,) in con.execute(f"select distinct errors from ({entry.oracle_sql()[name]})").fetchall():
+            found |= set(errors.split("; "))
+    assert messages <= found, messages - found
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     from check_oracle import compare
