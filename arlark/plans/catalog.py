@@ -36,7 +36,7 @@ from arlark.schemas import EVENT_PAYLOAD_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, ST
 from arlark.session import prepare, unique_dir
 from arlark.sources import driver_tables as src
 from arlark.sources import messages
-from arlark.sources.files import read_erp_csv
+from arlark.sources.files import read_erp_csv, read_json_records
 from arlark.streaming import streams
 
 AS_OF = dt.date.fromisoformat(src.AS_OF)
@@ -660,6 +660,64 @@ def erp_csv_quoted_names(spark, sf_dir):
     return split_quarantine(rows)[0].select("invoice_id", "customer_id", "customer_name", "invoice_date", "amount_usd", "status")
 
 
+@query
+def erp_csv_sources(spark, sf_dir):
+    """Exports of the two other ERPs as CSV, read back by header name and normalized; a third source has no file yet."""
+    out, parts = unique_dir(spark, "erp-exports"), []
+    for source in ("quickbooks", "sap"):
+        src.erp_export(spark, sf_dir, source).write.option("header", True).option("escape", '"').option("quoteAll", True).csv(os.path.join(out, source))
+    for source in VALID_SOURCES:
+        rows = read_erp_csv(spark, os.path.join(out, source), source)
+        parts.append(split_quarantine(normalize_erp(rows, source))[0])
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select(
+        "invoice_id", "customer_id", "customer_name", "invoice_date", "due_date", "amount_usd", "status", "source_system", "line_items")
+
+
+def _as_arrays(payloads: DataFrame, path: str) -> None:
+    """JSON payloads written as text lines that hold an array of a few objects each."""
+    # which objects share a line does not matter: four neighbours of a partition
+    few = payloads.groupBy(F.floor(F.monotonically_increasing_id() / 4).alias("few")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"))
+    few.select("value").write.text(path)
+
+
+@query
+def payment_json_arrays(spark, sf_dir):
+    """Manual payments in files of JSON arrays, read and normalized; a folder that does not exist adds no rows."""
+    path = os.path.join(unique_dir(spark, "payment-files"), "payments")
+    _as_arrays(src.payment_payloads(spark, sf_dir, "manual"), path)
+    rows = read_json_records(spark, path, FLAT_PAYMENT_PAYLOAD_SCHEMA, multiline=False).unionByName(
+        read_json_records(spark, path + "-of-tomorrow", FLAT_PAYMENT_PAYLOAD_SCHEMA))
+    return split_quarantine(normalize_payments(rows, "manual"))[0].select(*NON_LOAD_PAYMENT)
+
+
+@query
+def event_json_arrays(spark, sf_dir):
+    """Product events in files of JSON arrays, read and normalized."""
+    path = os.path.join(unique_dir(spark, "event-files"), "events")
+    _as_arrays(src.event_payloads(spark, sf_dir), path)
+    return split_quarantine(normalize_product_events(read_json_records(spark, path, EVENT_PAYLOAD_SCHEMA, multiline=False)))[0].select(*NON_LOAD_EVENT)
+
+
+@query
+def raw_payment_events(spark, sf_dir):
+    """The raw payment table as a load stores it."""
+    out = unique_dir(spark, "raw-load")
+    jobs.load_raw_records(spark, *local_inputs(spark, sf_dir), out, as_of=AS_OF)
+    return sinks.read_mart(spark, jobs.table_path(out, jobs.RAW_TABLES[1]))
+
+
+@query
+def staging_views(spark, sf_dir):
+    """The staging models as session views over the raw tables: rows and keys of each."""
+    out = unique_dir(spark, "raw-load")
+    jobs.load_raw_records(spark, *local_inputs(spark, sf_dir), out, as_of=AS_OF)
+    keys = {"stg_erp_invoices": "invoice_id", "stg_payments": "payment_id", "stg_product_events": "event_id"}
+    parts = [spark.table(view).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(keys[view]).alias("keys")).select(
+        F.lit(view).alias("view"), "rows", "keys") for view in jobs.create_staging_views(spark, out, AS_OF)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def publish_gate(spark, sf_dir):
     """The gated build over freshly loaded raw tables, as (stage, item) rows: what stopped it."""

@@ -27,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deals rows over the cores where the scan has far fewer splits: a row group cannot be split, so a table of one
+    row group would have all work before its first shuffle done by one task.  A table with enough splits stays as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if 4 * rows.rdd.getNumPartitions() <= cores else rows
+
+
 def invoice_date(order_key: str = "o_orderkey", customer_key: str = "o_custkey") -> Column:
     """The invoice date of an order: each customer's invoices lie in one 40-day span.
 
@@ -162,8 +169,8 @@ def erp_export(spark: SparkSession, sf_dir: str, source_system: str) -> DataFram
     from arlark.schemas import SOURCE_COLUMN_MAPS
 
     cmap = SOURCE_COLUMN_MAPS[source_system]
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    orders = spread(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     j = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
     k, st, pr = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
@@ -196,8 +203,8 @@ def _epoch_noon(date_col) -> F.Column:
 
 def payment_payloads(spark: SparkSession, sf_dir: str, processor: str) -> DataFrame:
     """Every line item as one JSON webhook payload of ``processor`` in column ``value``."""
-    lineitem = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate")
+    lineitem = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "inner")
     n = F.col("l_linenumber")
@@ -245,7 +252,7 @@ def payment_payloads(spark: SparkSession, sf_dir: str, processor: str) -> DataFr
 
 def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every click-stream row as a product-event JSON payload, in four field layouts."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
     k = F.regexp_extract("props", "[0-9]+", 0).cast("bigint")
     et = F.col("event_type")
     etype = F.when(et == "click", "Email_Sent").when(et == "view", "reminder_triggered") \

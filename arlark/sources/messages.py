@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arlark.schemas import TS
-from arlark.sources.driver_tables import EVENT_SHIFT_DAYS, invoice_date, table
+from arlark.sources.driver_tables import EVENT_SHIFT_DAYS, invoice_date, spread, table
 
 #: One of so many keys has each fault.
 FAULTS = 40
@@ -30,7 +30,7 @@ def _either(fault: Column, cases: dict, usual: Column) -> Column:
 
 def webhook_messages(spark: SparkSession, sf_dir: str, processor: str) -> DataFrame:
     """(value): every line item as a webhook of ``processor``; faults 1-13 of ``FAULTS``."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate")
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     k, n = F.col("l_orderkey"), F.col("l_linenumber")
     fault = F.pmod(k * 7 + n, F.lit(FAULTS))
@@ -62,7 +62,7 @@ def webhook_messages(spark: SparkSession, sf_dir: str, processor: str) -> DataFr
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(value): every click-stream row as an event message; faults 1-9 of ``FAULTS``."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    events = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
     e = F.col("event_id")
     fault = F.pmod(e, F.lit(FAULTS))
     kind = F.when(F.col("event_type") == "click", "Email_Sent").when(F.col("event_type") == "view", "reminder_triggered") \
@@ -77,7 +77,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def erp_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a text row with canonical names and a source each; faults 1-16 of ``FAULTS``."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"))
     k = F.col("o_orderkey")
     fault = F.pmod(k, F.lit(FAULTS))
     day = invoice_date()
