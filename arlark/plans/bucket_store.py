@@ -6,7 +6,9 @@ belongs to the table is told by its manifest, one small table for each version;
 counts once its folder is complete, so readers see a batch whole or not at all, and files
 of a writer that died are never read.  The manifest also holds the last batch of every source: a
 batch that is delivered again changes nothing.  There is one writer at a time; a commit that finds a
-newer version than the one it started from fails.
+newer version than the one it started from fails.  A bucket's part of a batch is written by one
+task as one file, so the number of buckets is chosen for buckets of some hundred MB at most, and for
+``rewrite`` well above the number of keys that a batch changes.
 
 Layout under ``path``: ``data/attempt=<id>/_bucket=<n>/`` and ``manifest/version=<n>/``.
 """
