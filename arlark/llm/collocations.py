@@ -22,6 +22,7 @@ not read; an empty table gives an empty result; other columns are not read.  Cou
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 END = b"\n"
 LEAST_COUNT, LONGEST, TOP, COVER_PERCENT = 10, 3, 2000, 50
 #: Text counted together, entries merged together, text for each task after the shuffle.
-CHUNK_BYTES, MERGED_ENTRIES, TASK_BYTES = 8 << 20, 400_000, 32 << 20
+CHUNK_BYTES, MERGED_ENTRIES, TASK_BYTES = 4 << 20, 400_000, 32 << 20
 
 _CLEAN = bytearray(range(256))
 for _c in PIECE_ENDS:
@@ -80,21 +81,45 @@ def tokens_of(cleaned: bytes, longest: int) -> list[bytes]:
     return cleaned.replace(END, (b" " + END) * (longest - 1) + b" ").split(b" ")
 
 
-def distinct_windows(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Equal rows of the columns merged, their counts added, in sorted order."""
-    if not len(counts):
-        return columns, counts
-    order = np.lexsort(columns[::-1])
-    columns, counts = [c[order] for c in columns], counts[order]
-    new = np.ones(len(counts), bool)
-    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    at = np.flatnonzero(new)
-    return [c[at] for c in columns], np.add.reduceat(counts, at)
-
-
-def word_hash(lang: str, word: bytes) -> int:
-    """Signed 64-bit hash of a language's word."""
-    return xxhash.xxh3_64_intdigest(word, seed=xxhash.xxh32_intdigest(lang.encode())) - (1 << 63)
+def distinct_windows(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Equal rows of the columns (numbers from 0) merged, their counts (one each by default) added, in sorted order."""
+    if not len(columns[0]):
+        return columns, np.zeros(0, np.int64)
+    radices = [int(c.max()) + 1 for c in columns]
+    if math.prod(radices) >= 1 << 63:       # too many numbers for one sort key
+        order = np.lexsort(columns[::-1])
+        columns = [c[order] for c in columns]
+        new = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        at = np.flatnonzero(np.append(True, new))
+        return [c[at] for c in columns], np.add.reduceat(np.ones(len(order), np.int64) if counts is None else counts[order], at)
+    key = columns[0]
+    for column, radix in zip(columns[1:], radices[1:]):
+        key = key * radix + column
+    if counts is None:
+        key = np.sort(key)
+    else:
+        order = np.argsort(key)
+        key, counts = key[order], counts[order]
+    at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    counts = np.diff(np.append(at, len(key))) if counts is None else np.add.reduceat(counts, at)
+    key, out = key[at], []
+    for radix in radices[:0:-1]:
+        key, column = np.divmod(key, radix)
+        out.append(column)
+    return [key, *out[::-1]], counts
+
+
+def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of a language's words."""
+    seed = xxhash.xxh32_intdigest(lang.encode())
+    return np.array([xxhash.xxh3_64_intdigest(w, seed=seed) for w in words], np.uint64)
+
+
+def ways_of(parts: dict[int, int], lang: str, words: list[bytes]) -> np.ndarray:
+    """Into how many parts the stripes of the words may be cut; 1 for words that are not hot."""
+    if not parts:
+        return np.ones(len(words), np.int64)
+    return np.array([parts.get(h, 1) for h in word_hashes(lang, words).view(np.int64).tolist()], np.int64)
 
 
 class Chunks:
@@ -147,7 +172,7 @@ class Chunks:
         starts = np.arange(max(0, len(numbers) - later))
         starts = starts[numbers[starts] > 1]
         padded = np.append(numbers, np.ones(self.longest - 1, np.int64)) if not later else numbers
-        return distinct_windows([padded[starts + j] for j in range(self.longest)], np.ones(len(starts), np.int64))
+        return distinct_windows([padded[starts + j] for j in range(self.longest)])
 
 
 def _cleaned_chunks(batches, longest: int):
@@ -163,16 +188,26 @@ def heavy_words(source: DataFrame, share: float) -> dict[int, int]:
 
     Undercounts of a chunk are below a quarter of the share, so no word above it is missed.
     """
+    def heavy(lang: str, counts: Counter) -> pa.RecordBatch:
+        total = counts.total()
+        most = [(w, n) for w, n in counts.items() if 4 * n >= share * total]
+        hashes = word_hashes(lang, [w for w, _ in most]).view(np.int64).tolist()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([0, *hashes], pa.int64()), pa.array([total, *(n for _, n in most)], pa.int64()), pa.array([True] + [False] * len(most))],
+            names=["word", "n", "whole"])
+
     def run(batches):
-        for _, (lang, words, numbers, later) in _cleaned_chunks(batches, 2):
-            names = list(words)
-            counts = np.bincount(numbers[:len(numbers) - later], minlength=len(names))
-            counts[:2] = 0
-            total = int(counts.sum())
-            heavy = np.flatnonzero(counts * 4 >= max(1.0, share * total))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([0, *[word_hash(lang, names[k]) for k in heavy.tolist()]], pa.int64()), pa.array([total, *counts[heavy].tolist()], pa.int64()),
-                 pa.array([True] + [False] * len(heavy))], names=["word", "n", "whole"])
+        held: dict[str, list] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), (v.as_py() for v in batch.column("text"))):
+                for part in segments(text.translate(_CLEAN)):
+                    chunk = held.setdefault(lang, [0, Counter()])
+                    chunk[0] += len(part)
+                    chunk[1].update(part.split())
+                    if chunk[0] >= CHUNK_BYTES:
+                        yield heavy(lang, held.pop(lang)[1])
+        for lang, (_, counts) in held.items():
+            yield heavy(lang, counts)
 
     found = staged(source.mapInArrow(run, "word long, n long, whole boolean").groupBy("whole", "word").agg(F.sum("n").alias("n")), "heavy-words")
     total = found.where("whole").agg(F.sum("n")).first()[0] or 0
@@ -192,24 +227,24 @@ def _stripes(batches, longest: int, parts: dict[int, int]):
     """Stripe rows of each chunk: what follows a first word, with counts."""
     for chunks, (lang, words, numbers, later) in _cleaned_chunks(batches, longest):
         columns, counts = chunks.windows(numbers, later)
-        names = list(words)
-        hashes = [word_hash(lang, w) for w in names]
-        cuts = np.array([parts.get(h, 1) for h in hashes], np.int64)
-        hashes = (np.array(hashes, np.int64).astype(np.uint64))
         first = columns[0]
-        limit, part = cuts[first], np.zeros(len(first), np.uint64)
-        for column in columns[1:]:
-            # as many ways as the words so far can be hot; one way adds nothing
-            part = np.where(limit > 1, _mix(part, hashes[column] % limit.astype(np.uint64)), part)
-            limit = np.minimum(limit, cuts[column])
-        part = (part % cuts[first].astype(np.uint64)).astype(np.int64)
-        order = np.lexsort((np.arange(len(first)), part, first))
-        first, part, counts = first[order], part[order], counts[order]
         if not len(first):
             continue
+        names = list(words)
+        cuts, part = ways_of(parts, lang, names), np.zeros(len(first), np.int64)
+        if (cuts > 1).any():
+            hashes, limit, mixed = word_hashes(lang, names), cuts[first], np.zeros(len(first), np.uint64)
+            for column in columns[1:]:
+                # as many ways as the words so far can be hot; one way adds nothing
+                mixed = np.where(limit > 1, _mix(mixed, hashes[column] % limit.astype(np.uint64)), mixed)
+                limit = np.minimum(limit, cuts[column])
+            part = (mixed % cuts[first].astype(np.uint64)).astype(np.int64)
+            order = np.lexsort((part, first))       # stable: windows stay in order
+            columns, part, counts = [c[order] for c in columns], part[order], counts[order]
+            first = columns[0]
         edge = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (part[1:] != part[:-1])))
         offsets = np.append(edge, len(first))
-        flat = np.stack([c[order] for c in columns[1:]], axis=1).ravel()
+        flat = np.stack(columns[1:], axis=1).ravel()
         vocabulary = pa.array(names, pa.binary())
         rest = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets * (longest - 1), pa.int32()), vocabulary.take(pa.array(flat))), b" ")
         packed = counts.astype("<u4").tobytes()
@@ -222,39 +257,32 @@ PHRASES = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa
                      ("whole", pa.bool_())])
 
 
-def _phrases(rows: list[tuple], longest: int, least: int, parts: dict[int, int]):
-    """The frequent phrases of merged stripes; counts of prefixes that are cut into parts are partial (``whole`` false)."""
-    keys, group, words = [], [], Vocabulary()
-    rests, counts = [], []
-    for lang, first, part, rest, packed in rows:
-        if not keys or keys[-1] != (lang, first, part):
-            keys.append((lang, first, part))
-        rests.append(words.numbers(rest.split(b" ")))
-        counts.append(np.frombuffer(packed, "<u4").astype(np.int64))
-        group.append(np.full(len(counts[-1]), len(keys) - 1))
-    flat = np.concatenate(rests).reshape(-1, longest - 1)
-    columns, counts = distinct_windows([np.concatenate(group), *[flat[:, j] for j in range(longest - 1)]], np.concatenate(counts))
-    names = list(words)
-    out = []
-    totals: dict[str, int] = {}
-    for k, n in zip(columns[0].tolist(), counts.tolist()):
-        totals[keys[k][0]] = totals.get(keys[k][0], 0) + n
-    out.extend((lang, 0, b"", n, 0, False) for lang, n in totals.items())
+def _phrases(lang: str, rows: list[tuple], longest: int, least: int, parts: dict[int, int]):
+    """The frequent phrases of a language's merged stripes (first, part, rest, counts), which come in order; counts of
+    prefixes that are cut into parts are partial (``whole`` false)."""
+    keys, index, words = [], [], Vocabulary()
+    for first, part, _, _ in rows:
+        if not keys or keys[-1] != (first, part):
+            keys.append((first, part))
+        index.append(len(keys) - 1)
+    # all rows at once: a stripe of few entries costs no more than its entries
+    group = np.repeat(index, [len(row[3]) // 4 for row in rows])
+    counts = np.frombuffer(b"".join([row[3] for row in rows]), "<u4").astype(np.int64)
+    flat = words.numbers(b" ".join([row[2] for row in rows]).split(b" ")).reshape(-1, longest - 1)
+    columns, counts = distinct_windows([group, *[flat[:, j] for j in range(longest - 1)]], counts)
+    names, firsts = list(words), [first for first, _ in keys]
+    out = [(lang, 0, b"", int(counts.sum()), 0, False)]
+    first_ways, word_ways = ways_of(parts, lang, firsts), ways_of(parts, lang, names)
     rows_, values, right = columns, counts, np.zeros(len(counts), np.int64)
     for size in range(longest, 0, -1):
         # rows_: the prefixes of ``size`` words (group, then the words after the first)
         real = rows_[-1] > 1 if size > 1 else np.ones(len(values), bool)
-        ways = np.array([parts.get(word_hash(lang, first), 1) for lang, first, _ in keys], np.int64)[rows_[0]]
+        ways = first_ways[rows_[0]]
         for j in range(1, size):
-            candidates = np.flatnonzero(ways > 1)
-            if not len(candidates):
-                break
-            for i in candidates.tolist():
-                ways[i] = min(ways[i], parts.get(word_hash(keys[rows_[0][i]][0], names[rows_[j][i]]), 1))
+            ways = np.minimum(ways, word_ways[rows_[j]])
         whole = ways == 1 if size < longest else np.ones(len(values), bool)
         for i in np.flatnonzero(real & (~whole | (values >= least))).tolist():
-            lang, first, _ = keys[rows_[0][i]]
-            phrase = b" ".join([first, *[names[rows_[j][i]] for j in range(1, size)]])
+            phrase = b" ".join([firsts[rows_[0][i]], *[names[rows_[j][i]] for j in range(1, size)]])
             out.append((lang, size, phrase, int(values[i]), int(right[i]), bool(whole[i])))
         if size == 1:
             break
@@ -268,17 +296,18 @@ def _phrases(rows: list[tuple], longest: int, least: int, parts: dict[int, int])
 
 
 def _merge(batches, longest: int, least: int, parts: dict[int, int]):
-    """Merges the stripes, which arrive sorted by key, several keys at a time."""
-    held, entries = [], 0
+    """Merges the stripes, which arrive sorted by key, several keys of a language at a time."""
+    lang, held, entries = None, [], 0
     for batch in batches:
-        for row in zip(*[batch.column(c).to_pylist() for c in STRIPES.names]):
-            if entries >= MERGED_ENTRIES and held and held[-1][:3] != row[:3]:
-                yield _phrases(held, longest, least, parts)
+        for of, *row in zip(*[batch.column(c).to_pylist() for c in STRIPES.names]):
+            if held and (of != lang or (entries >= MERGED_ENTRIES and held[-1][:2] != row[:2])):
+                yield _phrases(lang, held, longest, least, parts)
                 held, entries = [], 0
+            lang = of
             held.append(row)
-            entries += len(row[4]) // 4
+            entries += len(row[3]) // 4
     if held:
-        yield _phrases(held, longest, least, parts)
+        yield _phrases(lang, held, longest, least, parts)
 
 
 def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = LONGEST,

@@ -117,6 +117,12 @@ def test_long_texts_are_counted_across_their_parts(monkeypatch, longest, size):
         assert got == expected
 
 
-def test_distinct_windows_adds_counts():
-    columns, counts = op.distinct_windows([np.array([2, 1, 2]), np.array([5, 5, 5])], np.array([1, 2, 4]))
-    assert [c.tolist() for c in columns] == [[1, 2], [5, 5]] and counts.tolist() == [2, 5]
+@pytest.mark.parametrize("big", [0, 1 << 40])
+def test_distinct_windows_adds_counts(big):
+    """With and without numbers that fit one sort key."""
+    given = [np.array([2, 1, 2, big]), np.array([5, 5, 5, big])]
+    columns, counts = op.distinct_windows(given, np.array([1, 2, 4, 9]))
+    expected = sorted([((1, 5), 2), ((2, 5), 5), ((big, big), 9)])
+    assert list(zip(zip(*[c.tolist() for c in columns]), counts.tolist())) == expected
+    columns, counts = op.distinct_windows(given)
+    assert list(zip(zip(*[c.tolist() for c in columns]), counts.tolist())) == [(w, 2 if w == (2, 5) else 1) for w, _ in expected]
