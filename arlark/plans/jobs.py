@@ -32,6 +32,7 @@ from arlark.operators.quality import (
     run_warehouse_tests, source_freshness, validate_invoices, validate_payments, volume_anomalies,
 )
 from arlark.operators.staging import stg_erp_invoices, stg_payments, stg_product_events
+from arlark.plans.bucket_store import CODEC, Files
 from arlark.plans.sinks import append_lineage, publish, write_observed, write_table
 from arlark.schemas import (
     EVENT_PAYLOAD_SCHEMA, EVENT_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, INVOICE_SCHEMA, PAYMENT_SCHEMA,
@@ -175,6 +176,18 @@ def build_warehouse_models(invoices: DataFrame, payments: DataFrame, events: Dat
     return models
 
 
+#: Bytes of source files for each bucket: a row is several times as large in a staging table as in a columnar source.
+BUCKET_SOURCE_BYTES = 16 << 20
+
+
+def _buckets_for(*frames: DataFrame) -> int:
+    """Buckets that grow with the files behind the frames; at least the shuffle partitions."""
+    spark = frames[0].sparkSession
+    files = {f for df in frames for f in df.inputFiles()}
+    size = sum(Files(spark, f).size(f) for f in files)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_SOURCE_BYTES))
+
+
 def copartitioned_ledger(invoices: DataFrame, payments: DataFrame, events: DataFrame, as_of=None, buckets: int | None = None,
                          name: str = "arlark") -> DataFrame:
     """The ledger (dbt form) over staging tables that are stored in buckets of ``invoice_id``.
@@ -183,13 +196,13 @@ def copartitioned_ledger(invoices: DataFrame, payments: DataFrame, events: DataF
     for each bucket.  Payment and touch aggregates and both ledger joins then need no exchange: only the customer's unapplied cash moves rows.
     """
     spark = prepare(invoices.sparkSession)
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or _buckets_for(payments, invoices, events)
     run = uuid.uuid4().hex[:12]
 
     def store(model: str, df: DataFrame) -> DataFrame:
         table = f"{name}_{model}_{run}"
         # dealt like the buckets: every task writes one file
-        df.repartition(buckets, "invoice_id").write.bucketBy(buckets, "invoice_id").sortBy("invoice_id").option(
+        df.repartition(buckets, "invoice_id").write.bucketBy(buckets, "invoice_id").sortBy("invoice_id").option("compression", CODEC).option(
             "path", os.path.join(unique_dir(spark, "bucketed"), model)).saveAsTable(table)
         return spark.table(table)
 
