@@ -30,8 +30,7 @@ WHITESPACE = " \t\n\r\f\u000b"
 
 def clean_text(c) -> Column:
     """Strip surrounding whitespace (tabs and newlines too); empty becomes NULL."""
-    stripped = F.trim(_col(c).cast("string"), F.lit(WHITESPACE))
-    return F.when(stripped != "", stripped)
+    return F.nullif(F.trim(_col(c).cast("string"), F.lit(WHITESPACE)), F.lit(""))
 
 
 def blank_to_null(c) -> Column:
@@ -75,10 +74,10 @@ def parse_int(text) -> Column:
 def parse_date(text) -> Column:
     """Strict ISO date: ``YYYY-MM-DD`` or the basic form ``YYYYMMDD``."""
     text = _col(text)
-    return F.coalesce(
-        F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd")),
-        F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd")),
-    )
+    # the forms are checked, so a cast parses them as a formatter would, without one exception for each impossible date
+    basic = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), text).when(text.rlike(r"^\d{8}\z"), basic)
+    return iso.try_cast("date")
 
 
 def parse_timestamp(text) -> Column:

@@ -61,7 +61,8 @@ def utc_now() -> Column:
 
 def _errors(*checks: tuple[Column, str]) -> Column:
     """``array<string>`` of the messages whose condition is true (NULL counts as false)."""
-    return F.array_compact(F.array(*[F.when(cond, F.lit(msg)) for cond, msg in checks]))
+    # no lambda: array_compact would be interpreted row by row
+    return F.array_remove(F.array(*[F.when(cond, F.lit(msg)).otherwise(F.lit("")) for cond, msg in checks]), "")
 
 
 def _json_errors(broken: Column, *checks: tuple[Column, str]) -> Column:
@@ -277,8 +278,8 @@ def normalize_payments(df: DataFrame, processor: str, payload: str = "payload",
     if name == "stripe":
         obj = p["data"]["object"]
         meta = obj["metadata"]
-        cents_text = clean_text(obj["amount_received"])
-        created_text = clean_text(obj["created"])
+        cleaned = {"_c_amount": clean_text(obj["amount_received"]), "_c_date": clean_text(obj["created"])}
+        cents_text, created_text = F.col("_c_amount"), F.col("_c_date")
         created = (created_text).try_cast("bigint")
         cols = _payment_out(
             blank_to_null(obj["id"]),
@@ -301,8 +302,9 @@ def normalize_payments(df: DataFrame, processor: str, payload: str = "payload",
     else:
         amount_field = "amount" if name == "plaid" else "amount_usd"
         default_method = "ach" if name == "plaid" else "unknown"
-        date_text = clean_text(p["payment_date"])
-        amount_text = clean_text(p[amount_field])
+        cleaned = {"_c_amount": clean_text(p[amount_field]), "_c_date": clean_text(p["payment_date"]),
+                   "_c_partial": F.lower(clean_text(p["is_partial"]))}
+        date_text, amount_text = F.col("_c_date"), F.col("_c_amount")
         cols = _payment_out(
             blank_to_null(p["payment_id"]),
             blank_to_null(p["invoice_id"]),
@@ -314,14 +316,15 @@ def normalize_payments(df: DataFrame, processor: str, payload: str = "payload",
             F.upper(F.coalesce(blank_to_null(p["currency"]), F.lit("USD"))),
             normalize_payment_method(F.coalesce(p["payment_method"], F.lit(default_method))),
             F.lit(name),
-            F.coalesce(parse_bool(clean_text(p["is_partial"])), F.lit(False)),
+            F.coalesce(parse_bool("_c_partial"), F.lit(False)),
             blank_to_null(p["reference_number"]),
             blank_to_null(p["notes"]) if name != "plaid" else F.lit(None).cast("string"),
             F.coalesce(p["event_id"], F.lit("")),
         )
     loaded = F.col("_loaded_at").cast(TS) if "_loaded_at" in df.columns else utc_now()
     text, broken = _record(df, payload)
-    flat = df.select(*cols, loaded.alias("_loaded_at"), text.alias("_t_text"), broken.alias("_t_broken"), *keep)
+    # cleaned once: inside the parses each text would be trimmed again for every use
+    flat = df.withColumns(cleaned).select(*cols, loaded.alias("_loaded_at"), text.alias("_t_text"), broken.alias("_t_broken"), *keep)
     c = F.col
     checked = flat.withColumn(ERRORS, _json_errors(
         c("_t_broken"),
