@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from arlark.operators.normalize import (
     ERRORS, RAW, normalize_erp, normalize_payments, normalize_product_events, parse_json_payloads,
 )
-from arlark.plans.bucket_store import Files
+from arlark.plans.bucket_store import CODEC, Files
 from arlark.schemas import (
     EVENT_PAYLOAD_SCHEMA, EVENT_SCHEMA, FLAT_PAYMENT_PAYLOAD_SCHEMA, INVOICE_SCHEMA, PAYMENT_SCHEMA, STRIPE_PAYLOAD_SCHEMA,
     erp_source_schema,
@@ -123,8 +123,8 @@ class ReplayLog:
         rows = parsed.unionByName(unclear, allowMissingColumns=True).select(*[f.name for f in self.schema.fields])
         attempt, seen = uuid.uuid4().hex, Observation(f"replay_{uuid.uuid4().hex[:8]}")
         good = F.size(ERRORS) == 0
-        rows.observe(seen, F.count_if(good).alias("admitted"), F.count_if(~good).alias("rejected")).write.mode("errorifexists").parquet(
-            os.path.join(self.path, "results", attempt))
+        rows.observe(seen, F.count_if(good).alias("admitted"), F.count_if(~good).alias("rejected")).write.mode("errorifexists").option(
+            "compression", CODEC).parquet(os.path.join(self.path, "results", attempt))
         row = self.spark.range(1).select(F.lit(attempt).alias("attempt"), F.current_timestamp().alias("committed_at"))
         row.write.mode("append").parquet(os.path.join(self.path, "commits"))
         return {"admitted": seen.get["admitted"], "rejected": seen.get["rejected"]}
