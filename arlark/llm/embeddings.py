@@ -2,21 +2,21 @@
 
 Unit vectors are compared by chord length, a metric: cosine >= c exactly when the
 chord is at most r = sqrt(2 - 2c).  Pivots (a bounded sample of the vectors) split the
-space into cells by nearest pivot.  A vector y with home pivot h is also sent to cell p if it
+space into cells by nearest pivot.  A vector y with home pivot h is compared in cell p, too, if it
 may be within r of a vector whose home is p: by the triangle inequality that
 needs d(y, p) <= d(y, h) + 2r, and, sharper on the same grounds, the distance of y to the bisecting plane of
-h and p is at most r.  So every vector meets all its partners in its home cell,
-and cells join independently.
+h and p is at most r.  Of two cells one takes the pairs between them (``_takes``), so every pair meets once.
 
-Equal vectors are one class with a multiplicity.  A cell's home vectors are cut into chunks of ``CHUNK``;
-a task holds one chunk and streams the cell's vectors past it, so memory is bounded
-whatever a cell holds.  It emits a link count for each home vector and a spanning
-forest of the links, never the pairs.  Candidates come from a single-precision product with a
+Equal vectors are one class with a multiplicity.  Every class is written once, in the precision of its column, to a file
+of about ``CHUNK`` vectors of its home cell, and names the other cells that compare it.  A task holds one file's vectors and streams the
+files that its cell needs past them, read where they lie: the disk used follows the number of vectors, the
+memory ``CHUNK``, whatever the number of comparisons.  A task emits a link count for each vector with links and a
+spanning forest of the links, never the pairs.  Candidates come from a single-precision product with a
 proven error margin; pairs inside the margin are decided in double precision.
 
 How many pivots pay is estimated on the same bounded sample (``SAMPLE`` vectors): where the data have
 no cluster structure (distances concentrate in high dimensions) every cell needs nearly every
-vector, few pivots are chosen and the work is that of a blocked comparison; the
+vector, one pivot is chosen and the work is that of a blocked comparison; the
 result does not depend on the choice.
 
 Rows: vectors that are null, zero, empty or hold null or non-finite components,
@@ -31,56 +31,72 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from arlark.llm.common import staged
+from arlark.llm.common import SharedFiles, shared_uri, staged
 from arlark.llm.components import connected_components, merge_labels
 
 #: Least cosine of a link.
 COSINE = 0.95
-#: Vectors that pivots are chosen from; with ``MOST_PIVOTS`` it bounds what is broadcast.
-SAMPLE, PIVOT_COUNTS = 2048, (8, 32, 128, 512)
-#: Home vectors of one task group, and vectors compared with them at once.
-CHUNK, STREAM = 4096, 1024
-#: Measured costs used to choose the number of pivots: seconds per compared component, per vector sent.
-COMPARE_COST, SEND_COST = 1e-10, 3e-6
+#: Vectors that pivots are chosen from; with the largest count it bounds what is broadcast.
+SAMPLE, PIVOT_COUNTS = 2048, (1, 8, 32, 128, 512)
+#: Vectors of one file and of one side of a comparison, vectors compared with them at once, files that a task streams.
+CHUNK, STREAM, SPAN = 8192, 1024, 16
+#: Measured costs used to choose the number of pivots: seconds per compared component, per vector read, per file opened.
+COMPARE_COST, READ_COST, FILE_COST = 1e-10, 1e-6, 3e-3
 #: Numbers of classes whose smallest id is that of another class, too: above all ids.
 EXTRA = (1 << 63) - (1 << 41)
 
 
-def _unit(vector) -> np.ndarray | None:
-    """The vector at length 1 in double precision; None if it cannot link."""
-    if vector is None or any(x is None for x in vector):
-        return None
-    x = np.asarray(vector, np.float64)
-    if not len(x) or not np.isfinite(x).all():
-        return None
-    largest = np.abs(x).max()
-    if largest == 0:
-        return None
-    x = x / largest
-    return x / math.sqrt(float(x @ x))
+def _units(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows at length 1 in double precision, whether a row can link)."""
+    x = x.astype(np.float64)
+    usable = np.isfinite(x).all(axis=1)
+    x[~usable] = 0
+    largest = np.abs(x).max(axis=1, initial=0)
+    usable &= largest > 0
+    x[usable] /= largest[usable, None]
+    x[usable] /= np.sqrt(np.einsum("ij,ij->i", x[usable], x[usable]))[:, None]
+    return x, usable
 
 
-def unit_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, dim, digest, unit): ``digest`` tells equal vectors; null where a row links with nothing."""
+def _component(rows: DataFrame, vector_col: str) -> tuple[str, type]:
+    """(SQL type, numpy type) that holds the column's components exactly."""
+    kind = rows.schema[vector_col].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    return ("float", np.float32) if single else ("double", np.float64)
+
+
+def packed_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(id, dim, digest, vector): the components' bytes; ``digest`` tells equal vectors; null where a row links with nothing."""
+    sql_type, kind = _component(rows, vector_col)
+
     def run(batches):
         for batch in batches:
-            dims, digests, units = [], [], []
-            for row_id, vector in zip(batch.column("id").to_pylist(), batch.column("vector").to_pylist()):
-                x = None if row_id is None else _unit(vector)
-                dims.append(None if x is None else len(x))
-                raw = None if x is None else (np.asarray(vector, np.float64) + 0.0).tobytes()
-                digests.append(None if x is None else xxhash.xxh128_digest(raw))
-                units.append(None if x is None else x.tobytes())
+            lists = batch.column("vector")
+            lengths = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+            parts = pc.fill_null(lists.flatten(), math.nan).to_numpy(zero_copy_only=False) + kind(0)
+            ends = np.cumsum(lengths)
+            named = ~np.asarray(pc.is_null(batch.column("id")))
+            dims, digests, vectors = ([None] * len(lists) for _ in range(3))
+            for dim in np.unique(lengths[lengths > 0]).tolist():
+                at = np.flatnonzero((lengths == dim) & named)
+                x = parts[(ends[at] - dim)[:, None] + np.arange(dim)]
+                for k, row, usable in zip(at.tolist(), x, _units(x)[1].tolist()):
+                    if usable:
+                        dims[k], vectors[k] = dim, row.tobytes()
+                        digests[k] = xxhash.xxh128_digest(vectors[k])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(dims, pa.int32()), pa.array(digests, pa.binary()), pa.array(units, pa.binary())],
-                names=["id", "dim", "digest", "unit"])
+                [batch.column("id"), pa.array(dims, pa.int32()), pa.array(digests, pa.binary()), pa.array(vectors, pa.binary())],
+                names=["id", "dim", "digest", "vector"])
 
-    source = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
-    return source.mapInArrow(run, "id long, dim int, digest binary, unit binary")
+    source = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{sql_type}>").alias("vector"))
+    return source.mapInArrow(run, "id long, dim int, digest binary, vector binary")
 
 
 def _cells(x: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
@@ -97,142 +113,191 @@ def _cells(x: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.ndarray
     return home, sent
 
 
-def choose_pivots(sample: np.ndarray, n: int, radius: float) -> np.ndarray:
-    """Pivots from the sample; their number minimises the estimated cost of sending and comparing ``n`` vectors."""
-    best, chosen = math.inf, sample[:1]
+def _takes(cell, home):
+    """Whether ``cell`` compares its vectors with those of the cell ``home``: one of the two does, half of all for each."""
+    return (cell < home) == ((cell + home) % 2 == 0)
+
+
+def choose_pivots(sample: np.ndarray, n: int, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pivots from the sample and the share of vectors at home with each; their number minimises the estimated cost."""
+    best, chosen, shares = math.inf, sample[:1], np.ones(1)
     for count in PIVOT_COUNTS:
-        if count * 4 > len(sample):
+        if count > 1 and count * 4 > len(sample):
             break
         home, sent = _cells(sample, sample[:count], radius)
         homes, members = np.bincount(home, minlength=count) / len(sample), sent.sum(axis=0) / len(sample)
-        compared = float((homes * members).sum()) * n * n
-        shipped = float((members * np.ceil(homes * n / CHUNK)).sum()) * n
-        cost = compared * sample.shape[1] * COMPARE_COST + shipped * SEND_COST
+        files = np.ceil(homes * n / CHUNK)
+        needs = np.stack([sent[home == h].any(axis=0) for h in range(count)])
+        compared = float((homes * members).sum()) * n * n / 2
+        opened = float(files @ needs @ files) / 2
+        cost = compared * sample.shape[1] * COMPARE_COST + float(homes @ needs @ files) * n / 2 * READ_COST + opened * FILE_COST
         if cost < best:
-            best, chosen = cost, sample[:count]
-    return chosen
+            best, chosen, shares = cost, sample[:count], homes
+    return chosen, shares
+
+
+class Block:
+    """The vectors of one file: their class ids, multiplicities, units and the other cells that compare them."""
+
+    def __init__(self, table: pa.Table, kind: type):
+        table = table.combine_chunks()
+        self.ids, self.copies = np.asarray(table["id"]), np.asarray(table["copies"])
+        vectors = table["vector"].chunk(0) if table.num_rows else pa.array([], pa.binary())
+        ends = np.frombuffer(vectors.buffers()[1], np.int32)[vectors.offset:][:len(vectors) + 1] if len(vectors) else [0, 0]
+        raw = np.frombuffer(vectors.buffers()[2], np.uint8)[ends[0]:ends[-1]] if len(vectors) else np.empty(0, np.uint8)
+        self.units = _units(raw.view(kind).reshape(len(vectors), -1))[0] if len(vectors) else np.empty((0, 1))
+        cells = table["cells"].chunk(0) if table.num_rows else pa.array([], pa.list_(pa.int32()))
+        self.cells, self.rows = np.asarray(cells.flatten()), np.asarray(pc.list_parent_indices(cells))
+
+    def of(self, cell: int) -> np.ndarray:
+        """Rows that ``cell`` compares, which is not their home."""
+        return self.rows[self.cells == cell]
 
 
 class ChunkJoin:
-    """One chunk of home vectors; ``see`` takes further vectors of the cell."""
+    """One file's vectors; ``see`` takes further vectors to compare with them and returns their link counts."""
 
-    def __init__(self, ids: np.ndarray, units: np.ndarray, cosine: float):
-        self.ids, self.units, self.cosine = ids, units, cosine
+    def __init__(self, ids: np.ndarray, units: np.ndarray, copies: np.ndarray, cosine: float):
+        self.ids, self.units, self.copies, self.cosine = ids, units, copies, cosine
         self.single = units.astype(np.float32)
         self.margin = 1e-6 + 1.2e-7 * units.shape[1]
         self.links = np.zeros(len(ids), np.int64)
         self.label = ids.copy()
         self.edges: list[np.ndarray] = []
 
-    def see(self, ids: np.ndarray, units: np.ndarray, copies: np.ndarray) -> None:
-        for at in range(0, len(ids), STREAM):
-            self._block(ids[at:at + STREAM], units[at:at + STREAM], copies[at:at + STREAM])
+    def see(self, ids: np.ndarray, units: np.ndarray, copies: np.ndarray) -> np.ndarray:
+        links = [self._block(ids[at:at + STREAM], units[at:at + STREAM], copies[at:at + STREAM]) for at in range(0, len(ids), STREAM)]
+        return np.concatenate(links) if links else np.zeros(0, np.int64)
 
-    def _block(self, ids: np.ndarray, units: np.ndarray, copies: np.ndarray) -> None:
+    def _block(self, ids: np.ndarray, units: np.ndarray, copies: np.ndarray) -> np.ndarray:
         close = self.single @ units.astype(np.float32).T
         hit = close >= self.cosine - self.margin
         if not hit.any():
-            return
+            return np.zeros(len(ids), np.int64)
         i, j = np.nonzero(hit & (close <= self.cosine + self.margin))
         if len(i):
             hit[i, j] = np.einsum("ij,ij->i", self.units[i], units[j]) >= self.cosine
         hit &= self.ids[:, None] != ids[None, :]
         if not hit.any():
-            return
+            return np.zeros(len(ids), np.int64)
         self.links += hit @ copies
         self.label, _, edges = merge_labels(hit, self.label, ids)
         self.edges.extend(edges)
+        return self.copies @ hit
 
 
 OUT = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def _matrix(column: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.float64).reshape(len(column), -1)
+def _matrix(column: list[bytes], kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
+
 
+def _counts(ids: np.ndarray, links: np.ndarray):
+    some = np.flatnonzero(links)
+    none = pa.nulls(len(some), pa.int64())
+    if len(some):
+        yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some]), none, none], schema=OUT)
 
-def _results(join: ChunkJoin):
-    count = pa.array(join.links)
-    none = pa.nulls(len(count), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array(join.ids), count, none, none], schema=OUT)
+
+def _edges(join: ChunkJoin):
     for edge in join.edges:
         none = pa.nulls(edge.shape[1], pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, pa.array(edge[0]), pa.array(edge[1])], schema=OUT)
 
 
-def range_join(classes: DataFrame, pivots: np.ndarray, dim: int, n: int, cosine: float = COSINE) -> DataFrame:
-    """(id, links) of each class and (a, b) edges of a spanning forest, from (id, dim, copies, unit)."""
+def range_join(classes: DataFrame, pivots: np.ndarray, shares: np.ndarray, dim: int, dims: DataFrame, kind: type,
+               cosine: float = COSINE) -> DataFrame:
+    """(id, links) of classes with links and (a, b) edges of a spanning forest, from (id, dim, copies, vector).
+
+    ``dims`` counts the classes of each length.
+    """
     spark = classes.sparkSession
     radius = math.sqrt(max(0.0, 2 - 2 * cosine))
     shared = spark.sparkContext.broadcast(pivots)
 
     def assign(batches):
         for batch in batches:
-            dims = np.asarray(batch.column("dim").to_pylist())
-            units = batch.column("unit").to_pylist()
-            cells, homes = [], []
-            usual = np.flatnonzero(dims == dim)
+            lengths = np.asarray(batch.column("dim"))
+            vectors = batch.column("vector").to_pylist()
+            usual = np.flatnonzero(lengths == dim)
+            # vectors of another length have a cell of their own for each length
+            cells, homes = [[]] * len(vectors), -lengths
             if len(usual):
-                home, sent = _cells(_matrix([units[k] for k in usual]), shared.value, radius)
-            at = {int(k): r for r, k in enumerate(usual)}
-            for k in range(len(units)):
-                r = at.get(k)
-                # vectors of another length have a cell of their own for each length
-                cells.append([-int(dims[k])] if r is None else np.flatnonzero(sent[r]).tolist())
-                homes.append(-int(dims[k]) if r is None else int(home[r]))
+                near, sent = _cells(_units(_matrix([vectors[k] for k in usual], kind))[0], shared.value, radius)
+                homes[usual] = near
+                sent &= _takes(np.arange(len(shared.value))[None, :], near[:, None])
+                sent[np.arange(len(usual)), near] = False
+                for k, r in zip(usual.tolist(), sent):
+                    cells[k] = np.flatnonzero(r).tolist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("copies"), batch.column("unit"), pa.array(homes, pa.int32()),
-                 pa.array(cells, pa.list_(pa.int32()))], names=["id", "copies", "unit", "home", "cells"])
-
-    assigned = staged(classes.mapInArrow(assign, "id long, copies long, unit binary, home int, cells array<int>"), "cells")
-    chunks = assigned.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    sent = assigned.select("id", "copies", "unit", "home", F.explode("cells").alias("cell"))
-    sized = sent.join(F.broadcast(chunks.withColumnRenamed("home", "cell")), "cell")
-    own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
-    # home rows of a chunk come first, then every vector of the cell
-    rows = sized.select("id", "copies", "unit", "cell", F.explode(F.when(
-        F.col("home") == F.col("cell"), F.concat(F.array(F.struct(own.alias("chunk"), F.lit(False).alias("seen"))), F.transform(
-            F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(c.alias("chunk"), F.lit(True).alias("seen")))))
-        .otherwise(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1),
-                               lambda c: F.struct(c.alias("chunk"), F.lit(True).alias("seen"))))).alias("place"))
-    rows = rows.select("id", "copies", "unit", "cell", "place.chunk", "place.seen")
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * len(pivots), math.ceil(n / CHUNK))
-    rows = rows.repartition(width, "cell", "chunk").sortWithinPartitions("cell", "chunk", "seen")
+                [batch.column("id"), batch.column("copies"), batch.column("vector"), pa.array(homes, pa.int32()),
+                 pa.array(cells, pa.list_(pa.int32()))], names=["id", "copies", "vector", "home", "cells"])
+
+    # files of each cell: by the sample's shares, or by the count where a length is its own cell
+    n = F.col("count") * F.when(F.col("dim") == dim, F.element_at(F.lit(shares.tolist()), F.col("at") + 1)).otherwise(1.0)
+    sizes = staged(dims.select("dim", "count", F.explode(F.when(F.col("dim") == dim, F.sequence(F.lit(0), F.lit(len(pivots) - 1)))
+                                                         .otherwise(F.array(-F.col("dim")))).alias("home")).withColumn("at", F.greatest("home", F.lit(0)))
+                   .select("home", F.greatest(F.lit(1), F.ceil(n / CHUNK)).cast("int").alias("files")), "cell-sizes")
+    total = sizes.agg(F.sum("files")).first()[0]
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total)
+    uri = shared_uri(spark, "cells")
+    assigned = classes.mapInArrow(assign, "id long, copies long, vector binary, home int, cells array<int>")
+    placed = assigned.join(F.broadcast(sizes), "home").withColumn("file", F.pmod(F.xxhash64("id"), F.col("files")).cast("int"))
+    placed.drop("files").repartition(width, "home", "file").write.partitionBy("home", "file").parquet(uri)
+
+    # (cell, home): a cell compares its files with each other and with those of homes that have a vector for it
+    found = spark.read.schema("cells array<int>, home int").option("basePath", uri).parquet(uri)
+    pairs = found.select(F.explode("cells").alias("cell"), "home").distinct().union(sizes.select(F.col("home").alias("cell"), "home"))
+    files = pairs.join(F.broadcast(sizes.select(F.col("home").alias("cell"), F.col("files").alias("own"))), "cell").join(
+        F.broadcast(sizes), "home")
+    # inside a cell file k meets itself and the next half of the ring of files
+    others = F.when(F.col("home") == F.col("cell"), F.floor(F.col("own") / 2) + 1).otherwise(F.col("files")).cast("int")
+    spans = files.select("cell", "home", "own", others.alias("others"), F.explode(F.sequence(F.lit(0), F.col("own") - 1)).alias("file")).select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("others") - 1, F.lit(SPAN))).alias("first"))
+    spans = spans.select("cell", "file", "home", "own", "first", F.least(F.col("first") + SPAN, "others").alias("last")).repartition(width)
 
     def run(batches):
-        group, join, ids, units = None, None, [], []
+        store = SharedFiles(uri)
+
+        def block(home: int, file: int) -> Block:
+            at = f"{store.root}/home={home}/file={file}"
+            names = sorted(f.path for f in store.files(at) if f.base_name.startswith("part-"))
+            tables = [pq.ParquetFile(store.fs.open_input_file(name)).read(["id", "copies", "vector", "cells"]) for name in names]
+            return Block(pa.concat_tables(tables) if tables else EMPTY, kind)
+
         for batch in batches:
-            frame_ids = np.asarray(batch.column("id"))
-            copies = np.asarray(batch.column("copies"))
-            vectors = batch.column("unit").to_pylist()
-            keys = list(zip(batch.column("cell").to_pylist(), batch.column("chunk").to_pylist(), batch.column("seen").to_pylist()))
-            start = 0
-            while start < len(keys):
-                stop = start
-                while stop < len(keys) and keys[stop] == keys[start]:
-                    stop += 1
-                cell, chunk, seen = keys[start]
-                if (cell, chunk) != group:
-                    if join is not None:
-                        yield from _results(join)
-                    group, join, ids, units = (cell, chunk), None, [], []
-                if not seen:
-                    ids.extend(frame_ids[start:stop].tolist())
-                    units.extend(vectors[start:stop])
-                elif ids:
-                    if join is None:
-                        join = ChunkJoin(np.array(ids, np.int64), _matrix(units), cosine)
-                    join.see(frame_ids[start:stop], _matrix(vectors[start:stop]), copies[start:stop])
-                start = stop
-        if join is not None:
-            yield from _results(join)
-
-    return rows.mapInArrow(run, "id long, links long, a long, b long")
+            for item in batch.to_pylist():
+                cell, file, home, own = item["cell"], item["file"], item["home"], item["own"]
+                mine = block(cell, file)
+                if not len(mine.ids):
+                    continue
+                join = ChunkJoin(mine.ids, mine.units, mine.copies, cosine)
+                for k in range(item["first"], item["last"]):
+                    if home != cell:
+                        other = block(home, k)
+                        some = other.of(cell)
+                        yield from _counts(other.ids[some], join.see(other.ids[some], other.units[some], other.copies[some]))
+                    elif k == 0:
+                        join.see(mine.ids, mine.units, mine.copies)     # both sides are its own: counted once
+                    elif 2 * k < own or file < k:
+                        other = block(home, (file + k) % own)
+                        yield from _counts(other.ids, join.see(other.ids, other.units, other.copies))
+                yield from _counts(join.ids, join.links)
+                yield from _edges(join)
+
+    return spans.mapInArrow(run, "id long, links long, a long, b long")
+
+
+#: What a file without rows would hold: a cell may have fewer vectors than files.
+EMPTY = pa.table({"id": pa.array([], pa.int64()), "copies": pa.array([], pa.int64()), "vector": pa.array([], pa.binary()),
+                  "cells": pa.array([], pa.list_(pa.int32()))})
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE) -> DataFrame:
     """(id, n_links, component_id, kept) for every row of ``rows``."""
-    units = staged(unit_vectors(rows, id_col, vector_col), "unit-vectors")
+    kind = _component(rows, vector_col)[1]
+    units = staged(packed_vectors(rows, id_col, vector_col), "vectors")
     holders = units.where("id is not null").select("id", "digest").distinct()
     members = units.where("digest is not null").select("digest", "dim", "id").distinct().groupBy("digest").agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("dim").alias("dim"))
@@ -245,25 +310,29 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     # an id with several vectors is one node: it links to the class of each
     several = holders.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
     own = holders.join(several, "id").join(members.select("digest", "class"), "digest").select(F.col("id").alias("a"), F.col("class").alias("b"))
-    # one row for each class: equal vectors have equal units, whichever row carries them
-    reps = units.select("id", "digest", "unit").join(members, "digest").where("id = rep").groupBy("digest").agg(
-        F.first("class").alias("id"), F.first("copies").alias("copies"), F.first("dim").alias("dim"), F.first("unit").alias("unit"))
-    reps = staged(reps.drop("digest"), "vector-reps")
-    usual = members.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
+    dims = staged(members.groupBy("dim").count(), "vector-lengths")
+    usual = dims.orderBy(F.desc("count"), "dim").first()
     if usual is None:
         return rows.select(F.col(id_col), F.lit(0).cast("long").alias("n_links"), F.col(id_col).cast("long").alias("component_id"),
                            F.lit(True).alias("kept"))
     dim, n = usual["dim"], usual["count"]
-    sample = reps.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("unit").collect()
-    pivots = choose_pivots(_matrix([bytes(r["unit"]) for r in sample]), n, math.sqrt(max(0.0, 2 - 2 * cosine)))
-    joined = staged(range_join(reps, pivots, dim, n, cosine), "range-join")
+    some = members.where(F.col("dim") == dim).orderBy(F.xxhash64("class"), "class").limit(SAMPLE).select("digest", "class")
+    drawn = units.select("digest", "vector").join(F.broadcast(some), "digest").groupBy("digest", "class").agg(F.first("vector").alias("vector"))
+    sample = drawn.orderBy(F.xxhash64("class"), "class").collect()
+    radius = math.sqrt(max(0.0, 2 - 2 * cosine))
+    pivots, shares = choose_pivots(_units(_matrix([bytes(r["vector"]) for r in sample], kind))[0], n, radius)
+    # one row for each class, whichever row carries it: combined before the shuffle, so a common vector moves a few times only
+    vectors = units.where("digest is not null").groupBy("digest").agg(F.first("vector").alias("vector"))
+    reps = vectors.join(members.select("digest", F.col("class").alias("id"), "copies", "dim"), "digest").drop("digest")
+    joined = staged(range_join(reps, pivots, shares, dim, dims, kind, cosine), "range-join")
     counts = joined.where("id is not null").groupBy("id").agg(F.sum("links").alias("links"))
     labels = connected_components(joined.where("a is not null").select("a", "b").union(own))
     found = units.select("id", "digest").join(members.select("digest", "class", "rep", "copies"), "digest", "left")
     found = found.join(counts.withColumnRenamed("id", "class"), "class", "left").join(
         labels, F.coalesce("class", "id") == F.col("node"), "left")
     component = F.coalesce("component", "rep", "id")
-    links = F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long")
+    # a class without links to others still has its own copies
+    links = (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).cast("long")
     return found.select(F.col("id").alias(id_col), links.alias("n_links"), component.alias("component_id"),
                         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 

@@ -170,6 +170,35 @@ def test_an_embedding_id_with_several_vectors_is_one_node(spark):
     assert {g for i, _, g, _ in expected if i in (1, 5, 7)} == {1}
 
 
+def test_vectors_lie_once_however_many_files_they_are_compared_with(spark, monkeypatch):
+    plans, folders, keep, name = {}, [], embeddings.staged, embeddings.shared_uri if hasattr(embeddings, "shared_uri") else None
+
+    def seen(df, tag):
+        plans[tag] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, tag)
+
+    def named(session, tag):
+        folders.append(name(session, tag))
+        return folders[-1]
+
+    monkeypatch.setattr(embeddings, "staged", seen)
+    monkeypatch.setattr(embeddings, "shared_uri", named, raising=False)
+    monkeypatch.setattr(embeddings, "CHUNK", 5)
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(160, 16))
+    vectors = np.concatenate([vectors, vectors[:30] + rng.normal(size=(30, 16)) * 0.01, vectors[:9]])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").repartition(4)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(frame).collect()}
+    expected = {i: (0, i) for i in range(199)} | {i: (1, i % 160) for i in list(range(30)) + list(range(160, 190))}
+    expected |= {i: (2, i % 190 % 160) for i in [*range(9), *range(160, 169), *range(190, 199)]}
+    assert got == expected
+    # what the comparing tasks are sent names files; no vector travels for it, and each lies in one file
+    assert "unit" not in plans["range-join"] and "vector" not in plans["range-join"]
+    stored = spark.read.parquet(folders[0])
+    assert stored.count() == 190 and stored.select("home", "file").distinct().count() >= 30
+    assert stored.selectExpr("max(length(vector))").first()[0] == 16 * 4
+
+
 def brute_repeats(rows, threshold):
     first = {}
     for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
