@@ -91,6 +91,38 @@ def test_streams_store_valid_and_quarantined_rows(spark, tmp_path):
     assert sorted(str(r.payment_id) for r in bad.collect()) == ["None", "P0"]
 
 
+def _state_files(checkpoint):
+    return [f for _, _, files in os.walk(os.path.join(checkpoint, "state")) for f in files if not f.endswith(".crc")]
+
+
+def test_ids_of_a_stream_lie_in_files_and_old_checkpoints_go_on(spark, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    in_memory = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    inbox = str(tmp_path / "inbox")
+    stream = streams.dedupe_payment_stream(spark.readStream.schema(PAYMENT_SCHEMA).parquet(os.path.join(inbox, "*")))
+    new, old = str(tmp_path / "new"), str(tmp_path / "old")
+
+    def run(checkpoint):
+        table = checkpoint + "-table"
+        streams.run_available_now(stream, checkpoint, foreach_batch=streams.append_batches(table, checkpoint))
+        return sorted((r.payment_id, r.amount_usd) for r in streams.stored_batches(spark, table, PAYMENT_SCHEMA).collect())
+
+    try:
+        for k, rows in enumerate([[_pay("P1", "5.00", T0), _pay("P2", "6.00", T0)], [_pay("P1", "7.00", T0), _pay("P3", "8.00", T0)]]):
+            spark.createDataFrame(rows, PAYMENT_SCHEMA).write.parquet(os.path.join(inbox, f"b{k}"))
+            spark.conf.unset(provider)
+            got = [run(new)]
+            if not k:
+                spark.conf.set(provider, in_memory)
+            got.append(run(old))
+            assert got[0] == got[1]
+    finally:
+        spark.conf.unset(provider)
+    assert got[0] == [("P1", Decimal("5.00")), ("P2", Decimal("6.00")), ("P3", Decimal("8.00"))]
+    assert any(f.endswith(".sst") or f.endswith(".zip") for f in _state_files(new)) and not any(f.endswith(".delta") for f in _state_files(new))
+    assert any(f.endswith(".delta") for f in _state_files(old))
+
+
 def test_feature_snapshot_rerun_replaces_only_its_day(spark, tmp_path):
     path = str(tmp_path / "features")
 
