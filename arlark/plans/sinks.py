@@ -10,6 +10,8 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,21 @@ from arlark.schemas import FEATURE_SCHEMA, INVOICE_SCHEMA, LINEAGE_SCHEMA
 TEXT_CODEC = "gzip"
 
 
+@contextmanager
+def open_together(spark: SparkSession, files: int) -> Iterator[None]:
+    """Tasks that write to folders by value keep so many files open, instead of sorting their rows by folder first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, str(files))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def write_messages(lines: DataFrame, path: str) -> None:
     """Message lines as compressed text files."""
     lines.write.option("compression", TEXT_CODEC).text(path)

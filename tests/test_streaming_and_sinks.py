@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -91,6 +92,45 @@ def test_streams_store_valid_and_quarantined_rows(spark, tmp_path):
     assert sorted(str(r.payment_id) for r in bad.collect()) == ["None", "P0"]
 
 
+def test_a_batch_is_read_and_parsed_once(spark, tmp_path):
+    inbox, seen = str(tmp_path / "inbox"), str(tmp_path / "seen")
+    os.makedirs(inbox)
+    os.makedirs(seen)
+
+    def count(batches):
+        for batch in batches:
+            with open(os.path.join(seen, uuid.uuid4().hex), "w") as f:
+                f.write(str(batch.num_rows))
+            yield batch
+
+    def run():
+        return streams.run_split(rows, str(tmp_path / "ok"), str(tmp_path / "bad"), str(tmp_path / "ckpt"))
+
+    good = '{"payment_id":"%s","invoice_id":"I","customer_id":"C","payment_date":"2025-02-01","amount_usd":"1"}'
+    messages = streams.json_message_stream(spark, inbox).mapInArrow(count, "value string")
+    rows = streams.normalized_payment_stream(messages, "bank")
+    for arrived, n in (([good % "a", good % "b", "x"], 3), ([good % "c"], 4), (["y", "{"], 6)):     # a batch without either kind, too
+        spark.createDataFrame([(x,) for x in arrived], "value string").coalesce(1).write.mode("append").text(inbox)
+        valid, bad = run()
+        assert sum(int((tmp_path / "seen" / f).read_text()) for f in os.listdir(seen)) == n
+    assert sorted(r.payment_id for r in valid.collect()) == ["a", "b", "c"] and "_errors" not in valid.columns
+    assert sorted(r._raw for r in bad.collect()) == ["x", "y", "{"]
+    assert {(r.batch_id, r._errors[0]) for r in bad.collect()} == {(0, "invalid json"), (2, "invalid json")}
+    # what was stored before a restart is replaced by the same batch, not doubled
+    for name in os.listdir(tmp_path / "ckpt" / "commits"):
+        if name.strip(".").startswith("2"):
+            os.remove(tmp_path / "ckpt" / "commits" / name)
+    valid, bad = run()
+    assert valid.count() == 3 and bad.count() == 3
+
+
+def test_an_inbox_without_messages_has_two_empty_tables(spark, tmp_path):
+    os.makedirs(tmp_path / "inbox")
+    rows = streams.normalized_payment_stream(streams.json_message_stream(spark, str(tmp_path / "inbox")), "bank")
+    valid, bad = streams.run_split(rows, str(tmp_path / "ok"), str(tmp_path / "bad"), str(tmp_path / "ckpt"))
+    assert valid.count() == 0 and bad.count() == 0
+
+
 def _state_files(checkpoint):
     return [f for _, _, files in os.walk(os.path.join(checkpoint, "state")) for f in files if not f.endswith(".crc")]
 
